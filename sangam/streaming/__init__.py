@@ -1,0 +1,6 @@
+"""Nothing here is specific to streams.
+
+The column functions (cleaning, tokens, script counts and labels) keep no state
+and take a streaming DataFrame as it is; see ``tests/test_streaming.py``.  The
+other operators rank or count whole tables and are batch only.
+"""
