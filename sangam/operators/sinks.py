@@ -19,7 +19,7 @@ def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "overwr
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(FINAL).parquet(path)
+    return spark.read.schema(FINAL).parquet(path).select(*FINAL.fieldNames())
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -38,11 +38,11 @@ def rows_to_sentences(rows: DataFrame, words="words", tags="lid", strict=False)
     )
 
 
-def _whole_files(spark: SparkSession, rank: int, entry: SourceFile) -> DataFrame:
+def _whole_files(spark: SparkSession, rank: int, entry: SourceFile, cells: list[str]) -> DataFrame:
     """One task per file: the built-in reader cannot split multi-line records."""
     rows = spark.read.options(header=True, multiLine=True, **QUOTING).csv(entry.path)
     return rows.select(
-        *[c for c in rows.columns if c not in LOADED.fieldNames()],
+        *[c for c in cells if c in rows.columns],
         F.lit(rank).cast("bigint").alias("rank"),
         F.lit(entry.source).alias("source"),
         F.lit(entry.split).cast("string").alias("split"),
@@ -52,7 +52,7 @@ def _whole_files(spark: SparkSession, rank: int, entry: SourceFile) -> DataFrame
     )
 
 
-def _split_files(spark: SparkSession, rank: int, entry: SourceFile) -> DataFrame:
+def _split_files(spark: SparkSession, rank: int, entry: SourceFile, cells: list[str]) -> DataFrame:
     """Any number of tasks per file.
 
     A line break ends a record when the quotes seen so far are even in number.
@@ -60,7 +60,7 @@ def _split_files(spark: SparkSession, rank: int, entry: SourceFile) -> DataFrame
     table with one row per block; inside a block it is a running sum.
     """
     columns = spark.read.options(header=True, **QUOTING).csv(entry.path).columns
-    cells = ", ".join(f"`{c}` string" for c in columns)
+    schema = ", ".join(f"`{c}` string" for c in columns)
     lines = read_lines(spark, [(rank, entry)], line_sep="\n")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     lines = lines.withColumn("_quotes", quotes.cast("bigint"))
@@ -85,8 +85,10 @@ def _split_files(spark: SparkSession, rank: int, entry: SourceFile) -> DataFrame
     header = (F.col("block") == 0) & (F.col("pos") == 0)
     return (
         records.filter(~header & (record != ""))
-        .withColumn("_row", F.from_csv(record, cells, QUOTING))
-        .select("rank", "source", "split", "file", "block", "pos", "_row.*")
+        .withColumn("_row", F.from_csv(record, schema, QUOTING))
+        .select(
+            *LOADED.fieldNames()[:6], *[F.col("_row")[c].alias(c) for c in cells if c in columns]
+        )
     )
 
 
@@ -107,7 +109,7 @@ def read_array_csv(
         if entry.kind != "array_csv":
             continue
         big = largest_file(spark, entry.path) > split_above
-        rows = (_split_files if big else _whole_files)(spark, rank, entry)
+        rows = (_split_files if big else _whole_files)(spark, rank, entry, [words, tags])
         frames.append(rows_to_sentences(rows, words, tags, strict))
     if not frames:
         return spark.createDataFrame([], LOADED)
