@@ -29,14 +29,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may fall back to a temporary folder: on a cluster a
     machine-local path would be lost together with its executor.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-    folder = tempfile.mkdtemp(prefix="sangam-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="sangam-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -90,6 +90,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def empty_files(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the zero-byte files under ``root``, which Spark's own listing leaves out."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, files = [], fs.listFiles(hadoop_path, True)
+    while files.hasNext():
+        status = files.next()
+        if status.getLen() == 0:
+            found.append(status.getPath().toString())
+    return found
+
+
 def largest_file(spark: SparkSession, path: str) -> int:
     """Bytes of the largest file under ``path``; reads the listing only, no content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

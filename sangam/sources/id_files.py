@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import is_digits, strip_ws
-from ..session import path_exists
+from ..session import empty_files, path_exists
 
 LISTED = "task string, file string, name string"
 
@@ -69,7 +69,7 @@ def sample_ids(lines: DataFrame, verdicts: DataFrame, n: int = 3) -> DataFrame:
 
 def list_files(spark: SparkSession, root: str, tasks: list[str]) -> DataFrame:
     """Every file under the task folders that exist: task, file, name."""
-    found = None
+    found, empty = None, []
     for task in tasks:
         if not path_exists(spark, f"{root}/{task}"):
             continue
@@ -84,7 +84,10 @@ def list_files(spark: SparkSession, root: str, tasks: list[str]) -> DataFrame:
             )
         )
         found = files if found is None else found.unionByName(files)
-    return spark.createDataFrame([], LISTED) if found is None else found
+        for path in empty_files(spark, f"{root}/{task}"):
+            empty.append((task, path, path.rsplit("/", 1)[-1]))
+    listed = spark.createDataFrame(empty, LISTED)
+    return listed if found is None else found.unionByName(listed)
 
 
 def read_task_lines(spark: SparkSession, root: str, tasks: list[str]) -> DataFrame:
