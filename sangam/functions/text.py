@@ -6,8 +6,16 @@ from pyspark.sql import Column, functions as F
 
 # Fixed values.  Java's \s and \w know ASCII only, so both classes are spelled
 # out: SPACE holds the Unicode white space characters and the four separator
-# controls, WORD letters, numbers and the underscore (vowel signs are not in it).
+# controls (SPACE_CHARS lists the same), WORD letters, numbers and the underscore
+# (vowel signs are not in it).
 SPACE = r"\p{IsWhite_Space}\x1c-\x1f"
+SPACE_CHARS = "".join(
+    map(
+        chr,
+        [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)]
+        + [0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
+)
 WORD = r"\p{L}\p{N}_"
 URL = rf"(?iu)(?:https?://|www\.|t\.co/)[^{SPACE}]+"
 MENTION = rf"@[{WORD}]+"
@@ -47,11 +55,11 @@ def clean_text(text: Column) -> Column:
 
 
 def strip_ws(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def is_blank(text: Column) -> Column:
-    return ~text.rlike(f"[^{SPACE}]")
+    return strip_ws(text) == ""
 
 
 def is_digits(text: Column) -> Column:

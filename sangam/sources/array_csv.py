@@ -52,16 +52,24 @@ def _whole_files(spark: SparkSession, rank: int, entry: SourceFile, cells: list[
     )
 
 
-def _split_files(spark: SparkSession, rank: int, entry: SourceFile, cells: list[str]) -> DataFrame:
-    """Any number of tasks per file.
+def _header(spark: SparkSession, entry: SourceFile) -> tuple[str, ...]:
+    return tuple(spark.read.options(header=True, **QUOTING).csv(entry.path).columns)
+
+
+def _split_files(
+    spark: SparkSession,
+    entries: list[tuple[int, SourceFile]],
+    columns: tuple[str, ...],
+    cells: list[str],
+) -> DataFrame:
+    """Any number of tasks per file, for entries with the same columns.
 
     A line break ends a record when the quotes seen so far are even in number.
     The parity at the start of a block is the sum over the blocks before it, a
     table with one row per block; inside a block it is a running sum.
     """
-    columns = spark.read.options(header=True, **QUOTING).csv(entry.path).columns
     schema = ", ".join(f"`{c}` string" for c in columns)
-    lines = read_lines(spark, [(rank, entry)], line_sep="\n")
+    lines = read_lines(spark, entries, line_sep="\n")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     lines = lines.withColumn("_quotes", quotes.cast("bigint"))
 
@@ -79,7 +87,7 @@ def _split_files(spark: SparkSession, rank: int, entry: SourceFile, cells: list[
     lines = lines.withColumn("_seen", F.sum("_quotes").over(so_far)).join(starts, BLOCK)
 
     records = group_lines(
-        lines, ends=(F.col("_start") + F.col("_seen")) % 2 == 0, item=F.col("value")
+        lines, ends=(F.col("_start") + F.col("_seen")) % 2 == 0, keep=F.lit(True)
     )
     record = F.rtrim(F.array_join("items", "\n"), F.lit("\r"))
     header = (F.col("block") == 0) & (F.col("pos") == 0)
@@ -104,13 +112,15 @@ def read_array_csv(
 
     Entries with a file of more than ``split_above`` bytes are read in splits.
     """
-    frames = []
+    rows, big = [], {}
     for rank, entry in present_files(spark, manifest):
         if entry.kind != "array_csv":
             continue
-        big = largest_file(spark, entry.path) > split_above
-        rows = (_split_files if big else _whole_files)(spark, rank, entry, [words, tags])
-        frames.append(rows_to_sentences(rows, words, tags, strict))
-    if not frames:
+        if largest_file(spark, entry.path) > split_above:
+            big.setdefault(_header(spark, entry), []).append((rank, entry))
+        else:
+            rows.append(_whole_files(spark, rank, entry, [words, tags]))
+    rows += [_split_files(spark, e, columns, [words, tags]) for columns, e in big.items()]
+    if not rows:
         return spark.createDataFrame([], LOADED)
-    return reduce(DataFrame.unionByName, frames)
+    return reduce(DataFrame.unionByName, [rows_to_sentences(r, words, tags, strict) for r in rows])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import is_blank, strip_ws, text_of
 from ..schema import LOADED
@@ -10,20 +10,29 @@ from .lines import group_lines, read_lines
 from .manifest import SourceFile, present_files
 
 
-def lines_to_sentences(lines: DataFrame) -> DataFrame:
+def _pairs(lines: Column) -> Column:
+    """Word and tag of token lines, without those that have no word."""
+
+    def pair(line: Column) -> Column:
+        after_word = F.substr(line, F.instr(line, "\t") + 1)
+        return F.struct(
+            strip_ws(F.substring_index(line, "\t", 1)).alias("word"),
+            strip_ws(F.substring_index(after_word, "\t", 1)).alias("tag"),
+        )
+
+    return F.filter(F.transform(lines, pair), lambda p: p["word"] != "")
+
+
+def lines_to_sentences(lines: DataFrame, stage: bool = True) -> DataFrame:
     """Sentences of token lines given as rank, source, split, file, block, pos, value.
 
     A line without a tab is skipped and ends nothing; so is one with an empty
     word.  Fields after the second are ignored.
     """
     value = F.col("value")
-    word = F.substring_index(value, "\t", 1)
-    tag = F.split_part(value, F.lit("\t"), F.lit(2))
-    pair = F.when(
-        value.contains("\t") & ~is_blank(word),
-        F.struct(strip_ws(word).alias("word"), strip_ws(tag).alias("tag")),
+    sentences = group_lines(
+        lines, ends=is_blank(value), keep=value.contains("\t"), parse=_pairs, stage=stage
     )
-    sentences = group_lines(lines, ends=is_blank(value), item=pair)
     return sentences.select(
         "rank",
         "file",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..session import staged
 from .manifest import SourceFile
 
 BLOCK = ["rank", "file", "block"]
@@ -37,31 +39,48 @@ def read_lines(
     return reduce(DataFrame.unionByName, frames)
 
 
-def group_lines(lines: DataFrame, ends: Column, item: Column) -> DataFrame:
+def group_lines(
+    lines: DataFrame,
+    ends: Column,
+    keep: Column,
+    parse: Callable[[Column], Column] = lambda values: values,
+    stage: bool = True,
+) -> DataFrame:
     """Runs of lines up to and including a line where ``ends`` is true.
 
-    Returns one row per run: the block columns, source, split, ``pos`` (number of the run within
-    its block) and ``items`` (the non-null values of ``item`` in line order).
+    Returns one row per run that has items: the block columns, source, split, ``pos``
+    (number of the run within its block) and ``items``, what ``parse`` makes of the
+    array of those values, in line order, for which ``keep`` is true.
 
     The lines are shuffled once, by block, so a huge file spreads over as many
     groups as it has splits.  A run that begins and ends inside its block is done
     there.  Only the first and the last run of a block can go on in another
     one; those, at most two per block, are chained in file order afterwards.
+
+    The runs are read twice here and again by whoever numbers them, so they are
+    written to the shared folder first; ``stage=False`` leaves the plan lazy.
     """
     before = Window.partitionBy(*BLOCK).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     runs = (
-        lines.select(*BLOCK, "source", "split", "pos", ends.alias("_ends"), item.alias("_item"))
+        lines.select(
+            *BLOCK, "source", "split", "pos", ends.alias("_ends"), F.when(keep, F.col("value")).alias("_line")
+        )
         .withColumn("_run", F.coalesce(F.sum(F.col("_ends").cast("bigint")).over(before), F.lit(0)))
         .groupBy(*BLOCK, "source", "split", "_run")
         .agg(
             F.max("_ends").alias("_closed"),
             F.sort_array(
-                F.collect_list(F.when(F.col("_item").isNotNull(), F.struct("pos", "_item")))
-            )["_item"].alias("items"),
+                F.collect_list(F.when(F.col("_line").isNotNull(), F.struct("pos", "_line")))
+            )["_line"].alias("_lines"),
         )
+        .withColumn("items", parse(F.col("_lines")))
+        .withColumn("_n", F.size("items"))
+        .drop("_lines")
     )
+    if stage:
+        runs = staged(runs, "runs")
     inside = (F.col("_run") > 0) & F.col("_closed")
-    whole = runs.filter(inside).select(
+    whole = runs.filter(inside & (F.col("_n") > 0)).select(
         *BLOCK, "source", "split", F.col("_run").alias("pos"), "items"
     )
 
@@ -72,7 +91,11 @@ def group_lines(lines: DataFrame, ends: Column, item: Column) -> DataFrame:
         .withColumn("_opens", opens.cast("bigint"))
         .withColumn("_chain", F.sum("_opens").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy("rank", "source", "split", "file", "_chain")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "_run", "items"))).alias("_parts"))
+        .agg(
+            F.sum("_n").alias("_n"),
+            F.sort_array(F.collect_list(F.struct("block", "_run", "items"))).alias("_parts"),
+        )
+        .filter(F.col("_n") > 0)
         .select(
             "rank",
             "source",
@@ -83,4 +106,4 @@ def group_lines(lines: DataFrame, ends: Column, item: Column) -> DataFrame:
             F.flatten(F.col("_parts")["items"]).alias("items"),
         )
     )
-    return whole.unionByName(joined).filter(F.size("items") > 0)
+    return whole.unionByName(joined)

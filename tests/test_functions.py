@@ -74,6 +74,16 @@ def test_classes_on_all_code_points(spark, pattern, python):
     assert got & known == want & known
 
 
+def test_space_characters():
+    assert set(X.SPACE_CHARS) == {chr(c) for c in code_points() if chr(c).isspace()}
+
+
+def test_strip_and_blank(spark):
+    cells = ["\N{EM SPACE} a b\x1c\t", "", " \x85", "a", "\N{DEVANAGARI LETTER KA} \N{IDEOGRAPHIC SPACE}"]
+    got = values(spark, cells, S.strip_ws, S.is_blank)
+    assert got == [(c.strip(), not c.strip()) for c in cells]
+
+
 def test_tokens(spark):
     got = values(
         spark,

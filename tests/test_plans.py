@@ -29,13 +29,13 @@ def test_dedup_filters_and_limits_ahead_of_the_shuffle(spark):
 
 
 def test_one_large_shuffle_for_sentences(spark):
-    plan = plan_of(S.lines_to_sentences(C.token_lines(spark, SF_DIR)))
+    plan = plan_of(S.lines_to_sentences(C.token_lines(spark, SF_DIR), stage=False))
     whole = plan[: plan.index("lag(")] if "lag(" in plan else plan
     assert len(re.findall(r"Exchange hashpartitioning\(file#\d+, block", whole)) == 1
 
 
 def test_shared_shuffle_is_reused(spark):
-    df = S.lines_to_sentences(C.token_lines(spark, SF_DIR))
+    df = S.lines_to_sentences(C.token_lines(spark, SF_DIR), stage=False)
     df.collect()
     final = plan_of(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
