@@ -64,15 +64,13 @@ def outputs_check(spark: SparkSession, folder: str, names=OUTPUTS) -> DataFrame:
         .option("recursiveFileLookup", "true")
         .load(folder)
         .select(
-            F.substring_index(F.expr(f"replace(path, 'file:', '')"), "/", -1).alias("file"),
+            F.substring_index("path", "/", -1).alias("file"),
             "path",
             "length",
         )
         .filter(~F.col("file").startswith("_"))
     )
-    named = F.coalesce(
-        *[F.when(F.contains(F.col("path"), F.lit(f"/{n}/")), n) for n in names],
-    )
+    named = F.coalesce(*[F.when(F.col("path").contains(f"/{n}/"), n) for n in names])
     sizes = listed.groupBy(named.alias("name")).agg(F.sum("length").alias("bytes"))
     expected = spark.createDataFrame([(n,) for n in names], "name string")
     return (

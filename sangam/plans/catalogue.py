@@ -16,6 +16,7 @@ from ..schema import LOAD_ORDER
 from ..session import fresh_path, spread
 from ..sources import (
     SourceFile,
+    empty_source,
     file_kinds,
     lines_to_sentences,
     missing_from,
@@ -168,7 +169,7 @@ def previews(spark, d):
 
 @query
 def unify_ids(spark, d):
-    rows = unify(C.loaded_lines(spark, d), C.loaded_turns(spark, d))
+    rows = unify(C.loaded_lines(spark, d), empty_source(spark), C.loaded_turns(spark, d))
     return rows.select(
         "sentence_id", "source", "split", "text", joined("tokens"), joined("lid_tags")
     )

@@ -3,6 +3,7 @@ from .conll import lines_to_sentences, read_conll
 from .id_files import file_kinds, inspect_id_only, sample_ids, task_verdicts
 from .manifest import (
     SourceFile,
+    empty_source,
     manifest_frame,
     missing_files,
     missing_from,

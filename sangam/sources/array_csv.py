@@ -11,7 +11,7 @@ from ..functions.text import text_of
 from ..schema import LOADED
 from ..session import largest_file
 from .lines import BLOCK, group_lines, read_lines
-from .manifest import SourceFile, present_files
+from .manifest import SourceFile, empty_source, present_files
 
 QUOTING = {"quote": '"', "escape": '"'}
 SPLIT_ABOVE = 256 * 1024 * 1024
@@ -122,5 +122,5 @@ def read_array_csv(
             rows.append(_whole_files(spark, rank, entry, [words, tags]))
     rows += [_split_files(spark, e, columns, [words, tags]) for columns, e in big.items()]
     if not rows:
-        return spark.createDataFrame([], LOADED)
+        return empty_source(spark)
     return reduce(DataFrame.unionByName, [rows_to_sentences(r, words, tags, strict) for r in rows])

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import is_blank, strip_ws, text_of
-from ..schema import LOADED
 from .lines import group_lines, read_lines
-from .manifest import SourceFile, present_files
+from .manifest import SourceFile, empty_source, present_files
 
 
 def _pairs(lines: Column) -> Column:
@@ -50,5 +49,5 @@ def read_conll(spark: SparkSession, manifest: list[SourceFile]) -> DataFrame:
     """Sentences of the CoNLL entries of a manifest, in the ``LOADED`` schema."""
     entries = [(r, e) for r, e in present_files(spark, manifest) if e.kind == "conll"]
     if not entries:
-        return spark.createDataFrame([], LOADED)
+        return empty_source(spark)
     return lines_to_sentences(read_lines(spark, entries))

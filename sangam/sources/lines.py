@@ -57,7 +57,7 @@ def group_lines(
     there.  Only the first and the last run of a block can go on in another
     one; those, at most two per block, are chained in file order afterwards.
 
-    The runs are read twice here and again by whoever numbers them, so they are
+    The runs are read more than once here and again by whoever numbers them, so they are
     written to the shared folder first; ``stage=False`` leaves the plan lazy.
     """
     before = Window.partitionBy(*BLOCK).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,12 +84,19 @@ def group_lines(
         *BLOCK, "source", "split", F.col("_run").alias("pos"), "items"
     )
 
-    chain = Window.partitionBy("rank", "file").orderBy("block", "_run")
-    opens = (F.col("_run") > 0) | F.coalesce(F.lag("_closed").over(chain), F.lit(True))
-    joined = (
-        runs.filter(~inside)
+    # Chains are found on the keys alone, about two thin rows per block of a file; the
+    # items follow by a join, spread over all tasks.
+    order = Window.partitionBy("rank", "file").orderBy("block", "_run")
+    opens = (F.col("_run") > 0) | F.coalesce(F.lag("_closed").over(order), F.lit(True))
+    parts = runs.filter(~inside)
+    chains = (
+        parts.select(*BLOCK, "_run", "_closed")
         .withColumn("_opens", opens.cast("bigint"))
-        .withColumn("_chain", F.sum("_opens").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_chain", F.sum("_opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .select(*BLOCK, "_run", "_chain")
+    )
+    joined = (
+        parts.join(chains, [*BLOCK, "_run"])
         .groupBy("rank", "source", "split", "file", "_chain")
         .agg(
             F.sum("_n").alias("_n"),

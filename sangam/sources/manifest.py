@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..schema import SPLITS
+from ..schema import LOADED, SPLITS
 from ..session import path_exists
 
 
@@ -45,6 +45,11 @@ def present_files(spark: SparkSession, manifest: list[SourceFile]) -> list[tuple
     return found
 
 
+def empty_source(spark: SparkSession) -> DataFrame:
+    """What a source without text, such as one of bare ids, adds to the corpus."""
+    return spark.createDataFrame([], LOADED)
+
+
 def manifest_frame(spark: SparkSession, manifest: list[SourceFile]) -> DataFrame:
     rows = [
         (rank, e.source, e.split, e.path, e.kind, e.must_exist, path_exists(spark, e.path))
