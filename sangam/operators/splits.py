@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import attach
+from ..session import attach, computed
 
 RARE_BELOW, TOO_FEW = 3, 10
 # 16^4 parts per stratum, so that one stratum may hold nearly all rows.
@@ -73,13 +73,11 @@ def assign_splits(df: DataFrame, seed: int = 42, max_strata: int = MAX_STRATA) -
     ``df`` is read three times, so pass a written or otherwise cheap table.
     """
     columns = df.columns
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("sentence_id").cast("string")))
-    keyed = (
-        df.withColumn("stratum", stratum_key())
-        .withColumn("key", F.struct(digest.alias("h"), F.col("sentence_id").alias("id")))
-        .withColumn("part", F.substring("key.h", 1, HASH_DIGITS))
-    )
-    open_rows = keyed.filter(~has_split(F.col("split")))
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col("sentence_id").cast("string")))
+    key = F.struct(digest.alias("h"), F.col("sentence_id").alias("id"))
+    missing = ~has_split(F.col("split"))
+    keyed = computed(df.withColumn("stratum", stratum_key()), "key", F.when(missing, key))
+    open_rows = keyed.filter(missing).withColumn("part", F.substring("key.h", 1, HASH_DIGITS))
     parts = _parts(open_rows.select("stratum", "part"))
     by_key = Window.partitionBy("stratum", "part").orderBy("key")
 
@@ -103,7 +101,7 @@ def assign_splits(df: DataFrame, seed: int = 42, max_strata: int = MAX_STRATA) -
         labelled = attach(keyed, cuts, ["stratum"], max_strata)
     if labelled is not None:
         label = _label(F.col("key") <= F.col("last_train"), F.col("key") <= F.col("last_held"))
-        split = F.when(has_split(F.col("split")), F.col("split")).otherwise(label)
+        split = F.when(missing, label).otherwise(F.col("split"))
         return labelled.withColumn("split", split).select(*columns)
 
     ranked = (
@@ -112,5 +110,5 @@ def assign_splits(df: DataFrame, seed: int = 42, max_strata: int = MAX_STRATA) -
         .withColumn("rank", F.col("before") + F.col("in_part"))
     )
     label = _label(F.col("rank") <= F.col("n_train"), F.col("rank") <= F.col("n_held"))
-    kept = df.filter(has_split(F.col("split")))
+    kept = df.filter(~missing)
     return kept.unionByName(ranked.withColumn("split", label).select(*columns))

@@ -34,7 +34,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -390,7 +390,7 @@ def _verdicts(spark, d):
 
 
 @query
-def task_verdicts_report(spark, d):
+def task_verdicts_(spark, d):
     return _verdicts(spark, d)[1]
 
 

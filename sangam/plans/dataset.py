@@ -42,7 +42,7 @@ def build_dataset(
 ) -> DataFrame:
     """Prepare the corpus of a manifest and write all outputs below ``folder``.
 
-    Manifest order is load order; token files come ahead of CSV files.
+    The order of the manifest is the load order, whatever the kinds of its files.
     """
-    frames = [read_conll(spark, manifest), read_array_csv(spark, manifest)]
-    return write_outputs(prepare(*frames, **options), folder, partition_by)
+    loaded = read_conll(spark, manifest).unionByName(read_array_csv(spark, manifest))
+    return write_outputs(prepare(loaded, **options), folder, partition_by)

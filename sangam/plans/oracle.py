@@ -338,7 +338,7 @@ FROM (SELECT script_type, count(*) AS n, count(*) / sum(count(*)) OVER () * 100
         "array_csv_files": CSV_FILES,
         "array_csv_split_files": CSV_FILES,
         "id_only_files": over(TASKS, "SELECT task, file, name, id_only FROM kinds"),
-        "task_verdicts_report": over(TASKS, "SELECT * FROM verdicts"),
+        "task_verdicts": over(TASKS, "SELECT * FROM verdicts"),
         "task_sample_ids": over(
             TASKS,
             """SELECT task, file, line_no, value FROM (

@@ -1,3 +1,5 @@
+import random
+import re
 import sys
 
 import pytest
@@ -47,6 +49,28 @@ def test_guards_change_nothing(spark):
         assert guarded == without
 
 
+PIECES = [
+    *"aZ9_@#.,:/'<- ",
+    *"\t\n\x0b\x1c\x85\xa0",
+    *"\N{EM SPACE}\N{IDEOGRAPHIC SPACE}\N{ZERO WIDTH SPACE}\N{LATIN SMALL LETTER LONG S}",
+    *"\N{DEVANAGARI LETTER NA}\N{DEVANAGARI VOWEL SIGN E}\N{LATIN SMALL LETTER E WITH ACUTE}\N{GRINNING FACE}",
+    *["http://", "HTTPS://", "www.", "WwW.", "t.co/", "T.CO/", "@user", "a@b.co", "://", "ok "],
+]
+
+
+def test_cleaning_of_random_text(spark):
+    """Against the same rules in Python's regular expressions."""
+    rng = random.Random(7)
+    cells = ["".join(rng.choices(PIECES, k=rng.randrange(14))) for _ in range(4000)]
+
+    def expected(text):
+        text = re.sub(r"(?i)(?:https?://|www\.|t\.co/)\S+", "", text)
+        return " ".join(re.sub(r"@\w+", "", text).split())
+
+    got = values(spark, cells, S.clean_text, S.tokens_of, S.strip_ws)
+    assert got == [(expected(c), c.split(), c.strip()) for c in cells]
+
+
 def code_points():
     return [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF]
 

@@ -249,3 +249,28 @@ def test_awkward_text_survives_csv(spark, tmp_path):
     S.write_csv(df, str(tmp_path / "c.csv"))
     back = S.read_csv(spark, str(tmp_path / "c.csv")).orderBy("sentence_id").collect()
     assert [r.text for r in back] == texts and [r.tokens for r in back] == [t.split() for t in texts]
+
+
+def test_empty_input(spark, tmp_path):
+    none = sentences(spark, [("a", "train", "x")]).filter("false")
+    assert S.apply_cleaning(none).count() == 0
+    report = S.cleaning_report(none).first()
+    assert (report.rows_before, report.rows_after, report.pct_dropped) == (0, 0, 0.0)
+    assert S.prepare(S.empty_source(spark)).count() == 0
+    assert S.assign_splits(S.with_script(none)).count() == 0
+    assert S.summary(none).count() == 0
+
+
+def test_manifest_order_holds_across_kinds(spark, tmp_path):
+    manifest = corpus_files(tmp_path)
+    built = S.build_dataset(spark, manifest[3:] + manifest[:3], str(tmp_path / "out"))
+    assert [r.source for r in built.orderBy("sentence_id").collect()] == ["csv"] * 30 + ["tok"] * 45
+
+
+def test_unsplit_rows_get_a_split_in_the_whole_job(spark, tmp_path):
+    body = "".join(f"w{i}\tHI\nx\tEN\ny\tEN\n\n" for i in range(50))
+    (tmp_path / "all.txt").write_text(body)
+    built = S.build_dataset(
+        spark, [S.SourceFile("s", None, str(tmp_path / "all.txt"))], str(tmp_path / "out")
+    )
+    assert Counter(r.split for r in built.collect()) == {"train": 40, "validation": 5, "test": 5}
