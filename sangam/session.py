@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,21 +27,61 @@ def local_session(cores="*", shuffle_partitions=8, app="sangam", **conf) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can read, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local path would be lost together with its executor.
+    Only a session of one process may fall back to a temporary folder, and its own
+    checkpoint setting stays as it is: on a cluster a machine-local path would be lost
+    together with its executor, so there the setting is required and ``file:`` folders
+    are up to the caller to share.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,]*(, *\d+)?\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the whole cluster")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="sangam-"))
-        folder = context.getCheckpointDir()
+        folder = _own_folders.setdefault(context.applicationId, None) or tempfile.mkdtemp(prefix="sangam-")
+        _own_folders[context.applicationId] = folder
     return folder.rstrip("/")
 
 
+#: Per application: the fallback folder of a one-process session, and the folder of this job.
+_own_folders: dict[str, str | None] = {}
+_job_folders: dict[str, str] = {}
+
+
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def job_folder(spark: SparkSession) -> str:
+    """One folder per application below the shared folder; it goes when the session's JVM ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _job_folders:
+        folder = f"{shared_folder(spark)}/sangam-{uuid.uuid4().hex}"
+        fs, hadoop_path = _hadoop(spark, folder)
+        fs.mkdirs(hadoop_path)
+        fs.deleteOnExit(hadoop_path)
+        _job_folders[application] = folder
+    return _job_folders[application]
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{job_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that this job wrote below its own folder."""
+    if not path.startswith(job_folder(spark) + "/"):
+        raise ValueError(f"{path} is not below the folder of this job")
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def remove_all(spark: SparkSession) -> None:
+    """Delete every table this job staged; results that still read them can't be read again."""
+    folder = _job_folders.pop(spark.sparkContext.applicationId, None)
+    if folder:
+        fs, hadoop_path = _hadoop(spark, folder)
+        fs.delete(hadoop_path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
