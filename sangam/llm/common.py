@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
 import re
 
 import pyarrow as pa
@@ -14,7 +16,19 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORDS = re.compile(WORD)
 
 
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it.
+
+    Executors elsewhere need it installed, or sent with ``addPyFile``.
+    """
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +41,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        find_package(spark)
         self.spark = spark
         self.root = fresh_path(spark, name)
 
@@ -48,6 +63,7 @@ def arrow_rows(df: DataFrame, function, schema: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
 
+    find_package(df.sparkSession)
     parsed = _parse_datatype_string(schema)
     assert isinstance(parsed, StructType)
     arrow = to_arrow_schema(parsed)

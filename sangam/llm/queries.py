@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, oracle, quality_rules, sharding, warc
+from . import bpe, minhash, oracle, quality_rules, sharding, warc
 
 QUERIES = {
     "op3_bpe": bpe.op3_bpe,
+    "op7_minhash": minhash.op7_minhash,
     "op8_sharding": sharding.op8_sharding,
     "op9_warc": warc.op9_warc,
     "op10_quality_rules": quality_rules.op10_quality_rules,
