@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, minhash, oracle, quality_rules, sharding, warc
+from . import bpe, minhash, oracle, quality_rules, secrets, sharding, warc
 
 QUERIES = {
     "op3_bpe": bpe.op3_bpe,
+    "op5_secrets": secrets.op5_secrets,
     "op7_minhash": minhash.op7_minhash,
     "op8_sharding": sharding.op8_sharding,
     "op9_warc": warc.op9_warc,
