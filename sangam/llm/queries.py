@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, minhash, oracle, quality_rules, secrets, sharding, warc
+from . import bpe, minhash, oracle, quality_rules, rule_ensemble, secrets, sharding, warc
 
 QUERIES = {
+    "op2_rule_ensemble": rule_ensemble.op2_rule_ensemble,
     "op3_bpe": bpe.op3_bpe,
     "op5_secrets": secrets.op5_secrets,
     "op7_minhash": minhash.op7_minhash,
