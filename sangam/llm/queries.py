@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, minhash, oracle, quality_rules, rule_ensemble, secrets, sharding, warc
+from . import bpe, decontamination, minhash, oracle, quality_rules, rule_ensemble, secrets, sharding, warc
 
 QUERIES = {
     "op2_rule_ensemble": rule_ensemble.op2_rule_ensemble,
     "op3_bpe": bpe.op3_bpe,
+    "op4_decontamination": decontamination.op4_decontamination,
     "op5_secrets": secrets.op5_secrets,
     "op7_minhash": minhash.op7_minhash,
     "op8_sharding": sharding.op8_sharding,
