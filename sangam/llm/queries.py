@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, minhash, oracle, quality_rules, rule_ensemble, secrets, sharding, warc
+from . import bpe, decontamination, minhash, oracle, quality_rules, rule_ensemble, secrets, sharding, suffix_dedup, warc
 
 QUERIES = {
+    "op1_suffix_array": suffix_dedup.op1_suffix_array,
     "op2_rule_ensemble": rule_ensemble.op2_rule_ensemble,
     "op3_bpe": bpe.op3_bpe,
     "op4_decontamination": decontamination.op4_decontamination,
