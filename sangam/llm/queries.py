@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontamination, minhash, oracle, quality_rules, rule_ensemble, secrets, sharding, suffix_dedup, warc
+from . import bpe, chaining, decontamination, minhash, oracle, quality_rules, rule_ensemble, secrets, sharding, suffix_dedup, warc
 
 QUERIES = {
     "op1_suffix_array": suffix_dedup.op1_suffix_array,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_bpe": bpe.op3_bpe,
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_secrets": secrets.op5_secrets,
+    "op6_chaining": chaining.op6_chaining,
     "op7_minhash": minhash.op7_minhash,
     "op8_sharding": sharding.op8_sharding,
     "op9_warc": warc.op9_warc,
