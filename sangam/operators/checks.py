@@ -92,6 +92,53 @@ def unified_table(expected: DataFrame, df: DataFrame) -> DataFrame:
     )
 
 
+def table_facts(df: DataFrame) -> DataFrame:
+    """Per source: rows, rows for training, null texts; and how often an id occurs again.
+
+    One pass.  A repeated id counts for one of the sources it occurs in.
+    """
+    by_id = df.groupBy("source", "sentence_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("split") == "train").alias("train"),
+        F.count_if(F.col("text").isNull()).alias("nulls"),
+    )
+    seen = by_id.groupBy("sentence_id").agg(
+        (F.sum("n") - 1).alias("again"), F.collect_list(F.struct("source", "n", "train", "nulls")).alias("seen")
+    )
+    rows = seen.select("again", F.posexplode("seen").alias("place", "s"))
+    return rows.groupBy("s.source").agg(
+        F.sum("s.n").alias("n_rows"),
+        F.sum("s.train").alias("n_train"),
+        F.sum("s.nulls").alias("n_nulls"),
+        F.sum(F.when(F.col("place") == 0, F.col("again")).otherwise(0)).alias("n_repeated"),
+    )
+
+
+def table_gates(expected: DataFrame, facts: DataFrame, at_least: int = 25_000) -> DataFrame:
+    """Train size, sources loaded, sources empty, ids repeated and texts null, from ``table_facts``."""
+
+    def zero(n: Column) -> Column:
+        return F.when(n == 0, PASSED).otherwise(FAILED)
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0))
+
+    loaded = sources_loaded(expected, facts)
+    empty = F.col("threshold") - F.col("observed")
+    sums = facts.agg(total("n_train").alias("train"), total("n_repeated").alias("repeated"), total("n_nulls").alias("nulls"))
+    train = F.when(F.col("train") >= at_least, PASSED).otherwise(WARNING)
+    rows = F.explode(
+        F.array(
+            F.struct(*gate("train_rows", F.col("train"), at_least, train)),
+            F.struct(*gate("repeated_ids", F.col("repeated"), 0, zero(F.col("repeated")))),
+            F.struct(*gate("null_texts", F.col("nulls"), 0, zero(F.col("nulls")))),
+        )
+    )
+    return sums.select(rows.alias("c")).select("c.*").unionByName(loaded).unionByName(
+        loaded.select(*gate("empty_sources", empty, 0, zero(empty)))
+    )
+
+
 def share_dropped(report: DataFrame, fail_above: float = 90, warn_above: float = 50) -> DataFrame:
     pct = F.col("pct_dropped")
     status = F.when(pct > fail_above, FAILED).when(pct > warn_above, WARNING).otherwise(PASSED)

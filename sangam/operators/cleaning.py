@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import percent
 from ..functions.text import clean_text, clean_token_count, clean_tokens
@@ -62,21 +62,42 @@ def apply_cleaning(
     return retokenised(renumber(kept)).select(*df.columns)
 
 
-def cleaning_report(df: DataFrame, min_tokens=MIN_TOKENS, max_tokens=MAX_TOKENS) -> DataFrame:
-    """One row: rows before, dropped as duplicates, then by length, after, percents.
+def cleaning_counts(
+    df: DataFrame, min_tokens=MIN_TOKENS, max_tokens=MAX_TOKENS, **labels: Column
+) -> DataFrame:
+    """Distinct cleaned texts and their rows by whether the length fits and by ``labels``, columns over ``text``.
 
     Whatever row of a text is kept, its length is the same, so counts per distinct
-    text are enough and copies are combined ahead of the shuffle.
+    text are enough and copies are combined ahead of the shuffle.  Texts are told
+    apart by their MD5, so the shuffle carries digests.
     """
-    texts = cleaned(df).groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
-    fits = F.coalesce(
-        clean_token_count(F.col("text")).between(min_tokens, max_tokens), F.lit(False)
+    text = F.col("text")
+    fits = F.coalesce(clean_token_count(text).between(min_tokens, max_tokens), F.lit(False))
+    names = ["fits", *labels]
+    texts = cleaned(df).select(
+        F.unhex(F.md5(text)).alias("digest"), fits.alias("fits"), *(c.alias(n) for n, c in labels.items())
     )
-    counts = texts.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows_before"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("dropped_duplicates"),
-        F.count_if(~fits).alias("dropped_length"),
-        F.count_if(fits).alias("rows_after"),
+    texts = texts.groupBy("digest", *names).agg(F.count(F.lit(1)).alias("copies"))
+    return texts.groupBy(*names).agg(F.count(F.lit(1)).alias("texts"), F.sum("copies").alias("copies"))
+
+
+def cleaning_report(df: DataFrame, min_tokens=MIN_TOKENS, max_tokens=MAX_TOKENS) -> DataFrame:
+    """One row: rows before, dropped as duplicates, then by length, after, percents."""
+    return report_of(cleaning_counts(df, min_tokens, max_tokens))
+
+
+def report_of(counted: DataFrame) -> DataFrame:
+    """The cleaning report of ``cleaning_counts``, whatever its labels."""
+
+    def total(column: Column) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0))
+
+    texts, copies, fits = F.col("texts"), F.col("copies"), F.col("fits")
+    counts = counted.agg(
+        total(copies).alias("rows_before"),
+        total(copies - texts).alias("dropped_duplicates"),
+        total(F.when(~fits, texts).otherwise(0)).alias("dropped_length"),
+        total(F.when(fits, texts).otherwise(0)).alias("rows_after"),
     )
     dropped = F.col("dropped_duplicates") + F.col("dropped_length")
     before = F.col("rows_before")

@@ -114,7 +114,7 @@ def length_stats(df: DataFrame) -> DataFrame:
 
 def tag_vocab(df: DataFrame) -> DataFrame:
     """Distinct tags, sorted."""
-    return df.select(F.explode("lid_tags").alias("tag")).distinct().orderBy("tag")
+    return df.select(F.explode(F.array_distinct("lid_tags")).alias("tag")).distinct().orderBy("tag")
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -14,7 +14,13 @@ ARRAYS = ("tokens", "lid_tags")
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=(), mode: str = "overwrite") -> None:
-    """Parquet with array columns as they are."""
+    """Parquet with array columns as they are.
+
+    With ``partition_by``, rows are first rebalanced on those columns: small partitions
+    get one file rather than one per task, large ones as many as their size asks for.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import attach, computed
+from ..session import computed, staged
 
 RARE_BELOW, TOO_FEW = 3, 10
 # 16^4 parts per stratum, so that one stratum may hold nearly all rows.
 HASH_DIGITS = 4
-MAX_STRATA = 50_000
 
 
 def has_split(split: Column) -> Column:
@@ -60,17 +59,17 @@ def _label(train: Column, validation: Column) -> Column:
     return F.when(train, "train").when(validation, "validation").otherwise("test")
 
 
-def assign_splits(df: DataFrame, seed: int = 42, max_strata: int = MAX_STRATA) -> DataFrame:
+def assign_splits(df: DataFrame, seed: int = 42) -> DataFrame:
     """Fill missing splits 80/10/10 per stratum (source and script type); keep the others.
 
     Rows of a stratum are ranked by ``md5(seed|sentence_id)``.  No stratum is ever
     sorted as a whole: rows are counted per leading hash digits, only the parts
     that hold one of the two cut ranks are sorted, and the row found there is the
-    cut.  Each row is then compared with the cuts of its stratum, which are
-    broadcast; ``df`` itself is not shuffled.  Beyond ``max_strata`` strata every
-    part is ranked instead, by one shuffle on (stratum, part).
+    cut.  Each row is then compared with the cuts of its stratum.  Cut parts and cuts
+    are thin written tables, so the planner knows their size when it chooses how to join
+    them: by broadcast while they are small, and else by a shuffle that it may split.
 
-    ``df`` is read three times, so pass a written or otherwise cheap table.
+    ``df`` is read three times, two of them here, so pass a written or otherwise cheap table.
     """
     columns = df.columns
     digest = F.md5(F.concat(F.lit(f"{seed}|"), F.col("sentence_id").cast("string")))
@@ -78,37 +77,23 @@ def assign_splits(df: DataFrame, seed: int = 42, max_strata: int = MAX_STRATA) -
     missing = ~has_split(F.col("split"))
     keyed = computed(df.withColumn("stratum", stratum_key()), "key", F.when(missing, key))
     open_rows = keyed.filter(missing).withColumn("part", F.substring("key.h", 1, HASH_DIGITS))
-    parts = _parts(open_rows.select("stratum", "part"))
-    by_key = Window.partitionBy("stratum", "part").orderBy("key")
-
-    cut_parts = parts.filter(_in_part("n_train") | _in_part("n_held")).select(
-        "stratum", "part", "before", "n_train", "n_held"
+    cut_parts = (
+        _parts(open_rows.select("stratum", "part"))
+        .filter(_in_part("n_train") | _in_part("n_held"))
+        .select("stratum", "part", "before", "n_train", "n_held")
     )
-    candidates = attach(
-        open_rows.select("stratum", "part", "key"), cut_parts, ["stratum", "part"], 2 * max_strata
-    )
-    labelled = None
-    if candidates is not None:
-        cuts = (
-            candidates.filter(F.col("before").isNotNull())
-            .withColumn("rank", F.col("before") + F.row_number().over(by_key))
-            .groupBy("stratum")
-            .agg(
-                F.max(F.when(F.col("rank") == F.col("n_train"), F.col("key"))).alias("last_train"),
-                F.max(F.when(F.col("rank") == F.col("n_held"), F.col("key"))).alias("last_held"),
-            )
+    by_key = Window.partitionBy("stratum", "part").orderBy("key")
+    cuts = (
+        open_rows.select("stratum", "part", "key")
+        .join(staged(cut_parts, "cut-parts"), ["stratum", "part"])
+        .withColumn("rank", F.col("before") + F.row_number().over(by_key))
+        .groupBy("stratum")
+        .agg(
+            F.max(F.when(F.col("rank") == F.col("n_train"), F.col("key"))).alias("last_train"),
+            F.max(F.when(F.col("rank") == F.col("n_held"), F.col("key"))).alias("last_held"),
         )
-        labelled = attach(keyed, cuts, ["stratum"], max_strata)
-    if labelled is not None:
-        label = _label(F.col("key") <= F.col("last_train"), F.col("key") <= F.col("last_held"))
-        split = F.when(missing, label).otherwise(F.col("split"))
-        return labelled.withColumn("split", split).select(*columns)
-
-    ranked = (
-        open_rows.withColumn("in_part", F.row_number().over(by_key))
-        .join(parts, ["stratum", "part"])
-        .withColumn("rank", F.col("before") + F.col("in_part"))
     )
-    label = _label(F.col("rank") <= F.col("n_train"), F.col("rank") <= F.col("n_held"))
-    kept = df.filter(~missing)
-    return kept.unionByName(ranked.withColumn("split", label).select(*columns))
+    label = _label(F.col("key") <= F.col("last_train"), F.col("key") <= F.col("last_held"))
+    split = F.when(missing, label).otherwise(F.col("split"))
+    labelled = keyed.join(staged(cuts, "cuts"), "stratum", "left")
+    return labelled.withColumn("split", split).select(*columns)

@@ -13,7 +13,7 @@ from .. import functions as X
 from ..operators import checks, cleaning, reports, sinks, splits
 from ..operators.ids import dense_ids, unify
 from ..schema import LOAD_ORDER
-from ..session import fresh_path, spread
+from ..session import fresh_path, spread, staged
 from ..sources import (
     SourceFile,
     empty_source,
@@ -121,6 +121,17 @@ def parse_array_repr(spark, d):
     )
 
 
+@query
+def parse_array_repr_strict(spark, d):
+    """Both kinds of quotes delimit an item."""
+    rows = C.array_rows(spark, d)
+    parsed = X.parse_array_repr(F.col("words"), strict=True).alias("items")
+    items = rows.select("doc_id", "line_no", parsed)
+    return items.select(
+        "doc_id", "line_no", joined("items", "|"), F.size("items").cast("bigint").alias("n")
+    )
+
+
 @query
 def array_to_string(spark, d):
     """JSON text of the token arrays, read back for the comparison."""
@@ -252,8 +263,8 @@ def script_by_split(spark, d):
 
 @query
 def load_counts_rollup(spark, d):
-    rows = C.document_lines(spark, d).filter(splits.has_split(F.col("split")))
-    return reports.load_counts(rows)
+    """All rows count; ``level`` tells a row without split from a total."""
+    return reports.load_counts(C.document_lines(spark, d))
 
 
 @query
@@ -351,24 +362,23 @@ def array_csv_rows(spark, d):
     )
 
 
-def _csv_round_trip(spark, d, split_above):
+def _csv_round_trip(spark, d, records):
     path = fresh_path(spark, "array-csv")
-    C.write_array_csv(spark, d, path)
-    manifest = split_manifest(path, "array_csv")
-    rows = unify(read_array_csv(spark, manifest, split_above=split_above))
+    C.write_array_csv(spark, d, path, records)
+    rows = unify(read_array_csv(spark, split_manifest(path, "array_csv")))
     return rows.select("sentence_id", "split", "text", joined("tokens", "|"), joined("lid_tags"))
 
 
 @query
 def array_csv_files(spark, d):
-    """The corpus written as multi-line CSV files and read back, a file per task."""
-    return _csv_round_trip(spark, d, split_above=1 << 62)
+    """The corpus written as multi-line CSV files and read back."""
+    return _csv_round_trip(spark, d, records=0)
 
 
 @query
 def array_csv_split_files(spark, d):
-    """The same files read in splits, as for files too big for one task."""
-    return _csv_round_trip(spark, d, split_above=0)
+    """The same, with the corpus split over many files, which are read in parallel."""
+    return _csv_round_trip(spark, d, records=500)
 
 
 def _task_files(spark, d):
@@ -386,33 +396,30 @@ def _verdicts(spark, d):
     lines, kinds = _task_files(spark, d)
     present = lines.select("task").distinct().withColumn("present", F.lit(True))
     absent = spark.createDataFrame([("absent", False)], present.schema)
-    return lines, task_verdicts(kinds, present.unionByName(absent))
+    return task_verdicts(kinds, present.unionByName(absent))
 
 
 @query
 def task_verdicts_(spark, d):
-    return _verdicts(spark, d)[1]
+    return _verdicts(spark, d)
 
 
 @query
 def task_sample_ids(spark, d):
-    lines, verdicts = _verdicts(spark, d)
-    return sample_ids(lines, verdicts).withColumn("line_no", F.col("line_no").cast("bigint"))
+    lines, kinds = _task_files(spark, d)
+    return sample_ids(lines, kinds).withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
 @query
 def skip_decision(spark, d):
-    return checks.skip_decision(_verdicts(spark, d)[1], has_access=False)
+    return checks.skip_decision(_verdicts(spark, d), has_access=False)
 
 
 @query
 def missing_files(spark, d):
-    """Expected sources, one of them unknown, that the table does not have."""
-    documents = C.table(spark, d, "documents")
-    expected = documents.select("source").distinct().unionByName(
-        spark.createDataFrame([("no_such_source",)], "source string")
-    )
-    return missing_from(expected, documents, "source")
+    """Those of 24 expected sources that the table does not have."""
+    expected = spark.range(24).select(F.concat(F.lit("src"), F.col("id").cast("string")).alias("source"))
+    return missing_from(expected, C.table(spark, d, "documents"), "source")
 
 
 # Splits
@@ -436,19 +443,20 @@ def split_gate(spark, d):
 # Gates
 
 
+EXPECTED = ("en", "de", "es", "fr", "it", "pt")
+
+
 @query
 def quality_gates(spark, d):
-    lines = C.document_lines(spark, d)
-    raw = C.raw_corpus(spark, d)
-    expected = lines.select("source").distinct().unionByName(
-        spark.createDataFrame([("no_such_source",)], "source string")
-    )
+    """Gates over the numbered table and its cleaned texts: one pass each, besides the numbering's."""
+    expected = spark.createDataFrame([(source,) for source in EXPECTED], "source string")
+    facts = staged(checks.table_facts(C.raw_corpus(spark, d)), "facts")
+    lines, label = C.document_lines(spark, d), X.script_label(F.col("text"))
+    counts = staged(cleaning.cleaning_counts(lines, script_type=label), "counts")
     return checks.all_checks(
-        checks.train_size(lines),
-        checks.sources_loaded(expected, lines),
-        checks.unified_table(expected, raw),
-        checks.share_dropped(cleaning.cleaning_report(lines)),
-        checks.script_types_present(labelled_rows(spark, d)),
+        checks.table_gates(expected, facts),
+        checks.share_dropped(cleaning.report_of(counts)),
+        checks.script_types_present(counts.filter("fits")),
     )
 
 

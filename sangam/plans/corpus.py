@@ -137,23 +137,38 @@ def write_conll(spark: SparkSession, sf_dir: str, path: str) -> None:
     )
 
 
+def printed(item):
+    """An item as arrays of strings print it: double quotes round an apostrophe, backslashes doubled."""
+    plain = F.replace(item, F.lit("\\"), F.lit("\\\\"))
+    single = F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    double = F.concat(F.lit('"'), plain, F.lit('"'))
+    return F.when(F.contains(item, F.lit("'")) & ~F.contains(item, F.lit('"')), double).otherwise(single)
+
+
 def array_cell(items):
     """Items as a printed array, two items to a line."""
     quoted = F.transform(
         items,
-        lambda t, i: F.concat(
-            F.when(i == 0, "").when(i % 2 == 0, "\n ").otherwise(" "),
-            F.lit("'"),
-            F.translate(t, "'\"\\", ""),
-            F.lit("'"),
-        ),
+        lambda t, i: F.concat(F.when(i == 0, "").when(i % 2 == 0, "\n ").otherwise(" "), printed(t)),
     )
     return F.concat(F.lit("["), F.array_join(quoted, ""), F.lit("]"))
 
 
+def hard_tokens(tokens, k):
+    """Some tokens with the characters that printed arrays quote: apostrophe, quote, both, backslash."""
+    return F.transform(
+        tokens,
+        lambda t, i: F.when((k + i) % 23 == 0, F.concat(t, F.lit("'s")))
+        .when((k + i) % 29 == 0, F.concat(F.lit('"'), t, F.lit('"')))
+        .when((k + i) % 31 == 0, F.concat(F.lit("'"), t, F.lit('"')))
+        .when((k + i) % 37 == 0, F.concat(t, F.lit("\\"), t))
+        .otherwise(t),
+    )
+
+
 def array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus as CSV rows with array cells."""
-    tokens = tokens_of(F.col("text"))
+    """The corpus as CSV rows with array cells, some with hard characters."""
+    tokens = hard_tokens(tokens_of(F.col("text")), F.col("doc_id") + F.col("line_no"))
     return document_lines(spark, sf_dir).select(
         "doc_id",
         "line_no",
@@ -164,8 +179,11 @@ def array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_array_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The array rows as multi-line CSV files, one folder per split, in corpus order."""
+def write_array_csv(spark: SparkSession, sf_dir: str, path: str, records: int = 0) -> None:
+    """The array rows as multi-line CSV files, one folder per split, in corpus order.
+
+    With ``records``, a file has so many at most.
+    """
     (
         array_rows(spark, sf_dir)
         .withColumn("part", part_of_split())
@@ -173,7 +191,7 @@ def write_array_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
         .sortWithinPartitions("part", "doc_id", "line_no")
         .select("part", "source", "words", "lid")
         .write.partitionBy("part")
-        .options(header=True, quote='"', escape='"')
+        .options(header=True, quote='"', escape='"', maxRecordsPerFile=records)
         .csv(path)
     )
 

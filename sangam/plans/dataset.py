@@ -10,7 +10,7 @@ from ..operators.ids import dense_ids, in_load_order
 from ..operators.sinks import write_outputs
 from ..operators.splits import assign_splits, has_split
 from ..schema import FINAL, LOAD_ORDER
-from ..session import staged
+from ..session import staged, staging
 from ..sources import SourceFile, read_array_csv, read_conll
 
 
@@ -26,7 +26,8 @@ def prepare(
     Duplicates are judged by load order directly, so rows are numbered only once,
     after cleaning.  The surviving rows are written to the shared folder before the
     numbering, which reads them twice; they are written numbered only if
-    some lack a split, because the split assignment reads them three times.
+    some lack a split, because the split assignment reads them three times.  Calling this
+    runs jobs.
     """
     kept = clean_rows(in_load_order(*frames), LOAD_ORDER, min_tokens, max_tokens)
     kept = staged(kept, "kept")
@@ -43,6 +44,8 @@ def build_dataset(
     """Prepare the corpus of a manifest and write all outputs below ``folder``.
 
     The order of the manifest is the load order, whatever the kinds of its files.
+    Staged tables are gone when this returns.
     """
-    loaded = read_conll(spark, manifest).unionByName(read_array_csv(spark, manifest))
-    return write_outputs(prepare(loaded, **options), folder, partition_by)
+    with staging(spark):
+        loaded = read_conll(spark, manifest).unionByName(read_array_csv(spark, manifest))
+        return write_outputs(prepare(loaded, **options), folder, partition_by)

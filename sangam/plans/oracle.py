@@ -146,12 +146,26 @@ PART = (
     "CASE coalesce(split, '') WHEN 'train' THEN 0 WHEN 'validation' THEN 1 "
     "WHEN 'test' THEN 2 ELSE 3 END"
 )
-CSV_ROWS = f"""{RAW},
+#: Tokens with hard characters, printed as arrays of strings are, and parsed again.
+CSV_ROWS = rf"""{RAW},
+hard AS (
+  SELECT *, list_transform({tokens('text')}, lambda t, i:
+    CASE WHEN (doc_id + line_no + i - 1) % 23 = 0 THEN t || '''s'
+      WHEN (doc_id + line_no + i - 1) % 29 = 0 THEN '"' || t || '"'
+      WHEN (doc_id + line_no + i - 1) % 31 = 0 THEN '''' || t || '"'
+      WHEN (doc_id + line_no + i - 1) % 37 = 0 THEN t || '\' || t ELSE t END) AS words
+  FROM raw),
+printed AS (
+  SELECT *, '[' || array_to_string(list_transform(words, lambda t, i:
+    CASE WHEN i = 1 THEN '' WHEN i % 2 = 1 THEN chr(10) || ' ' ELSE ' ' END ||
+    CASE WHEN contains(t, '''') AND NOT contains(t, '"') THEN '"' || replace(t, '\', '\\') || '"'
+      ELSE '''' || replace(replace(t, '\', '\\'), '''', '\''') || '''' END), '') || ']' AS cell
+  FROM hard),
 cells AS (
-  SELECT *, {tokens('text')} AS words,
-    list_transform({tokens('text')},
-      lambda x: replace(replace(replace(x, '''', ''), '"', ''), '\\', '')) AS items
-  FROM raw)"""
+  SELECT *, regexp_extract_all(cell, '''((?:[^''\\]|\\.)*)''', 1) AS items,
+    list_transform(regexp_extract_all(cell, '''(?:[^''\\]|\\.)*''|"(?:[^"\\]|\\.)*"'),
+      lambda q: substring(q, 2, length(q) - 2)) AS strict_items
+  FROM printed)"""
 CSV_FILES = over(
     CSV_ROWS,
     f"""SELECT row_number() OVER (ORDER BY {PART}, doc_id, line_no) - 1 AS sentence_id,
@@ -213,6 +227,11 @@ def sql() -> dict[str, str]:
             CSV_ROWS,
             f"SELECT doc_id, line_no, {text_of('items', '|')} AS items, len(items) AS n FROM cells",
         ),
+        "parse_array_repr_strict": over(
+            CSV_ROWS,
+            f"""SELECT doc_id, line_no, {text_of('strict_items', '|')} AS items, len(strict_items) AS n
+FROM cells""",
+        ),
         "array_to_string": over(
             RAW, f"SELECT doc_id, line_no, {text_of(tokens('text'), '|')} AS items FROM raw"
         ),
@@ -284,7 +303,7 @@ FROM final GROUP BY script_type""",
         "load_counts_rollup": over(
             RAW,
             """SELECT source, split, count(*) AS n, grouping_id(source, split)::BIGINT AS level
-FROM raw WHERE coalesce(split, '') <> '' GROUP BY ROLLUP (source, split)""",
+FROM raw GROUP BY ROLLUP (source, split)""",
         ),
         "summary": summary(CLEAN, "kept"),
         "script_pivot": over(
@@ -353,8 +372,8 @@ WHERE line_no <= 3 AND value <> ''""",
 FROM (SELECT bool_and(status <> 'has_text') AS no_text,
         count(*) FILTER (status = 'has_text') AS tasks_with_text FROM verdicts)""",
         ),
-        "missing_files": """SELECT source FROM (SELECT DISTINCT source FROM documents
-  UNION ALL SELECT 'no_such_source') EXCEPT SELECT source FROM documents""",
+        "missing_files": """SELECT 'src' || i AS source FROM range(24) t(i)
+EXCEPT SELECT source FROM documents""",
         "stratum_sizes": over(
             CLEAN,
             """SELECT source || '__' || script_type AS stratum, count(*) AS n, count(*) < 3 AS rare
@@ -371,12 +390,17 @@ FROM kept WHERE coalesce(split, '') = '' GROUP BY ALL""",
             "SELECT CASE WHEN bool_or(bad) THEN 'failed' ELSE 'passed' END AS status FROM gates",
         ),
         "quality_gates": over(
-            f"{CLEAN},\nreport AS ({REPORT})",
+            f"""{CLEAN},
+report AS ({REPORT}),
+expected AS (
+  SELECT count(*) AS of, count(*) FILTER (source IN (SELECT source FROM raw)) AS n
+  FROM (VALUES ('en'), ('de'), ('es'), ('fr'), ('it'), ('pt')) v(source))""",
             """SELECT 'train_rows' AS "check", n::DOUBLE AS observed, 25000.0::DOUBLE AS threshold,
   CASE WHEN n >= 25000 THEN 'passed' ELSE 'warning' END AS status
 FROM (SELECT count(*) AS n FROM raw WHERE split = 'train')
-UNION ALL SELECT 'sources_loaded', n, n + 1, 'partial' FROM (SELECT count(DISTINCT source) AS n FROM raw)
-UNION ALL SELECT 'empty_sources', 1, 0, 'failed'
+UNION ALL SELECT 'sources_loaded', n, of, CASE WHEN n = of THEN 'passed' WHEN n > 0 THEN 'partial' ELSE 'failed' END
+  FROM expected
+UNION ALL SELECT 'empty_sources', of - n, 0, CASE WHEN n = of THEN 'passed' ELSE 'failed' END FROM expected
 UNION ALL SELECT 'repeated_ids', n, 0, CASE WHEN n = 0 THEN 'passed' ELSE 'failed' END
   FROM (SELECT count(*) - count(DISTINCT (doc_id, line_no)) AS n FROM raw)
 UNION ALL SELECT 'null_texts', n, 0, CASE WHEN n = 0 THEN 'passed' ELSE 'failed' END

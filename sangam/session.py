@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -64,6 +65,22 @@ def job_folder(spark: SparkSession) -> str:
     return _job_folders[application]
 
 
+@contextmanager
+def staging(spark: SparkSession):
+    """Within this block, tables are staged below a folder of its own, which goes at its end.
+
+    What is returned from the block must not read them any more.
+    """
+    application = spark.sparkContext.applicationId
+    outer = job_folder(spark)
+    folder = _job_folders[application] = f"{outer}/job-{uuid.uuid4().hex}"
+    try:
+        yield folder
+    finally:
+        _job_folders[application] = outer
+        remove(spark, folder)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{job_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -111,19 +128,6 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
-def attach(df: DataFrame, side: DataFrame, on: list[str], max_rows: int) -> DataFrame | None:
-    """Left-join ``side`` by broadcast if it has at most ``max_rows`` rows, else return None.
-
-    The rows are fetched through ``limit(max_rows + 1)``, so the check itself is
-    bounded; the caller supplies the shuffle plan for the other case.
-    """
-    rows = side.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    local = df.sparkSession.createDataFrame(rows, side.schema)
-    return df.join(F.broadcast(local), on, "left")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -131,19 +135,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def empty_files(spark: SparkSession, root: str) -> list[str]:
-    """Paths of the zero-byte files under ``root``, which Spark's own listing leaves out."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+def file_count(spark: SparkSession, folder: str) -> int:
+    """Number of files at any depth, hidden and empty ones too; one call to the file system."""
+    fs, hadoop_path = _hadoop(spark, folder)
+    return fs.getContentSummary(hadoop_path).getFileCount()
+
+
+def files_below(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of all files at any depth, hidden and empty ones too, a call or two for each."""
+    fs, hadoop_path = _hadoop(spark, folder)
     found, files = [], fs.listFiles(hadoop_path, True)
     while files.hasNext():
-        status = files.next()
-        if status.getLen() == 0:
-            found.append(status.getPath().toString())
+        found.append(files.next().getPath().toString())
     return found
-
-
-def largest_file(spark: SparkSession, path: str) -> int:
-    """Bytes of the largest file under ``path``; reads the listing only, no content."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.coalesce(F.max("length"), F.lit(0))).first()[0]

@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.arrays import parse_array_repr
 from ..functions.text import text_of
-from ..schema import LOADED
-from ..session import largest_file
-from .lines import BLOCK, group_lines, read_lines
 from .manifest import SourceFile, empty_source, present_files
 
 QUOTING = {"quote": '"', "escape": '"'}
-SPLIT_ABOVE = 256 * 1024 * 1024
+#: A header may name fewer columns than this.
+MOST_COLUMNS = 64
 
 
 def rows_to_sentences(rows: DataFrame, words="words", tags="lid", strict=False) -> DataFrame:
@@ -38,65 +37,62 @@ def rows_to_sentences(rows: DataFrame, words="words", tags="lid", strict=False)
     )
 
 
-def _whole_files(spark: SparkSession, rank: int, entry: SourceFile, cells: list[str]) -> DataFrame:
-    """One task per file: the built-in reader cannot split multi-line records."""
-    rows = spark.read.options(header=True, multiLine=True, **QUOTING).csv(entry.path)
-    return rows.select(
-        *[c for c in cells if c in rows.columns],
-        F.lit(rank).cast("bigint").alias("rank"),
-        F.lit(entry.source).alias("source"),
-        F.lit(entry.split).cast("string").alias("split"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
-    )
-
-
-def _header(spark: SparkSession, entry: SourceFile) -> tuple[str, ...]:
-    return tuple(spark.read.options(header=True, **QUOTING).csv(entry.path).columns)
+def _named_cells(rows: DataFrame, words: str, tags: str) -> DataFrame:
+    """Rows (file, pos, c0, c1 ...) of whole files to (file, pos, words, lid), by each file's own header.
 
-
-def _split_files(
-    spark: SparkSession,
-    entries: list[tuple[int, SourceFile]],
-    columns: tuple[str, ...],
-    cells: list[str],
-) -> DataFrame:
-    """Any number of tasks per file, for entries with the same columns.
-
-    A line break ends a record when the quotes seen so far are even in number.
-    The parity at the start of a block is the sum over the blocks before it, a
-    table with one row per block; inside a block it is a running sum.
+    The rows of a file lie in one task, in order, and the first is its header, so a batch is cut where the
+    file changes and two of its columns are handed on as they are.
     """
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    lines = read_lines(spark, entries, line_sep="\n")
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    lines = lines.withColumn("_quotes", quotes.cast("bigint"))
-
-    earlier = (
-        Window.partitionBy("rank", "file")
-        .orderBy("block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = (
-        lines.groupBy(*BLOCK)
-        .agg(F.sum("_quotes").alias("_n"))
-        .select(*BLOCK, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    )
-    so_far = Window.partitionBy(*BLOCK).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    lines = lines.withColumn("_seen", F.sum("_quotes").over(so_far)).join(starts, BLOCK)
 
-    records = group_lines(
-        lines, ends=(F.col("_start") + F.col("_seen")) % 2 == 0, keep=F.lit(True)
+    def pick(incoming):
+        file, places = None, []
+        for batch in incoming:
+            files = batch.column(0).to_pylist()
+            start = 0
+            while start < len(files):
+                end = start + 1
+                while end < len(files) and files[end] == files[start]:
+                    end += 1
+                part = batch.slice(start, end - start)
+                if files[start] != file:
+                    file = files[start]
+                    header = [c[0].as_py() for c in part.columns[2:]]
+                    if header[-1] is not None:
+                        raise ValueError(f"{file} has {len(header)} columns or more")
+                    header = [None if name is None else name.removeprefix("\ufeff") for name in header]
+                    places = [header.index(n) if n in header else None for n in (words, tags)]
+                    part = part.slice(1)
+                cells = [pa.nulls(len(part), pa.string()) if p is None else part.column(2 + p) for p in places]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *cells], names=["file", "pos", "words", "lid"]
+                )
+                start = end
+
+    return rows.mapInArrow(pick, "file string, pos bigint, words string, lid string")
+
+
+def _files(spark: SparkSession, rank: int, entry: SourceFile, words: str, tags: str) -> DataFrame:
+    """Array cells of an entry's files, read by the built-in parser, which streams each file in one task.
+
+    Records may span lines, so only a parser that has read everything before knows where
+    one begins; a file is therefore never split, whatever its size.
+    """
+    schema = ", ".join(f"c{i} string" for i in range(MOST_COLUMNS))
+    rows = spark.read.schema(schema).options(header=False, multiLine=True, **QUOTING).csv(entry.path)
+    numbered = rows.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.monotonically_increasing_id().alias("pos"),
+        *(f"c{i}" for i in range(MOST_COLUMNS)),
     )
-    record = F.rtrim(F.array_join("items", "\n"), F.lit("\r"))
-    header = (F.col("block") == 0) & (F.col("pos") == 0)
-    return (
-        records.filter(~header & (record != ""))
-        .withColumn("_row", F.from_csv(record, schema, QUOTING))
-        .select(
-            *LOADED.fieldNames()[:6], *[F.col("_row")[c].alias(c) for c in cells if c in columns]
-        )
+    return _named_cells(numbered, words, tags).select(
+        F.col("words").alias(words),
+        F.col("lid").alias(tags),
+        F.lit(rank).cast("bigint").alias("rank"),
+        F.lit(entry.source).alias("source"),
+        F.lit(entry.split).cast("string").alias("split"),
+        "file",
+        F.lit(0).cast("bigint").alias("block"),
+        "pos",
     )
 
 
@@ -106,21 +102,18 @@ def read_array_csv(
     words: str = "words",
     tags: str = "lid",
     strict: bool = False,
-    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Sentences of the CSV entries of a manifest, in the ``LOADED`` schema.
 
-    Entries with a file of more than ``split_above`` bytes are read in splits.
+    Columns are found by name in each file. A file without one of them has empty arrays there. Lines may
+    end in LF, CRLF or CR. The files of an entry are read in parallel, each by one task: keep
+    very large corpora in many files.
     """
-    rows, big = [], {}
-    for rank, entry in present_files(spark, manifest):
-        if entry.kind != "array_csv":
-            continue
-        if largest_file(spark, entry.path) > split_above:
-            big.setdefault(_header(spark, entry), []).append((rank, entry))
-        else:
-            rows.append(_whole_files(spark, rank, entry, [words, tags]))
-    rows += [_split_files(spark, e, columns, [words, tags]) for columns, e in big.items()]
+    rows = [
+        _files(spark, rank, entry, words, tags)
+        for rank, entry in present_files(spark, manifest)
+        if entry.kind == "array_csv"
+    ]
     if not rows:
         return empty_source(spark)
-    return reduce(DataFrame.unionByName, [rows_to_sentences(r, words, tags, strict) for r in rows])
+    return rows_to_sentences(reduce(DataFrame.unionByName, rows), words, tags, strict)

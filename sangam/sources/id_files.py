@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import is_digits, strip_ws
-from ..session import empty_files, path_exists
+from ..session import file_count, files_below, path_exists
 
 LISTED = "task string, file string, name string"
 
@@ -13,9 +13,11 @@ LISTED = "task string, file string, name string"
 def file_kinds(lines: DataFrame, files: DataFrame) -> DataFrame:
     """One row per file: task, file, name, id_only.
 
-    ``lines`` has task, file, value.  A file is ID-only if it has a non-empty line
-    and all such lines are digits; ``files`` lists every file, so that an empty
-    one, which has no lines, still appears (as text).
+    Every file counts, also an empty one and one with a hidden name (beginning with ``_`` or
+    ``.``), which Spark doesn't open: both are text, as nothing shows that they hold ids.
+
+    ``lines`` has task, file, value; ``files`` lists every file.  A file is ID-only if
+    it has a non-empty line and all such lines are digits.
     """
     value = strip_ws(F.col("value"))
     seen = (
@@ -51,43 +53,50 @@ def task_verdicts(kinds: DataFrame, tasks: DataFrame) -> DataFrame:
     return tasks.join(counts, "task", "left").na.fill(zero).withColumn("status", status).drop("present")
 
 
-def sample_ids(lines: DataFrame, verdicts: DataFrame, n: int = 3) -> DataFrame:
-    """Non-empty ones among the first ``n`` lines of each task's first ID file.
+def sample_ids(lines: DataFrame, kinds: DataFrame, n: int = 3) -> DataFrame:
+    """Non-empty ones among the first ``n`` lines of an ID file of each task.
 
+    That is the first file, by its path, whose first ``n`` lines aren't all empty.
     ``lines`` also carries block and pos.
     """
-    first = verdicts.select("task", F.col("first_id_file").alias("file")).filter("file is not null")
+    files = kinds.filter("id_only").select("task", "file")
     order = Window.partitionBy("task", "file").orderBy("block", "pos")
-    return (
-        lines.join(first, ["task", "file"], "left_semi")
+    heads = (
+        lines.join(files, ["task", "file"], "left_semi")
         .withColumn("line_no", F.row_number().over(order))
         .filter(F.col("line_no") <= n)
         .select("task", "file", "line_no", strip_ws(F.col("value")).alias("value"))
         .filter(F.col("value") != "")
     )
+    first = F.dense_rank().over(Window.partitionBy("task").orderBy("file"))
+    return heads.withColumn("_place", first).filter("_place = 1").drop("_place")
 
 
 def list_files(spark: SparkSession, root: str, tasks: list[str]) -> DataFrame:
-    """Every file under the task folders that exist: task, file, name."""
-    found, empty = None, []
+    """Every file under the task folders that exist: task, file, name.
+
+    Spark lists all but hidden and empty files; only a folder that has such files, by
+    its count, is walked for them.
+    """
+    found = None
     for task in tasks:
-        if not path_exists(spark, f"{root}/{task}"):
+        folder = f"{root}/{task}"
+        if not path_exists(spark, folder):
             continue
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(f"{root}/{task}")
-            .select(
-                F.lit(task).alias("task"),
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_name").alias("name"),
-            )
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        names = listed.select(
+            F.lit(task).alias("task"),
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_name").alias("name"),
+            "path",
         )
-        found = files if found is None else found.unionByName(files)
-        for path in empty_files(spark, f"{root}/{task}"):
-            empty.append((task, path, path.rsplit("/", 1)[-1]))
-    listed = spark.createDataFrame(empty, LISTED)
-    return listed if found is None else found.unionByName(listed)
+        if names.count() < file_count(spark, folder):
+            walked = [(task, path, path.rsplit("/", 1)[-1], path) for path in files_below(spark, folder)]
+            others = spark.createDataFrame(walked, f"{LISTED}, path string")
+            names = names.unionByName(others.join(names.select("path"), "path", "left_anti"))
+        names = names.drop("path")
+        found = names if found is None else found.unionByName(names)
+    return spark.createDataFrame([], LISTED) if found is None else found
 
 
 def read_task_lines(spark: SparkSession, root: str, tasks: list[str]) -> DataFrame:
@@ -121,4 +130,4 @@ def inspect_id_only(
         [(t, path_exists(spark, f"{root}/{t}")) for t in tasks], "task string, present boolean"
     )
     verdicts = task_verdicts(kinds, expected)
-    return verdicts, kinds, sample_ids(lines, verdicts)
+    return verdicts, kinds, sample_ids(lines, kinds)

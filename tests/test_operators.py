@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import sangam as S
+from conftest import plan_of
 from sangam.schema import FINAL, SENTENCE
 
 SENT = "sentence_id bigint, source string, split string, text string, tokens array<string>, lid_tags array<string>"
@@ -109,8 +110,8 @@ SIZES = {
 
 
 @pytest.mark.parametrize("name", SIZES)
-@pytest.mark.parametrize("max_strata", [50_000, 3, 0], ids=["broadcast", "second", "shuffle"])
-def test_splits(spark, name, max_strata):
+@pytest.mark.parametrize("broadcast", ["10m", "-1"], ids=["broadcast", "shuffle"])
+def test_splits(spark, name, broadcast):
     rows, sid = [], 0
     for g, n in enumerate(SIZES[name]):
         for i in range(n):
@@ -119,7 +120,9 @@ def test_splits(spark, name, max_strata):
     for i in range(20):
         rows.append((sid, "kept", "unknown", ["train", "validation", "test"][i % 3]))
         sid += 1
-    got = S.assign_splits(spark.createDataFrame(rows, SPLIT_ROWS), max_strata=max_strata)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    got = S.assign_splits(spark.createDataFrame(rows, SPLIT_ROWS))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert {r.sentence_id: r.split for r in got.collect()} == expected_split(rows)
     assert got.columns == ["sentence_id", "source", "script_type", "split"]
 
@@ -274,3 +277,25 @@ def test_unsplit_rows_get_a_split_in_the_whole_job(spark, tmp_path):
         spark, [S.SourceFile("s", None, str(tmp_path / "all.txt"))], str(tmp_path / "out")
     )
     assert Counter(r.split for r in built.collect()) == {"train": 40, "validation": 5, "test": 5}
+
+
+def test_many_and_hot_strata(spark):
+    """20,000 strata of two rows and one with as many rows as all others take the same path."""
+    many = spark.range(40_000).selectExpr("id AS sentence_id", "concat('s', id div 2) AS source")
+    hot = spark.range(40_000, 80_000).selectExpr("id AS sentence_id", "'hot' AS source")
+    rows = many.unionByName(hot).selectExpr(
+        "sentence_id", "source", "'roman_only' AS script_type", "cast(null AS string) AS split"
+    )
+    got = S.assign_splits(rows)
+    hot_sizes = Counter({r.split: r["count"] for r in got.filter("source = 'hot'").groupBy("split").count().collect()})
+    assert hot_sizes == {"train": 32_000, "validation": 4_000, "test": 4_000}
+    assert got.filter("source <> 'hot' AND split <> 'train'").count() == 0 and got.count() == 80_000
+
+
+def test_report_shuffles_digests(spark):
+    rows = spark.createDataFrame([("a b c",), ("a b c",), ("x",), (None,)], "text string")
+    report = S.cleaning_report(rows)
+    first = report.first()
+    assert (first.rows_before, first.dropped_duplicates, first.dropped_length, first.rows_after) == (4, 1, 2, 1)
+    exchanges = [line for line in plan_of(report).splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("text" in line for line in exchanges)

@@ -1,10 +1,12 @@
 """What the physical plans must and must not contain."""
 
+import pathlib
 import re
 
 from pyspark.sql import functions as F
 
 import sangam as S
+from sangam import session
 from conftest import SF_DIR, plan_of
 from sangam.operators import cleaning
 from sangam.plans import catalogue, corpus as C
@@ -66,3 +68,18 @@ def test_numbering_shuffles_rows_once(spark):
     single = [i for i, line in enumerate(plan.splitlines()) if "Exchange SinglePartition" in line]
     assert len(single) == 1
     assert "HashAggregate" in plan.splitlines()[single[0] + 1]
+
+
+def test_partitioned_write_makes_few_files(spark, tmp_path):
+    rows = spark.range(20_000).selectExpr("id AS x", "concat('s', id % 3) AS source", "concat('p', id % 2) AS split")
+    S.write_parquet(rows.repartition(32), str(tmp_path / "t"), ("source", "split"))
+    assert len(list((tmp_path / "t").rglob("part-*.parquet"))) <= 12
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 20_000
+
+
+def test_build_leaves_no_staged_table(spark, tmp_path):
+    (tmp_path / "train.txt").write_text("a\tHI\nb\tEN\nc\tHI\n\nd\tHI\ne\tEN\nf\tHI\n\n")
+    before = set(pathlib.Path(session.job_folder(spark)).iterdir())
+    done = S.build_dataset(spark, [S.SourceFile("s", None, str(tmp_path / "train.txt"))], str(tmp_path / "out"))
+    assert done.count() == 2
+    assert set(pathlib.Path(session.job_folder(spark)).iterdir()) == before

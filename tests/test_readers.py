@@ -119,14 +119,13 @@ CSV = (
 )
 
 
-@pytest.mark.parametrize("split_above", [1 << 40, 0])
-@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("newline", ["\n", "\r\n", "\r"])
 @pytest.mark.parametrize("size", [40, 1 << 20])
-def test_array_csv(spark, tmp_path, split_bytes, split_above, newline, size):
+def test_array_csv(spark, tmp_path, split_bytes, newline, size):
     (tmp_path / "f.csv").write_bytes(CSV.replace("\r\n", newline).encode())
     entry = S.SourceFile("c", "train", str(tmp_path / "f.csv"), "array_csv")
     with split_bytes(size):
-        got = in_order(S.read_array_csv(spark, [entry], split_above=split_above))
+        got = in_order(S.read_array_csv(spark, [entry]))
     assert got == [
         (["tok1", "tok2", "tok3"], ["lang1", "lang2", "other"]),
         (["I", 't" '], ["lang2", "lang2", "lang2"]),
@@ -135,27 +134,56 @@ def test_array_csv(spark, tmp_path, split_bytes, split_above, newline, size):
     ]
 
 
-@pytest.mark.parametrize("split_above", [1 << 40, 0])
-def test_missing_column_is_empty(spark, tmp_path, split_above):
+def test_missing_column_is_empty(spark, tmp_path):
     (tmp_path / "f.csv").write_text("words\n['a' 'b']\n")
     entry = S.SourceFile("c", "train", str(tmp_path / "f.csv"), "array_csv")
-    assert in_order(S.read_array_csv(spark, [entry], split_above=split_above)) == [(["a", "b"], [])]
+    assert in_order(S.read_array_csv(spark, [entry])) == [(["a", "b"], [])]
+
+
+@pytest.mark.parametrize("size", [30, 1 << 20])
+def test_columns_are_found_by_name_in_each_file(spark, tmp_path, split_bytes, size):
+    (tmp_path / "a.csv").write_text("words,lid\n['a'],['x']\n\n['b'],['y']\n")
+    (tmp_path / "b.csv").write_text("id,lid,words\n1,['z'],['c']\n")
+    (tmp_path / "c.csv").write_text("lid\n['only']\n")
+    (tmp_path / "d.csv").write_text("words,lid\n")
+    entry = S.SourceFile("c", "train", str(tmp_path), "array_csv")
+    with split_bytes(size):
+        got = sorted(in_order(S.read_array_csv(spark, [entry])))
+    assert got == [([], ["only"]), (["a"], ["x"]), (["b"], ["y"]), (["c"], ["z"])]
 
 
-@pytest.mark.parametrize("size", [61, 500])
-def test_split_csv_equals_whole_csv(spark, tmp_path, split_bytes, size):
-    rng = random.Random(size)
-    rows = ["words,lid,note"]
-    for i in range(200):
-        words = "".join(f"'w{i}_{j}'" + rng.choice([" ", "\n ", " "]) for j in range(rng.randrange(9)))
-        note = rng.choice(["", "plain", '"a ""b"" c"', '"two\nlines"', '"x,y"'])
-        rows.append(f'"[{words}]","[{words}]",{note}')
+@pytest.mark.parametrize("size", [30, 1 << 20])
+def test_quote_in_an_unquoted_field(spark, tmp_path, split_bytes, size):
+    rows = ["note,words,lid"]
+    rows += [f"{i}\" screen,['a{i}' 'b'],['x' 'y']" for i in range(20)]
+    rows += ['"two\nlines, ""quoted""","[\'c\'\n \'d\']",[\'x\' \'y\']'] * 3
     (tmp_path / "f.csv").write_text("\n".join(rows))
     entry = S.SourceFile("c", "train", str(tmp_path / "f.csv"), "array_csv")
-    whole = in_order(S.read_array_csv(spark, [entry]))
     with split_bytes(size):
-        assert in_order(S.read_array_csv(spark, [entry], split_above=0)) == whole
-    assert len(whole) == 200
+        got = in_order(S.read_array_csv(spark, [entry]))
+    assert got == [([f"a{i}", "b"], ["x", "y"]) for i in range(20)] + [(["c", "d"], ["x", "y"])] * 3
+
+
+def test_too_many_columns_are_refused(spark, tmp_path):
+    (tmp_path / "f.csv").write_text(",".join(f"c{i}" for i in range(80)) + "\n")
+    entry = S.SourceFile("c", "train", str(tmp_path / "f.csv"), "array_csv")
+    with pytest.raises(Exception, match="columns or more"):
+        S.read_array_csv(spark, [entry]).collect()
+
+
+def test_hidden_files_count_and_samples_fall_through(spark, tmp_path):
+    for task in ("hidden", "marker", "blank"):
+        (tmp_path / task).mkdir()
+    (tmp_path / "hidden" / "a.txt").write_text("1\n")
+    (tmp_path / "hidden" / "_notes.txt").write_text("some text\n")
+    (tmp_path / "marker" / "a b%.txt").write_text("1\n")
+    (tmp_path / "marker" / "_SUCCESS").write_text("")
+    (tmp_path / "blank" / "a.txt").write_text("\n\n\n4\n")
+    (tmp_path / "blank" / "b.txt").write_text("\n8\n9\n7\n")
+    verdicts, kinds, samples = S.inspect_id_only(spark, str(tmp_path), ["hidden", "marker", "blank"])
+    got = {r.task: (r.status, r.n_files, r.n_id_files) for r in verdicts.collect()}
+    assert got == {"hidden": ("has_text", 2, 1), "marker": ("has_text", 2, 1), "blank": ("id_only", 2, 2)}
+    assert sorted((r.task, r.value) for r in samples.filter("task = 'blank'").collect()) == [("blank", "8"), ("blank", "9")]
 
 
 def test_inspect_id_only(spark, tmp_path):
