@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .secrets import RULES
+
 #: Base32 of a SHA-1, five hexadecimal digits (20 bits) at a time.
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(s, {5 * g + 1}, 5))::int >> {15 - 5 * p}) % 32 + 1, 1)"
@@ -23,4 +25,92 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
-SQL = {"op9_warc": OP9}
+
+#: CRC-32 of UTF-8 bytes: a table of the 256 values by eight shifts, then a byte at a time.
+_SHIFT = "CASE WHEN {0} % 2 = 1 THEN xor({0} >> 1, 3988292384::BIGINT) ELSE {0} >> 1 END"
+_CRC_STEPS = "".join(
+    f",\nc{i + 1} AS (SELECT n, {_SHIFT.format('v')} AS v FROM c{i})" for i in range(8)
+)
+
+OP8 = f"""
+WITH c0 AS (SELECT i::BIGINT AS n, i::BIGINT AS v FROM range(256) t(i)){_CRC_STEPS},
+crc AS (SELECT list(v ORDER BY n) AS codes FROM c8),
+docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, md5('17|' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), summed AS (
+  SELECT doc_id, source, h, strlen(text) + 1 AS size,
+    xor(list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda b: ('0x' || b)::BIGINT)),
+      lambda c, b: xor(c >> 8, codes[xor(c, b) % 256 + 1])), 4294967295::BIGINT) AS text_crc32
+  FROM docs, crc
+), ranked AS (
+  SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY h) - 1) / (2 * count(*) OVER (PARTITION BY source)) AS fraction
+  FROM summed
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, source NULLS FIRST, h) - 1 AS place, count(*) OVER () AS n FROM ranked
+), dealt AS (
+  SELECT *, (place * 8 // n)::INTEGER AS shard FROM placed
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard, place - (shard::BIGINT * n + 7) // 8 AS slot, NULL::INTEGER AS grown_shard
+FROM dealt
+"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP7 = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(list_slice(words, i, i + 3), ' ')) END) AS shingle
+  FROM split WHERE len(words) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 180 * count(*) >= 80 * (x.n + y.n)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM split UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT s.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM split s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = s.doc_id
+LEFT JOIN sizes z ON z.doc_id = s.doc_id
+"""
+
+
+def _op5() -> str:
+    """What lies between the matches of a rule, and the matches, in turn, give the places."""
+    parts = []
+    for place, rule in enumerate(RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(
+            f"""SELECT doc_id, {place} AS place, '{rule.kind}' AS kind, {rule.least} AS least,
+  string_split_regex(text, '{pattern}') AS between, regexp_extract_all(text, '{pattern}', 0) AS found,
+  regexp_extract_all(text, '{pattern}', {rule.group}) AS groups
+FROM documents WHERE regexp_matches(text, '{pattern}')"""
+        )
+    return f"""
+WITH cut AS (
+{" UNION ALL ".join(parts)}
+), each AS (
+  SELECT doc_id, place, kind, least, i, length(between[i]) AS skip, length(found[i]) AS n, length(groups[i]) AS size
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM cut)
+), spans AS (
+  SELECT doc_id, place, kind, size >= least AS good,
+    sum(skip + n) OVER (PARTITION BY doc_id, place ORDER BY i) AS stop, n
+  FROM each
+), listed AS (
+  SELECT doc_id, place, stop - n AS start, kind || ':' || (stop - n)::BIGINT || ':' || stop::BIGINT AS span FROM spans WHERE good
+), per AS (
+  SELECT doc_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access,
+    count(*) FILTER (place = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY start, place) FILTER (place < 3) AS base, string_agg(span, ',' ORDER BY start, place) AS spans
+  FROM listed GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN per p ON p.doc_id = d.doc_id
+"""
+
+
+SQL = {"op5_secrets": _op5(), "op7_minhash": OP7, "op8_sharding": OP8, "op9_warc": OP9}
