@@ -169,6 +169,9 @@ def _satisfied(query, held: Column) -> Column:
 
 _SPANS = "array<struct<start:int,place:int,end:int>>"
 _STATE = f"struct<at:int,out:{_SPANS}>"
+_PARTS = f"struct<at:int,out:array<{_SPANS}>>"
+#: Matches of a text that are placed at a time.
+_PART = 256
 
 
 def _spans(text: Column, rule: Rule, place: int) -> Column:
@@ -195,8 +198,20 @@ def _spans(text: Column, rule: Rule, place: int) -> Column:
         out = F.when(x["good"], F.concat(seen["out"], F.array(span))).otherwise(seen["out"])
         return F.struct(end.alias("at"), out.cast(_SPANS).alias("out")).cast(_STATE)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out")).cast(_STATE)
-    found = F.aggregate(steps, start, step, lambda s: s["out"])
+    def part(seen, some):
+        """A stretch of matches at a time: growing one array by each match would cost the square of their number."""
+        begin = F.struct(seen["at"].alias("at"), F.array().cast(_SPANS).alias("out")).cast(_STATE)
+        done = F.array(F.aggregate(some, begin, step))
+        both = F.transform(done, lambda d: F.struct(d["at"].alias("at"), F.concat(seen["out"], F.array(d["out"])).alias("out")).cast(_PARTS))
+        return both[0]
+
+    def parts(steps):
+        last = F.floor((F.size(steps) - 1) / _PART).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(steps, i * _PART + 1, F.lit(_PART)))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("out")).cast(_PARTS)
+    stretches = F.transform(F.array(steps), parts)[0]
+    found = F.aggregate(stretches, start, part, lambda s: F.flatten(s["out"]))
     return F.when(text.rlike(rule.needs or rule.pattern), found).otherwise(F.array().cast(_SPANS))
 
 
