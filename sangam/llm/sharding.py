@@ -45,8 +45,8 @@ def stratified_shards(
 ) -> DataFrame:
     """``rows`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard).
 
-    Row counts of shards differ by one at most, and those of a source within shards by
-    two at most. Null sources are a source of their own; null keys and repeated rows are
+    Row counts of shards differ by one at most. A source's counts in two shards differ by its
+    share of the rows times the number of sources, plus one, at most, whatever its size. Null sources are a source of their own; null keys and repeated rows are
     rows like others, in an order that is arbitrary among rows with equal keys; texts play no
     part; an empty table gives an empty result. Columns ``shard`` and ``slot`` are replaced.
     All columns travel with the row: drop what the shards don't need.
