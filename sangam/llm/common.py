@@ -6,8 +6,9 @@ import os
 import pathlib
 import re
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sangam.session import fresh_path, remove
 
@@ -78,3 +79,30 @@ def arrow_rows(df: DataFrame, function, schema: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(batches, parsed)
+
+
+#: Bits of a membership map: 8 MB, whatever the number of values.
+MAP_BITS = 1 << 26
+_ROW_BITS = 1 << 15
+
+
+def membership(values: DataFrame):
+    """A broadcast map of bits, one set per value of the only column, a long that is spread evenly in its low bits.
+
+    ``may_hold`` tells of longs whether they may be among the values. The map is of fixed size: with
+    very many values it holds too much and spares less work, but never leaves one out.
+    """
+    (name,) = values.columns
+    place = F.col(name).bitwiseAND(MAP_BITS - 1)
+    rows = values.filter(F.col(name).isNotNull()).groupBy(F.floor(place / _ROW_BITS).cast("int").alias("row"))
+    rows = rows.agg(F.bitmap_construct_agg((place % _ROW_BITS)).alias("bits")).collect()
+    bits = bytearray(MAP_BITS // 8)
+    for row in rows:
+        at = row["row"] * _ROW_BITS // 8
+        bits[at : at + _ROW_BITS // 8] = row["bits"]
+    return values.sparkSession.sparkContext.broadcast(bytes(bits))
+
+
+def may_hold(bits: bytes, values: np.ndarray) -> np.ndarray:
+    place = values.astype(np.int64) & (MAP_BITS - 1)
+    return (np.frombuffer(bits, dtype=np.uint8)[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1

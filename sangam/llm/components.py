@@ -13,25 +13,27 @@ def _smallest(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return scratch.keep(smallest, name)
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, and no v is a u."""
+    out = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    down = edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    ends = out.unionByName(down).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.filter("up > 1 or up = 1 and down = 1").isEmpty()
+
+
 def components(links: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
     """``links`` (a, b) with long ends to (node, root): each node that has a link, and the smallest it reaches.
 
     Large-star hangs every larger neighbour of a node on the smallest of its neighbourhood, small-star
     every smaller one and the node itself. Edges never grow in number; rounds grow with the
-    logarithm of the nodes. They stop when a round changes nothing, which two sums of the
-    edges show to the driver. Links with null ends and from a node to itself are no links;
-    no links give no rows.
+    logarithm of the nodes. They stop when all edges form stars, of which the driver learns
+    yes or no. Links with null ends and from a node to itself are no links; no links give no rows.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = scratch.keep(edges.filter("u <> v").distinct(), f"{name}-0")
-    before, n = None, 0
-    while True:
-        sums = edges.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if sums.n == 0 or sums == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            )
-        before, n = sums, n + 1
+    n = 0
+    while not _are_stars(edges):
+        n += 1
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = _smallest(both, scratch, f"{name}-large-{n}")
         large = both.filter("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -40,3 +42,21 @@ def components(links: DataFrame, scratch: Scratch, name: str = "components") ->
         hung = large.join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         edges = scratch.keep(hung.unionByName(smallest.withColumnRenamed("m", "v").filter("u <> v")).distinct(), f"{name}-{n}")
         scratch.drop(f"{name}-{n - 1}", f"{name}-large-{n}", f"{name}-small-{n}", f"{name}-stars-{n}")
+    roots = edges.select("v").distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        roots.select(F.col("v").alias("node"), F.col("v").alias("root"))
+    )
+
+
+def joined_components(roots: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """``roots`` with the components joined that ``links`` (a, b) connect; only roots take part in the search."""
+    if links.isEmpty():
+        return roots
+    ends = [roots.select(F.col("node").alias(e), F.col("root").alias(f"root_{e}")) for e in "ab"]
+    between = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    between = between.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    above = components(between, scratch, name).select(F.col("node").alias("under"), F.col("root").alias("above"))
+    moved = roots.join(above, F.col("root") == F.col("under"), "left").select("node", F.coalesce("above", "root").alias("root"))
+    fresh = above.join(roots.select(F.col("node").alias("under")), "under", "left_anti")
+    moved = moved.unionByName(fresh.select(F.col("under").alias("node"), F.col("above").alias("root")))
+    return scratch.keep(moved, f"{name}-joined")

@@ -4,9 +4,9 @@ Texts with equal shingle sets are one node, named by the smallest doc_id, before
 node has ``HASHES`` minima of multiply-shift hashes; nodes that agree on a band of ``ROWS`` minima
 share a bucket. Two sets with a similarity of 0.8 share no bucket once in 2 * 10^7 times. In a
 bucket of up to ``ALL_PAIRS`` nodes all pairs are candidates. In a larger one every node
-meets the ``HUBS`` nodes that share most buckets of that kind, counted with their sizes: of
-variants of one text, those that were changed least. Nodes that this doesn't join with the
-bucket's first hub are dealt into finer buckets, by further minima, and meet in the same way there. So no
+meets its hub, the node that shares most buckets of that kind, counted with their sizes: of
+variants of one text, the one that was changed least. Nodes that this doesn't join with the
+bucket's hub are dealt into finer buckets, by further minima, and meet in the same way there. So no
 bucket gives more than a fixed number of candidates per node.
 
 Candidates pass if their signatures agree well enough, five standard deviations below the
@@ -20,17 +20,16 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import Scratch, arrow_rows, table
-from .components import components
-from .shingles import lower_words, shingle_hashes, word_hashes
+from .common import Scratch, arrow_rows, may_hold, membership, table
+from .components import components, joined_components
+from .shingles import lower_words, mix, shingle_hashes, word_hashes
 
 HASHES, ROWS = 128, 4
 #: Buckets of up to so many nodes give all their pairs.
 ALL_PAIRS = 16
-#: Nodes of a larger bucket that all others meet.
-HUBS = 2
 #: Finer buckets that a node of an undecided bucket is dealt into.
 FINER = 16
 
@@ -51,34 +50,56 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The minimum of each hash over a set that isn't empty, as signed 32-bit values."""
+    """The minimum of each hash over a set that isn't empty."""
     out = np.full(HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), 4096):
         hashed = shingles[at : at + 4096, None] * _FACTORS + _SUMMANDS
         np.minimum(out, hashed.min(axis=0), out=out)
-    return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return out >> np.uint64(32)
+
+
+def band_keys(minima: np.ndarray) -> np.ndarray:
+    """One hash for the minima of each band and the band's number."""
+    bands = minima.reshape(-1, ROWS)
+    factors = np.array([pow(0x9E3779B97F4A7C15, r + 1, 1 << 64) for r in range(ROWS)], dtype=np.uint64)
+    return mix((bands * factors).sum(axis=1, dtype=np.uint64) + np.arange(1, len(bands) + 1, dtype=np.uint64)).view(np.int64)
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, digest of the set, signature (null for empty sets) of every row."""
+    """doc_id, n_shingles, digest of the set, keys of its bands and a byte of each minimum (null for empty sets)."""
 
     def signed(batch):
-        columns = {"doc_id": batch.column(0), "n_shingles": [], "digest": [], "minima": []}
+        columns = {"doc_id": batch.column(0), "n_shingles": [], "digest": [], "bands": [], "minima": []}
         for text in batch.column(1).to_pylist():
             found = shingle_set(text, size)
+            minima = signature(found) if len(found) else None
             columns["n_shingles"].append(len(found))
             columns["digest"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-            columns["minima"].append(signature(found) if len(found) else None)
+            columns["bands"].append(None if minima is None else band_keys(minima))
+            columns["minima"].append(None if minima is None else minima.astype(np.uint8).view(np.int8))
         return columns
 
-    return arrow_rows(docs, signed, "doc_id long, n_shingles long, digest binary, minima array<int>")
+    return arrow_rows(docs, signed, "doc_id long, n_shingles long, digest binary, bands array<long>, minima array<tinyint>")
 
 
 def _meetings(keyed: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a < b) of rows (key, node), and rows (key, node, hub) of the larger buckets."""
-    buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    """Candidate pairs (a < b) of rows (node, keys), and rows (key, node, hub) of the larger buckets.
+
+    Keys are counted where they are; only those that may occur twice are then sent to meet.
+    """
+    single = keyed.select("node", F.explode("keys").alias("key"))
+    buckets = single.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     buckets = scratch.keep(buckets.filter("n > 1"), f"{name}-buckets")
-    met = scratch.keep(keyed.join(buckets, "key"), f"{name}-met")
+    shared = membership(buckets.select("key"))
+
+    def sent(batch):
+        keys = batch.column(1)
+        flat = keys.flatten().to_numpy()
+        nodes = np.repeat(batch.column(0).to_numpy(), np.diff(keys.offsets.to_numpy()))
+        good = may_hold(shared.value, flat)
+        return {"node": nodes[good], "key": flat[good]}
+
+    met = scratch.keep(arrow_rows(keyed.select("node", "keys"), sent, "node long, key long").join(buckets, "key"), f"{name}-met")
     few = met.filter(F.col("n") <= ALL_PAIRS).select("key", "node")
     pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").filter("a < b")
     many = met.filter(F.col("n") > ALL_PAIRS)
@@ -86,15 +107,17 @@ def _meetings(keyed: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame,
     # the rank limit runs in every task before rows of a bucket meet
     best = Window.partitionBy("key").orderBy(F.desc("score"), "node")
     hubs = many.join(scores, "node").select("key", F.col("node").alias("hub"), F.row_number().over(best).alias("place"))
-    hubs = scratch.keep(hubs.filter(F.col("place") <= HUBS), f"{name}-hubs")
+    hubs = scratch.keep(hubs.filter(F.col("place") <= 1).drop("place"), f"{name}-hubs")
     met_hubs = many.select("key", "node").join(hubs, "key")
     hub_pairs = met_hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).filter("a < b")
-    pairs = pairs.select("a", "b").unionByName(hub_pairs).distinct()
-    return pairs, met_hubs.filter("place = 1").select("key", "node", "hub")
+    return pairs.select("a", "b").unionByName(hub_pairs).distinct(), met_hubs
 
 
 def _signed_alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose minima agree as often as those of sets this similar do, less five standard deviations."""
+    """Pairs whose minima agree as often as those of sets this similar do, less five standard deviations.
+
+    A byte of each minimum is compared: equal minima always agree, others once in 256 times.
+    """
     share = percent / 100
     least = int(HASHES * share - 5 * (HASHES * share * (1 - share)) ** 0.5)
     left = nodes.select(F.col("node").alias("a"), F.col("minima").alias("left"))
@@ -103,14 +126,28 @@ def _signed_alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     return pairs.join(left, "a").join(right, "b").filter(equal >= least).select("a", "b")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the documents named in ``wanted``, from their whole texts."""
+def _sets(docs: DataFrame, pairs: DataFrame, size: int, scratch: Scratch, name: str) -> DataFrame:
+    """(node, shingles) of the documents of ``pairs``, from their whole texts.
+
+    Texts that a map of the wanted nodes shows to be of no use stay where they are.
+    """
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    wanted = scratch.keep(ends.distinct(), f"{name}-wanted")
+    named = membership(wanted)
+
+    def useful(incoming):
+        for batch in incoming:
+            ids = batch.column(0)
+            known = ids.is_valid().to_numpy(zero_copy_only=False)
+            good = known & may_hold(named.value, ids.fill_null(0).to_numpy())
+            yield batch.filter(pa.array(good))
 
     def found(batch):
         return {"node": batch.column(0), "shingles": [shingle_set(t, size).view(np.int64) for t in batch.column(1).to_pylist()]}
 
+    docs = docs.select("doc_id", "text").mapInArrow(useful, "doc_id long, text string")
     chosen = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
-    return arrow_rows(chosen, found, "node long, shingles array<long>").dropDuplicates(["node"])
+    return scratch.keep(arrow_rows(chosen, found, "node long, shingles array<long>").dropDuplicates(["node"]), name)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -143,21 +180,16 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     signed = scratch.keep(signatures(docs, size), "signed")
     nodes = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("digest")
-    nodes = nodes.agg(F.min("doc_id").alias("node"), F.first("minima").alias("minima"))
+    nodes = nodes.agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("bands", "minima")))
     nodes = scratch.keep(nodes, "nodes")
-    bands = [F.xxhash64(F.lit(i), *(F.col("minima")[ROWS * i + r] for r in range(ROWS))) for i in range(HASHES // ROWS)]
-    keyed = nodes.select("node", F.explode(F.array(*bands)).alias("key"))
-    pairs, many = _meetings(keyed, scratch, "bands")
+    pairs, many = _meetings(nodes.select("node", F.col("bands").alias("keys")), scratch, "bands")
     alike = scratch.keep(_signed_alike(pairs, nodes, percent), "alike")
     # each node's smallest partner first
     closest = alike.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    wanted = alike.select(F.col("a").alias("node")).unionByName(alike.select(F.col("b").alias("node"))).distinct()
-    sets = scratch.keep(_sets(docs, wanted, size), "sets")
-    links = scratch.keep(_confirmed(closest, sets, percent), "links")
-    roots = components(links, scratch, "first")
-    more = _confirmed(_apart(alike, roots), sets, percent)
-    links = scratch.keep(links.unionByName(more), "more")
-    roots = components(links, scratch, "second")
+    sets = _sets(docs, alike, size, scratch, "sets")
+    roots = components(_confirmed(closest, sets, percent), scratch, "first")
+    more = scratch.keep(_confirmed(_apart(alike, roots), sets, percent), "more")
+    roots = joined_components(roots, more, scratch, "second")
     # nodes of large buckets that aren't in the component of the bucket's hub
     open_pairs = _apart(many.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), roots)
     open_pairs = open_pairs.withColumnsRenamed({"a": "hub", "b": "node"})
@@ -165,14 +197,13 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     if not undecided.isEmpty():
         minima = undecided.join(nodes.select("node", "minima"), "node")
         step = HASHES // FINER
-        finer = [F.xxhash64(F.lit(i), "key", *(F.col("minima")[step * i + r] for r in range(2))) for i in range(FINER)]
-        pairs, _ = _meetings(minima.select("node", F.explode(F.array(*finer)).alias("key")), scratch, "finer")
+        finer = [F.xxhash64(F.lit(i), "key", F.slice("minima", step * i + 1, 3)) for i in range(FINER)]
+        pairs, _ = _meetings(minima.select("node", F.array(*finer).alias("keys")), scratch, "finer")
         alike = scratch.keep(_signed_alike(_apart(pairs, roots), nodes, percent), "finer-alike")
-        wanted = alike.select(F.col("a").alias("node")).unionByName(alike.select(F.col("b").alias("node"))).distinct()
-        finer_sets = scratch.keep(_sets(docs, wanted, size), "finer-sets")
-        links = scratch.keep(links.unionByName(_confirmed(alike, finer_sets, percent)), "all")
-        roots = components(links, scratch, "third")
-    scratch.drop("sets", "bands-met", "bands-buckets")
+        finer_sets = _sets(docs, alike, size, scratch, "finer-sets")
+        more = scratch.keep(_confirmed(alike, finer_sets, percent), "finer-links")
+        roots = joined_components(roots, more, scratch, "third")
+    scratch.drop("sets", "bands-met", "bands-buckets", "bands-hubs", "bands-scores")
     # a document with several rows may have several sets: its smallest root counts for each
     classes = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     classes = scratch.keep(classes, "classes").withColumnRenamed("digest", "__digest")
