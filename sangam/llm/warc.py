@@ -164,11 +164,11 @@ def member(record: bytes, level: int = 6) -> bytes:
     return packed if len(record) < _ONE_BYTE_SHORT else packed + _EMPTY_MEMBER
 
 
-MEMBERS = "archive string, seq long, offset long, length long, record_type string, target string, digest string, member binary"
+MEMBERS = "archive string, seq long, member binary"
 
 
 def normalised(spark: SparkSession, path: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Members of all records of the monolithic archives below ``path``, with their places.
+    """Members of all records of the monolithic archives below ``path``, in order by archive.
 
     A gzip stream can't be entered in the middle, so a file is one task's; the task reads
     lines and holds one record. Files without records give none; broken ones raise.
@@ -177,19 +177,19 @@ def normalised(spark: SparkSession, path: str, archive_bytes: int = ARCHIVE_BYTE
 
     def rewritten(incoming):
         file, reader, rows, held = None, RecordReader(), [], 0
-        name, archive, seq, offset, raw = "", 0, 0, 0, 0
+        name, archive, seq, raw = "", 0, 0, 0
         fields = [x.split()[0] for x in MEMBERS.split(", ")]
 
         def out():
             columns = list(zip(*rows))
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
+            kinds = [pa.string(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=fields)
 
         for batch in incoming:
             for one, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if one != file:
                     reader.end()
-                    file, reader, archive, seq, offset, raw = one, RecordReader(), 0, 0, 0, 0
+                    file, reader, archive, seq, raw = one, RecordReader(), 0, 0, 0
                     name = re.sub(r"[^A-Za-z0-9-]", "_", one.rpartition("/")[2].partition(".")[0])
                 found = reader.line(line)
                 if found is None:
@@ -197,11 +197,10 @@ def normalised(spark: SparkSession, path: str, archive_bytes: int = ARCHIVE_BYTE
                 head, block = found
                 whole = b"\r\n".join([*head, b"", block, b"", b""])
                 if raw and raw + len(whole) > archive_bytes:
-                    archive, seq, offset, raw = archive + 1, 0, 0, 0
-                packed, fields_of = member(whole), _header(head[1:])
-                text = [fields_of.get(f, b"").decode("utf-8", "replace") for f in (b"warc-type", b"warc-target-uri", b"warc-payload-digest")]
-                rows.append((f"{name}-{archive:05}", seq, offset, len(packed), *text, packed))
-                seq, offset, raw, held = seq + 1, offset + len(packed), raw + len(whole), held + len(packed)
+                    archive, seq, raw = archive + 1, 0, 0
+                packed = member(whole)
+                rows.append((f"{name}-{archive:05}", seq, packed))
+                seq, raw, held = seq + 1, raw + len(whole), held + len(packed)
                 if held > 8 << 20:
                     yield out()
                     rows, held = [], 0
@@ -215,16 +214,14 @@ def normalised(spark: SparkSession, path: str, archive_bytes: int = ARCHIVE_BYTE
 def normalise(spark: SparkSession, path: str, out: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Rewrite the archives of ``path`` as ``out``/archives/archive=<name>/, indexed in ``out``/index (Parquet).
 
-    The index has archive, seq, offset, length, record_type, target and digest of every record.
+    Members go from the stream that is inflated to the file without a shuffle. The index is
+    written from the finished archives: archive, offset and length of every record, and what it holds.
     """
-    scratch = Scratch(spark, "members")
-    members = scratch.keep(normalised(spark, path, archive_bytes), "members")
-    members.drop("member").write.parquet(f"{out}/index")
-    # rows of an archive lie together in the written table already, but its splits may cut them
     shortened = F.expr("substring(member, 1, length(member) - 1)").cast("string").alias("value")
-    ordered = members.repartition("archive").sortWithinPartitions("archive", "seq").select("archive", shortened)
+    # rows come in this order; saying so keeps the writer from sorting by archive alone
+    ordered = normalised(spark, path, archive_bytes).sortWithinPartitions("archive", "seq").select("archive", shortened)
     ordered.write.option("lineSep", "\x00").partitionBy("archive").text(f"{out}/archives")
-    scratch.drop("members")
+    read_archives(spark, out).write.parquet(f"{out}/index")
 
 
 def parse_record(whole: bytes) -> tuple:
