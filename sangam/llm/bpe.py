@@ -15,6 +15,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 from itertools import chain
 
 import regex
@@ -26,6 +27,12 @@ from .common import arrow_rows, table
 PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
+#: The same cuts for texts of ASCII and Latin letters alone, and a test for those.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LATIN_PATTERN = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^{_LATIN}0-9 \t\n\v\f\r]+|[ \t\n\v\f\r]+(?![^ \t\n\v\f\r])|[ \t\n\v\f\r]+"
+)
+_LATIN_TEXT = re.compile(r"[\x00-\x7FÀ-ÖØ-öø-ÿ]*")
 #: How a piece of one kind goes on.
 _RUNS = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"\s+", r"[^\s\p{L}\p{N}]+")]
 _SPACES = _RUNS[2]
@@ -33,8 +40,8 @@ _SPACES = _RUNS[2]
 _UNSURE = 3
 SLICE_CHARS = 1 << 16
 LONG_PIECE = 4096
-#: Pieces and pairs remembered per worker; emptied when full.
-_REMEMBERED = 200_000
+#: Pieces and pairs remembered per worker.
+_REMEMBERED = 250_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -64,11 +71,17 @@ class Vocabulary:
         self.texts = {i: str(i) for i in self.bytes}
         #: Sufficient lookahead in bytes: no token reaches further.
         self.lookahead = max(map(len, self.ids))
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._spines: dict[int, tuple] = {}
+        self._made = {product: (rank, a, b) for (a, b), (rank, product) in self.merges.items()}
+        for rank, a, b in self._made.values():
+            if any(part in self._made and self._made[part][0] >= rank for part in (a, b)):
+                raise ValueError("a merge comes before the merges that its parts are made by")
+        self.pairs: dict[tuple[int, int], bool] = {}  # what ``fits`` has found
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def merged(self, data: bytes) -> list[int]:
-        """The merge procedure as such, for pairs of tokens: quadratic."""
+        """The merge procedure as such, quadratic: what everything else must agree with."""
         ids = [self.ids[data[i : i + 1]] for i in range(len(data))]
         while len(ids) > 1:
             best = min((self.merges.get(pair, (len(self.merges), -1)) for pair in zip(ids, ids[1:])))
@@ -85,13 +98,50 @@ class Vocabulary:
             ids = out
         return ids
 
-    def fits(self, left: int, right: int) -> bool:
-        """Whether ``right`` can follow ``left`` in an encoding."""
-        found = self._fits.get((left, right))
+    def _spine(self, token: int) -> tuple:
+        """What stands at the token's right edge while it is made, and at its left edge: (id, rank that ends it), last first."""
+        found = self._spines.get(token)
         if found is None:
-            if len(self._fits) >= _REMEMBERED * 5:
-                self._fits.clear()
-            found = self._fits[left, right] = self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
+            sides = []
+            for side in (2, 1):
+                spine, part = [(token, len(self.merges))], token
+                while part in self._made:
+                    rank, part = self._made[part][0], self._made[part][side]
+                    spine.append((part, rank))
+                sides.append(tuple(spine))
+            found = self._spines[token] = tuple(sides)
+        return found
+
+    def fits(self, left: int, right: int) -> bool:
+        """Whether ``right`` can follow ``left`` in an encoding.
+
+        Merges happen in the order of their ranks, so it can't if some merge across the border comes while both its
+        parts stand there. Of two merges of one rank, that to the left comes first.
+        """
+        known, merges = self.pairs, self.merges
+        if len(known) >= 4 * _REMEMBERED:
+            known.clear()
+        found = True
+        for a, until_a in self._spine(left)[0]:
+            for b, until_b in self._spine(right)[1]:
+                merge = merges.get((a, b))
+                if merge is not None and merge[0] < until_a and merge[0] <= until_b:
+                    found = False
+                    break
+        known[left, right] = found
+        return found
+
+    def remember(self, piece: str, ids: tuple[int, ...]) -> None:
+        """Keeps at least the last ``_REMEMBERED`` pieces looked up for the first time, and twice as many at most."""
+        if len(self.pieces) >= _REMEMBERED:
+            self._older = self.pieces
+            self.pieces = {}
+        self.pieces[piece] = ids
+
+    def recalled(self, piece: str) -> tuple[int, ...] | None:
+        found = self._older.get(piece)
+        if found is not None:
+            self.remember(piece, found)
         return found
 
 
@@ -104,15 +154,18 @@ class Piece:
         self.last: list[int | None] = [None]  # by prefix of data: last token; at 0 the last one emitted
 
     def _extend(self, data: bytes) -> None:
-        ids, fits, last = self.v.ids, self.v.fits, self.last
+        ids, known, fits, last = self.v.ids, self.v.pairs, self.v.fits, self.last
         self.data += data
-        whole = self.data
+        whole, reach = self.data, self.v.lookahead
         for end in range(len(last), len(whole) + 1):
-            for start in range(max(0, end - self.v.lookahead), end):
+            for start in range(max(0, end - reach), end):
                 token = ids.get(whole[start:end])
-                if token is not None and (last[start] is None or fits(last[start], token)):
-                    last.append(token)
-                    break
+                if token is not None:
+                    before = last[start]
+                    good = before is None or known.get((before, token))
+                    if good or good is None and fits(before, token):
+                        last.append(token)
+                        break
 
     def _path(self, end: int) -> list[int]:
         out = []
@@ -170,13 +223,11 @@ class Encoder:
         return self._inner(text, True)
 
     def _known(self, piece: str) -> tuple[int, ...]:
-        found = self.v.pieces.get(piece)
+        found = self.v.pieces.get(piece) or self.v.recalled(piece)
         if found is None:
             found = tuple(Piece(self.v).finish(piece.encode("utf-8", "surrogatepass")))
             if len(piece) <= 64:
-                if len(self.v.pieces) >= _REMEMBERED:
-                    self.v.pieces.clear()
-                self.v.pieces[piece] = found
+                self.v.remember(piece, found)
         return found
 
     def _inner(self, text: str, last: bool) -> list[int]:
@@ -186,10 +237,11 @@ class Encoder:
             out += self._go_on(last)
             if self.run is not None:
                 return out
+        pattern = _LATIN_PATTERN if _LATIN_TEXT.fullmatch(self.rest) else PATTERN
+        pieces = pattern.findall(self.rest)
         if last:
-            pieces, self.rest = PATTERN.findall(self.rest), ""
+            self.rest = ""
         else:
-            pieces = PATTERN.findall(self.rest)
             kept = len(self.rest)
             sure = kept - _UNSURE
             while pieces and (kept > sure or kept == len(self.rest)):
