@@ -4,16 +4,18 @@ Removed is every byte of a string of ``LENGTH`` bytes that starts at another pla
 a whole corpus can't be built in one place, so strings that may be equal are brought together first.
 
 Each window of LENGTH bytes has an anchor, the leftmost of its ANCHOR-byte strings with the smallest
-hash; equal windows have equal anchors at the same place. A run of windows with one anchor is a
-context, a stretch of at most 2 * LENGTH bytes or so. Contexts are thin rows (hash of the anchor, hash
-of the context, place). Anchors that occur once end there. Contexts that are equal as a whole are
-duplicates as a whole, however many there are, and one of them stands for all. Where one anchor
-has different contexts, these are fetched, and a shard takes whole anchors up to ``SHARD_BYTES``: induced sorting
-gives its suffix array, permuted common prefixes of LENGTH or more the duplicates.
-
-An anchor with too many different contexts for a shard is split: windows that begin
-far enough before the anchor are dealt by the bytes on that side, the others by those on the other
-side, and so on until the anchor's place in the window is fixed and the whole window is the key.
+hash; equal windows have equal anchors at the same place. A run of windows with one anchor, and with the
+anchor in one of ``2 ** DEPTH`` ranges of places, is a context. All its windows hold the bytes round the anchor that
+such places make sure of; their hash is the context's key, so windows can be equal under one key only.
+
+Keys are counted first, and contexts whose key occurs once end there. The others are thin rows (key, hash of the context,
+place). Contexts that are equal as a whole are duplicates as a whole, however many there are, and one of them stands for
+all. Where one key has different contexts, these are fetched, and a shard takes whole keys up to
+``SHARD_BYTES``: induced sorting gives its suffix array, permuted common prefixes of LENGTH or more the duplicates.
+A key with too many different contexts for a shard is split by halving its range of places, until the anchor's place
+in the window is fixed and the whole window is the key.
+
+Texts without any repeated key are never shuffled.
 """
 
 from __future__ import annotations
@@ -21,16 +23,19 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import Scratch, arrow_rows, find_package, table
+from .common import Scratch, arrow_rows, find_package, may_hold, membership, table
 from .shingles import mix
 from .suffix_array import common_prefixes, suffix_array
 
 LENGTH, ANCHOR = 400, 32
 #: Bytes of different contexts that one suffix array takes; more of one anchor are split.
 SHARD_BYTES = 1 << 20
+#: Ranges of places that contexts are dealt into from the start: so many halvings.
+DEPTH = 2
 #: Windows of a text that are looked at together.
 _BLOCK = 1 << 18
 _PLACE_BITS = 20
@@ -68,15 +73,38 @@ def _anchors(block: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, n
     return (smallest & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64), hashes
 
 
-def contexts_of(data: bytes, length: int = LENGTH, anchor: int = ANCHOR):
-    """(hash of the anchor, first byte, end, place of the anchor in the context) of each run of windows, in order."""
+def _ranges(width: int, depth: int) -> list[tuple[int, int]]:
+    """The places 0 .. width - 1 halved ``depth`` times."""
+    found = [(0, width - 1)]
+    for _ in range(depth):
+        halves = []
+        for least, most in found:
+            middle = (least + most + 1) // 2
+            halves += [(least, middle - 1), (middle, most)] if middle > least else [(least, most)]
+        found = halves
+    return found
+
+
+def _key(before: int, least: int, most: int, sure: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(b"%d:%d:%d:" % (before, least, most) + sure) - (1 << 63)
+
+
+def contexts_of(data: bytes, length: int = LENGTH, anchor: int = ANCHOR, depth: int = DEPTH):
+    """(key, first byte, end, place of the anchor in the context, least and most place in a window) of each context."""
     whole = np.frombuffer(data, dtype=np.uint8)
+    ranges = _ranges(length - anchor + 1, depth)
     for at in range(0, len(data) - length + 1, _BLOCK):
         places, hashes = _anchors(whole[at : at + _BLOCK + length - 1], length, anchor)
         starts = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1])
-        ends = np.append(starts[1:], len(places)) - 1 + length
-        keys = hashes[places[starts]].view(np.int64)
-        yield from zip(keys.tolist(), (starts + at).tolist(), (ends + at).tolist(), (places[starts] - starts).tolist())
+        lasts = (np.append(starts[1:], len(places)) - 1 + at).tolist()
+        anchors = (places[starts] + at).tolist()
+        for start, last, middle in zip((starts + at).tolist(), lasts, anchors):
+            for least, most in ranges:
+                # a window that starts at s has the anchor at place middle - s
+                first, final = max(start, middle - most), min(last, middle - least)
+                if first <= final:
+                    key = _key(0, least, most, data[middle - least : middle + length - most])
+                    yield key, first, final + length, middle - first, least, most
 
 
 def _halves(content: bytes) -> tuple[int, int]:
@@ -89,8 +117,6 @@ def _found(content: DataFrame, length: int, shard: int) -> DataFrame:
     schema = "key long, high long, low long, start long, end long"
 
     def searched(incoming):
-        import pyarrow as pa
-
         group, size, last = [], 0, None
         for batch in incoming:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -107,8 +133,6 @@ def _found(content: DataFrame, length: int, shard: int) -> DataFrame:
 
 def _duplicates(group: list[tuple], length: int) -> dict:
     """Covered stretches of the contexts (key, high, low, content) of one shard, by its suffix array."""
-    import pyarrow as pa
-
     sizes = np.array([len(row[3]) for row in group])
     n = int(sizes.sum()) + len(group)
     # a separator of its own ends each context; 0 ends the text
@@ -158,7 +182,7 @@ def _split(crowded: DataFrame, length: int, anchor: int, level: int) -> DataFram
                 part = content[first : last + length]
                 at = place - first
                 sure = part[at - lower : at + length - upper]
-                hashed = xxhash.xxh3_64_intdigest(b"%d:%d:%d:" % (key, lower, upper) + sure) - (1 << 63)
+                hashed = _key(key, lower, upper, sure)
                 for name, value in zip(names, (hashed, *_halves(part), n, at, lower, upper, part, key, high, low, first)):
                     out[name].append(value)
         return out
@@ -170,12 +194,24 @@ def _same(left: DataFrame, right: DataFrame) -> Column:
     return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_key"] == right["text_key"])
 
 
+def _known(docs: DataFrame, rows: DataFrame, known: bool) -> DataFrame:
+    """Those of ``docs`` whose text_key may be among those of ``rows``, or those whose text_key can't; nothing is shuffled."""
+    keys = membership(rows.select("text_key"))
+
+    def chosen(incoming):
+        for batch in incoming:
+            held = may_hold(keys.value, batch.column(1).to_numpy())
+            yield batch.filter(pa.array(held if known else ~held))
+
+    return docs.mapInArrow(chosen, docs.schema)
+
+
 def _spans(members: DataFrame, docs: DataFrame, scratch: Scratch, length: int, anchor: int, shard: int) -> DataFrame:
     """(key, high, low, start, end) of the covered stretches of contexts.
 
     ``members`` has every context with its place; ``docs`` (doc_id, text_key, data) the texts.
     """
-    place = F.struct("doc_id", "text_key", "first", "end", "place")
+    place = F.struct("doc_id", "text_key", "first", "end", "place", "least", "most")
     contexts = members.groupBy("key", "high", "low").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
     contexts = scratch.keep(contexts, "contexts")
     shared = contexts.groupBy("key").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).filter("all > 1")
@@ -185,17 +221,21 @@ def _spans(members: DataFrame, docs: DataFrame, scratch: Scratch, length: int, a
     spans = [met.filter("n > 1").select("key", "high", "low", F.lit(0).cast("long").alias("start"), F.col("length").cast("long").alias("end"))]
     # one context stands for all that are equal; its text is cut out of one document
     wanted = met.filter("kinds > 1")
-    places = wanted.groupBy("at.doc_id", "at.text_key").agg(F.collect_list(F.struct("key", "high", "low", "n", "at.first", "at.end", "at.place")).alias("cuts"))
+    cuts = F.struct("key", "high", "low", "n", "at.first", "at.end", "at.place", "at.least", "at.most")
+    places = wanted.groupBy("at.doc_id", "at.text_key").agg(F.collect_list(cuts).alias("cuts"))
+    places = scratch.keep(places, "places")
 
     def cut(batch):
         out = {n: [] for n in ("key", "high", "low", "n", "place", "least", "most", "content")}
         for data, cuts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             for c in cuts:
-                for name, value in zip(out, (c["key"], c["high"], c["low"], c["n"], c["place"], 0, length - anchor, data[c["first"] : c["end"]])):
+                row = (c["key"], c["high"], c["low"], c["n"], c["place"], c["least"], c["most"], data[c["first"] : c["end"]])
+                for name, value in zip(out, row):
                     out[name].append(value)
         return out
 
-    once = docs.join(places, _same(docs, places)).select(docs["doc_id"], docs["text_key"], "data", "cuts").dropDuplicates(["doc_id", "text_key"])
+    useful = _known(docs, places, True)
+    once = useful.join(places, _same(useful, places)).select(useful["doc_id"], useful["text_key"], "data", "cuts").dropDuplicates(["doc_id", "text_key"])
     fields = "key long, high long, low long, n long, place long, least long, most long, content binary"
     level, parts, owners = 0, scratch.keep(arrow_rows(once.select("data", "cuts"), cut, fields), "parts-0"), []
     by_level = []
@@ -251,22 +291,35 @@ def duplicate_spans(
     Spans (start, end) may overlap. Rows with equal id and text share a row.
     """
 
+    def counted(batch):
+        keys: list[int] = []
+        for data in batch.column(2).to_pylist():
+            keys += [c[0] for c in contexts_of(data, length, anchor)]
+        found, n = np.unique(np.array(keys, dtype=np.int64), return_counts=True)
+        return {"key": found, "n": n}
+
+    repeated = arrow_rows(docs, counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1")
+    known = membership(scratch.keep(repeated.select("key"), "repeated"))
+
     def contexts(batch):
-        out = {n: [] for n in ("key", "high", "low", "doc_id", "text_key", "first", "end", "place")}
+        out = {n: [] for n in ("key", "high", "low", "doc_id", "text_key", "first", "end", "place", "least", "most")}
         for doc, text_key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            for key, first, end, place in contexts_of(data, length, anchor):
-                for name, value in zip(out, (key, *_halves(data[first:end]), doc, text_key, first, end, place)):
-                    out[name].append(value)
+            found = list(contexts_of(data, length, anchor))
+            held = may_hold(known.value, np.array([c[0] for c in found], dtype=np.int64)).tolist()
+            for good, (key, first, end, *rest) in zip(held, found):
+                if good:
+                    for name, value in zip(out, (key, *_halves(data[first:end]), doc, text_key, first, end, *rest)):
+                        out[name].append(value)
         return out if out["key"] else None
 
-    fields = "key long, high long, low long, doc_id long, text_key long, first long, end long, place long"
+    fields = "key long, high long, low long, doc_id long, text_key long, first int, end int, place int, least int, most int"
     members = scratch.keep(arrow_rows(docs, contexts, fields), "members")
     spans = scratch.keep(_spans(members, docs, scratch, length, anchor, shard), "spans")
     placed = members.join(spans.withColumnRenamed("end", "to"), ["key", "high", "low"])
     placed = placed.select("doc_id", "text_key", (F.col("first") + F.col("start")).alias("start"), (F.col("first") + F.col("to")).alias("end"))
     placed = placed.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     placed = scratch.keep(placed, "placed")
-    scratch.drop("members", "met", "shared", "parts-0", "spans")
+    scratch.drop("members", "met", "shared", "places", "repeated", "parts-0", "spans")
     return placed
 
 
@@ -288,7 +341,9 @@ def remove_duplicates(
     scratch = Scratch(docs.sparkSession, "substrings")
     keyed = _keyed(docs)
     spans = duplicate_spans(keyed, scratch, length, anchor, shard)
-    rows = keyed.join(spans, _same(keyed, spans), "left").select(keyed["doc_id"], "data", "spans")
+    touched, others = _known(keyed, spans, True), _known(keyed, spans, False)
+    rows = touched.join(spans, _same(touched, spans), "left").select(touched["doc_id"], "data", "spans")
+    rows = rows.unionByName(others.select("doc_id", "data", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
 
     def kept(batch):
         out = {n: [] for n in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")}
