@@ -33,6 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that are turned into Python objects at a time.
+ROWS_AT_A_TIME = 1000
+
+
 class Scratch:
     """Tables of one operator call, written as Parquet below one folder of the shared work folder.
 
@@ -57,9 +61,10 @@ class Scratch:
 
 
 def arrow_rows(df: DataFrame, function, schema: str) -> DataFrame:
-    """``function`` takes one Arrow batch and returns a dict of columns, or None for no rows.
+    """``function`` takes an Arrow batch of ``ROWS_AT_A_TIME`` rows at most and returns a dict of columns, or None for no rows.
 
-    Partitions stay as they are; state lives no longer than a batch.
+    Partitions stay as they are; state lives no longer than a batch. Batches as Spark makes them may hold tens of MB of
+    text, of which Python objects should be made a little at a time.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType, _parse_datatype_string
@@ -70,7 +75,8 @@ def arrow_rows(df: DataFrame, function, schema: str) -> DataFrame:
     arrow = to_arrow_schema(parsed)
 
     def batches(incoming):
-        for batch in incoming:
+        parts = (batch.slice(at, ROWS_AT_A_TIME) for batch in incoming for at in range(0, batch.num_rows, ROWS_AT_A_TIME))
+        for batch in parts:
             columns = function(batch)
             if columns is not None:
                 arrays = [
