@@ -211,17 +211,20 @@ def normalised(spark: SparkSession, path: str, archive_bytes: int = ARCHIVE_BYTE
     return lines.mapInArrow(rewritten, MEMBERS)
 
 
-def normalise(spark: SparkSession, path: str, out: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+def normalise(spark: SparkSession, path: str, out: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Rewrite the archives of ``path`` as ``out``/archives/archive=<name>/, indexed in ``out``/index (Parquet).
 
     Members go from the stream that is inflated to the file without a shuffle. The index is
-    written from the finished archives: archive, offset and length of every record, and what it holds.
+    written from the finished archives, read back: archive, offset and length of every record, and what it
+    holds, with payloads checked against their digests. Returns the index.
     """
     shortened = F.expr("substring(member, 1, length(member) - 1)").cast("string").alias("value")
     # rows come in this order; saying so keeps the writer from sorting by archive alone
     ordered = normalised(spark, path, archive_bytes).sortWithinPartitions("archive", "seq").select("archive", shortened)
     ordered.write.option("lineSep", "\x00").partitionBy("archive").text(f"{out}/archives")
-    read_archives(spark, out).write.parquet(f"{out}/index")
+    found = read_archives(spark, out)
+    found.write.parquet(f"{out}/index")
+    return spark.read.schema(found.schema).parquet(f"{out}/index")
 
 
 def parse_record(whole: bytes) -> tuple:
@@ -312,7 +315,6 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     pages = with_revisits(table(spark, sf_dir, "pages"), scratch)
     write_monolithic(warc_records(pages), f"{scratch.root}/monolithic")
-    normalise(spark, f"{scratch.root}/monolithic", f"{scratch.root}/normal")
+    records = normalise(spark, f"{scratch.root}/monolithic", f"{scratch.root}/normal")
     scratch.drop("monolithic", "revisits", "firsts")
-    records = read_archives(spark, f"{scratch.root}/normal")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
