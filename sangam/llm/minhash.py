@@ -6,8 +6,9 @@ share a bucket. Two sets with a similarity of 0.8 share no bucket once in 2 * 10
 bucket of up to ``ALL_PAIRS`` nodes all pairs are candidates. In a larger one every node
 meets its hub, the node that shares most buckets of that kind, counted with their sizes: of
 variants of one text, the one that was changed least. Nodes that this doesn't join with the
-bucket's hub are dealt into finer buckets, by further minima, and meet in the same way there. So no
-bucket gives more than a fixed number of candidates per node.
+bucket's hub then meet every member of the bucket that isn't in their own component, joined ones too, in
+blocks of at most ``BLOCK`` by ``BLOCK`` nodes that are compared in one task each. So two nodes of a bucket
+are compared or joined already, however large it is.
 
 Candidates pass if their signatures agree well enough, five standard deviations below the
 threshold, and then if their full sets, computed from whole texts, are similar enough. A node's
@@ -30,8 +31,8 @@ from .shingles import lower_words, mix, shingle_hashes, word_hashes
 HASHES, ROWS = 128, 4
 #: Buckets of up to so many nodes give all their pairs.
 ALL_PAIRS = 16
-#: Finer buckets that a node of an undecided bucket is dealt into.
-FINER = 16
+#: Nodes on each side of a block of a larger bucket, but for chance.
+BLOCK = 1024
 
 
 def _universal(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,13 +114,18 @@ def _meetings(keyed: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame,
     return pairs.select("a", "b").unionByName(hub_pairs).distinct(), met_hubs
 
 
+def _least_equal(percent: int) -> int:
+    """Minima that agree for sets this similar, less five standard deviations."""
+    share = percent / 100
+    return int(HASHES * share - 5 * (HASHES * share * (1 - share)) ** 0.5)
+
+
 def _signed_alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose minima agree as often as those of sets this similar do, less five standard deviations.
 
     A byte of each minimum is compared: equal minima always agree, others once in 256 times.
     """
-    share = percent / 100
-    least = int(HASHES * share - 5 * (HASHES * share * (1 - share)) ** 0.5)
+    least = _least_equal(percent)
     left = nodes.select(F.col("node").alias("a"), F.col("minima").alias("left"))
     right = nodes.select(F.col("node").alias("b"), F.col("minima").alias("right"))
     equal = F.aggregate(F.zip_with("left", "right", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
@@ -167,6 +173,54 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
+def _crowded_alike(
+    many: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, scratch: Scratch, name: str, best: bool = False
+) -> DataFrame:
+    """Pairs (a < b) of larger buckets with minima as in ``_signed_alike`` that aren't joined, if one isn't joined with the hub.
+
+    Every node that isn't meets all members of its bucket; both sides are dealt into blocks by a hash. With
+    ``best`` only the pair with most equal minima is given for each such node and block.
+    """
+    of = {c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("node", "hub")}
+    members = many.join(of["node"], "node", "left").join(of["hub"], "hub", "left")
+    root = F.coalesce("node_root", "node")
+    members = members.select("key", "node", root.alias("root"), (root != F.coalesce("hub_root", "hub")).alias("open"))
+    members = scratch.keep(members, f"{name}-members")
+    blocks = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("n_open")).filter("n_open > 0")
+    blocks = blocks.select("key", F.ceil(F.col("n") / BLOCK).alias("down"), F.ceil(F.col("n_open") / BLOCK).alias("across"))
+    met = members.join(scratch.keep(blocks, f"{name}-blocks"), "key").join(nodes.select("node", "minima"), "node")
+
+    def dealt(rows, asks, own, other):
+        """Rows in their own block of one side, once for each block of the other."""
+        place = F.pmod(F.xxhash64("node"), F.col(own)).alias(own)
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
+        rows = rows.select("key", place, every, "node", "root", "open", F.lit(asks).alias("asks"), "minima")
+        return rows.select("key", "down", "across", "node", "root", "open", "asks", "minima")
+
+    least = _least_equal(percent)
+
+    def compared(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        node, root, is_open, asks = (block[c].to_numpy() for c in ("node", "root", "open", "asks"))
+        minima = np.asarray(block["minima"].chunk(0).flatten()).view(np.uint8).reshape(-1, HASHES)
+        of_all, root_of_all, open_of_all, minima_of_all = (v[~asks] for v in (node, root, is_open, minima))
+        found = [(node[:0], node[:0])]
+        for at in np.flatnonzero(asks):
+            # of two that ask, the larger one compares
+            good = np.flatnonzero((root_of_all != root[at]) & (best | ~open_of_all | (of_all < node[at])))
+            equal = (minima_of_all[good] == minima[at]).sum(axis=1, dtype=np.uint8)
+            if best and len(good):
+                good, equal = good[[equal.argmax()]], equal[[equal.argmax()]]
+            good = good[equal >= least]
+            others = of_all[good]
+            found.append((np.minimum(others, node[at]), np.maximum(others, node[at])))
+        a, b = (np.concatenate(side) for side in zip(*found))
+        return pa.table({"a": a, "b": b})
+
+    both = dealt(met.filter("open"), True, "across", "down").unionByName(dealt(met, False, "down", "across"))
+    return both.groupBy("key", "down", "across").applyInArrow(compared, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs`` (doc_id, text).
 
@@ -191,18 +245,16 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     more = scratch.keep(_confirmed(_apart(alike, roots), sets, percent), "more")
     roots = joined_components(roots, more, scratch, "second")
     # nodes of large buckets that aren't in the component of the bucket's hub
-    open_pairs = _apart(many.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), roots)
-    open_pairs = open_pairs.withColumnsRenamed({"a": "hub", "b": "node"})
-    undecided = scratch.keep(many.join(open_pairs, ["hub", "node"]).select("key", "node"), "undecided")
-    if not undecided.isEmpty():
-        minima = undecided.join(nodes.select("node", "minima"), "node")
-        step = HASHES // FINER
-        finer = [F.xxhash64(F.lit(i), "key", F.slice("minima", step * i + 1, 3)) for i in range(FINER)]
-        pairs, _ = _meetings(minima.select("node", F.array(*finer).alias("keys")), scratch, "finer")
-        alike = scratch.keep(_signed_alike(_apart(pairs, roots), nodes, percent), "finer-alike")
-        finer_sets = _sets(docs, alike, size, scratch, "finer-sets")
-        more = scratch.keep(_confirmed(alike, finer_sets, percent), "finer-links")
-        roots = joined_components(roots, more, scratch, "third")
+    # their best partners first, as these join most of them
+    for name, best in (("third", True), ("fourth", True), ("fifth", False)):
+        crowded = _crowded_alike(many, nodes, roots, percent, scratch, name, best)
+        crowded = scratch.keep(crowded, f"{name}-alike")
+        if crowded.isEmpty():
+            break
+        sets = _sets(docs, crowded, size, scratch, f"{name}-sets")
+        more = scratch.keep(_confirmed(crowded, sets, percent), f"{name}-links")
+        roots = joined_components(roots, more, scratch, name)
+        scratch.drop(*(f"{name}-{made}" for made in ("members", "blocks", "alike", "sets", "links")))
     scratch.drop("sets", "bands-met", "bands-buckets", "bands-hubs", "bands-scores")
     # a document with several rows may have several sets: its smallest root counts for each
     classes = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))

@@ -73,3 +73,23 @@ def test_components_of_a_path(spark, monkeypatch):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 60), (7, 7), (None, 3)], "a long, b long")
     got = {r.node: r.root for r in components(links, Scratch(spark, "path")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 50: 50, 60: 50}
+
+
+def test_copies_of_members_of_a_crowd(spark):
+    """Texts that are like one variant of a much varied text, not like its hub, and like no other."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(20000)]
+    base = [rng.choice(words) for _ in range(400)]
+
+    def edited(text, n):
+        text = list(text)
+        for at in rng.sample(range(len(text)), n):
+            text[at] = rng.choice(words)
+        return text
+
+    variants = [edited(base, rng.randrange(1, 3)) for _ in range(300)]
+    second = [edited(variants[i], 11) for i in range(60)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(variants + second)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    assert grouped(minhash.near_duplicates(docs)) == want
