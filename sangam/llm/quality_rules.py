@@ -54,7 +54,6 @@ class Limits:
     word_min_words: int = 50
     word_distance: float = 0.45
     common_words: int = 40
-    max_languages: int = 64
 
 
 def class_histogram(text: str) -> np.ndarray:
@@ -123,9 +122,9 @@ def word_histogram(words: list[str], common: dict[str, int]) -> np.ndarray:
 def language_references(docs: DataFrame, limits: Limits = Limits()) -> dict[str, dict]:
     """Per language: its character classes and its commonest words with their shares.
 
-    Every row counts. Words are counted per task, then summed by (language, word); only
-    ``common_words`` rows of at most ``max_languages`` languages, those with most documents, come to
-    the driver. Rows without language or text teach nothing.
+    Every row and every language counts. Words are counted per task, then summed by (language, word); only
+    ``common_words`` rows and those of the classes come to the driver for each language. Rows without language or
+    text teach nothing.
     """
 
     def counted(incoming):
@@ -147,7 +146,6 @@ def language_references(docs: DataFrame, limits: Limits = Limits()) -> dict[str,
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not text:
                     continue
-                counts[lang, "\x00docs"] += 1
                 shares = class_histogram(text)
                 for name, n in zip(CLASSES, (shares / shares.sum()).tolist()):
                     counts[lang, "\x00class " + name] += n
@@ -162,14 +160,11 @@ def language_references(docs: DataFrame, limits: Limits = Limits()) -> dict[str,
     scratch = Scratch(docs.sparkSession, "languages")
     sums = scratch.keep(sums, "sums")
     is_word = ~F.col("key").startswith("\x00")
-    docs_of = sums.filter(F.col("key") == "\x00docs").select("lang", F.col("n").alias("docs"))
-    chosen = F.broadcast(docs_of.orderBy(F.desc("docs"), "lang").limit(limits.max_languages).select("lang"))
-    sums = sums.join(chosen, "lang")
     totals = sums.filter(is_word | (F.col("key") == _NO_WORD)).groupBy("lang").agg(F.sum("n").alias("words"))
     # the rank limit runs in every task before rows of a language meet
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
     top = sums.filter(is_word).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limits.common_words)
-    found = top.drop("place").unionByName(sums.filter(~is_word)).join(F.broadcast(totals), "lang")
+    found = top.drop("place").unionByName(sums.filter(~is_word)).join(totals, "lang")
     references: dict[str, dict] = {}
     for row in found.orderBy("lang", F.desc("n"), "key").collect():
         one = references.setdefault(row.lang, {"classes": np.zeros(len(CLASSES)), "words": {}, "shares": [], "rest": 0.0})

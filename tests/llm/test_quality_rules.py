@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -49,3 +50,20 @@ def test_distance():
 
     assert Q.distance(np.array([1, 0]), np.array([0, 1])) == 1
     assert Q.distance(np.array([2, 4]), np.array([1, 2])) == 0
+
+
+def test_every_language_has_a_reference(spark):
+    """More than 64 languages, the smaller ones with words of their own, judged as if they were alone."""
+    rng = random.Random(9)
+    rows = []
+    for n in range(70):
+        own = [f"{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + k)}" for k in range(26)]
+        for _ in range(2 if n >= 64 else 3):
+            rows.append((len(rows), " ".join(rng.choice(own) for _ in range(90)), f"l{n:02}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.quality for r in Q.quality_rules(docs).collect()}
+    assert len(Q.language_references(docs)) == 70
+    few = docs.filter("lang >= 'l64'")
+    alone = {r.doc_id: r.quality for r in Q.quality_rules(few).collect()}
+    assert len(alone) == 12 and all(q.kept and got[i].kept for i, q in alone.items())
+    assert all(abs(got[i].word_distance - q.word_distance) < 1e-9 for i, q in alone.items())
