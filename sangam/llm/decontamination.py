@@ -1,6 +1,7 @@
 """Benchmark decontamination by SimHash windows and multi-index Hamming blocks.
 
-A benchmark item of n words is compared with every window of n words. Items and windows are bags of
+A benchmark item of n words is compared with every window of n words, and with the whole of a text that is shorter but has
+shingles enough to be similar. Items and windows are bags of
 word shingles; a bag's fingerprint has, bit by bit, the sign of the sum of its shingles' hash bits. Two bags
 with a weighted similarity of 0.8 differ in about 10 of 64 bits, and in more than ``RADIUS``
 once in 10^4 times. Fingerprints are cut into ``BLOCKS`` blocks; within the radius at least one block
@@ -99,12 +100,20 @@ class Items:
 
 
 def _windows(items: Items, hits: np.ndarray, size: int, percent: int):
-    """(words, first shingle, number of shingles) of windows with enough known shingles."""
+    """(words of the item, first shingles, number of shingles) of windows with enough known shingles.
+
+    Of a text with fewer shingles than an item the whole is the window.
+    """
     sums = np.concatenate([[0], np.cumsum(hits)])
     for n in items.by_words:
         shingles = max(1, n - size + 1)
         if shingles > len(hits):
-            break
+            # even if the item holds all of a text, their similarity is no more than the share of its shingles
+            if 100 * len(hits) < percent * shingles:
+                break
+            if (100 + percent) * sums[-1] >= percent * (shingles + len(hits)):
+                yield n, np.zeros(1, dtype=np.int64), len(hits)
+            continue
         # of two bags of m, common / (2 m - common) >= p / 100 needs common >= 2 p m / (100 + p)
         needed = -(-2 * percent * shingles // (100 + percent))
         yield n, np.flatnonzero(sums[shingles:] - sums[:-shingles] >= needed), shingles
@@ -113,7 +122,7 @@ def _windows(items: Items, hits: np.ndarray, size: int, percent: int):
 def matches(text: str | None, items: Items, size: int = 5, percent: int = 80) -> dict[int, tuple[float, int, int]]:
     """Best window per item place: similarity, first word, number of words; the first of equal ones.
 
-    A text with fewer words than an item holds no window of that size.
+    A text with fewer words than an item is compared with it as a whole.
     """
     found: dict[int, tuple[float, int, int]] = {}
     words = word_hashes(lower_words(text))
@@ -139,7 +148,7 @@ def matches(text: str | None, items: Items, size: int = 5, percent: int = 80) ->
                         for place in places:
                             value = similarity(items.bags[place], bag)
                             if 100 * value >= percent and value > found.get(place, (0.0,))[0]:
-                                found[place] = (value, start, n)
+                                found[place] = (value, start, min(n, len(words)))
     return found
 
 

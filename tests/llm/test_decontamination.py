@@ -80,3 +80,28 @@ def test_index_finds_all_within_the_radius():
             probe ^= np.uint64(1) << np.uint64(bit)
         want = np.flatnonzero(np.bitwise_count(prints ^ probe) <= decontamination.RADIUS)
         assert items.within(probe).tolist() == want.tolist()
+
+
+def test_texts_shorter_than_an_item(spark):
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(500)]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([3, 5, 8, 20, 40, 60])))) for i in range(60)]
+    docs = []
+    for i, text in items:
+        for less in (0, 1, 2, 5, 9, 12, 14):
+            words = words_of(text)[less // 2 :]
+            docs.append((len(docs), " ".join(words[: max(0, len(words) - (less - less // 2))])))
+    want = brute(docs, items)
+    for d, text in docs:  # the whole of a text that is shorter than the item
+        for i, item in items:
+            have, of_item = bag(words_of(text)) if text else Counter(), bag(words_of(item))
+            common = sum((of_item & have).values())
+            if 0 < len(words_of(text)) < len(words_of(item)) and common >= 0.8 * (sum(of_item.values()) + sum(have.values()) - common):
+                want[d, i] = common / (sum(of_item.values()) + sum(have.values()) - common)
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontamination.contaminated(left, right).collect()
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in rows} == {k: round(v, 9) for k, v in want.items()}
+    of = dict(docs)
+    assert all(r.first_word + r.n_words <= len(words_of(of[r.doc_id])) for r in rows)
+    assert {r.doc_id for r in decontamination.clean(left, right).collect()} == set(of) - {d for d, _ in want}
