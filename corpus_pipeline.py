@@ -1,7 +1,7 @@
 """The corpus pipeline: quality rules, near-duplicates, benchmark passages, secrets, tokens.
 
 Each stage takes the documents that the one before kept, written as Parquet, and returns the
-columns of documents, but for the last, which returns the tokens of each.
+columns of documents, but for the last, which returns the tokens of each and the text decoded from them.
 """
 
 from __future__ import annotations
@@ -45,9 +45,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and tokens of every document."""
-    encoded = bpe.bpe_encode(docs)
-    return encoded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), "tokens")
+    """doc_id, n_tokens and tokens of every document, and the text that they are decoded to."""
+    encoded = bpe.bpe_round_trip(docs)
+    return encoded.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), "tokens", "text")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -55,7 +55,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("near-duplicates", keep_one_of_each),
     ("benchmark decontamination", drop_benchmark),
     ("secret scans", redact_secrets),
-    ("byte-pair encoding", encode_tokens),
+    ("byte-pair encoding and decoding", encode_tokens),
 ]
 
 #: Near-duplicates need components and tokens need the merge list: no SQL; tests compare with plain Python.

@@ -358,6 +358,25 @@ def bpe_encode(docs: DataFrame, content: str | None = None) -> DataFrame:
     return arrow_rows(docs.select(F.col("doc_id").cast("long"), "text"), encoded, "doc_id long, tokens array<int>")
 
 
+def bpe_round_trip(docs: DataFrame, content: str | None = None) -> DataFrame:
+    """As ``bpe_encode``, with the ``text`` that the decoder gives for the tokens as they come (null and empty: empty)."""
+    shared = docs.sparkSession.sparkContext.broadcast(public_vocabulary() if content is None else content)
+
+    def there_and_back(batch):
+        v = vocabulary(shared.value)
+        tokens, texts = [], []
+        for text in batch.column(1).to_pylist():
+            decoder, ids, parts = Decoder(v), [], []
+            for some in encode(v, text):
+                ids.extend(some)
+                parts.append(decoder.feed(some))
+            tokens.append(ids)
+            texts.append("".join(parts) + decoder.finish())
+        return {"doc_id": batch.column(0), "tokens": tokens, "text": texts}
+
+    return arrow_rows(docs.select(F.col("doc_id").cast("long"), "text"), there_and_back, "doc_id long, tokens array<int>, text string")
+
+
 def bpe_decode(encoded: DataFrame, content: str | None = None) -> DataFrame:
     """doc_id and ``text`` of rows (doc_id, tokens); null tokens give a null text."""
     shared = encoded.sparkSession.sparkContext.broadcast(public_vocabulary() if content is None else content)

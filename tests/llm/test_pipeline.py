@@ -58,3 +58,11 @@ def test_query_equals_sql(spark, name):
         pytest.skip("no SQL")
     con = compare.connect(SF_DIR)
     assert compare.spark_rows(entry_points.queries()[name](spark, SF_DIR)) == compare.duck_rows(con, sql[name])
+
+
+def test_last_stage_makes_a_round_trip(spark):
+    rows = [(1, "Hello, 世界  again"), (1, "naïve 😀 x"), (None, "a\nb"), (2, ""), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.encode_tokens(spark, docs, SF_DIR).collect()
+    assert sorted(r.text for r in got) == sorted(t or "" for _, t in rows)
+    assert all(r.n_tokens == len(r.tokens) for r in got)
