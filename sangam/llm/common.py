@@ -33,8 +33,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows that are turned into Python objects at a time.
+#: Rows, and bytes unless one row has more, that are turned into Python objects at a time.
 ROWS_AT_A_TIME = 1000
+BYTES_AT_A_TIME = 1 << 22
+
+
+def small_slices(batch: pa.RecordBatch):
+    """Slices of a batch, in order, of at most ``ROWS_AT_A_TIME`` rows and, but for single rows, ``BYTES_AT_A_TIME``."""
+    if batch.num_rows > 1 and (batch.num_rows > ROWS_AT_A_TIME or batch.nbytes > BYTES_AT_A_TIME):
+        half = batch.num_rows // 2
+        yield from small_slices(batch.slice(0, half))
+        yield from small_slices(batch.slice(half))
+    elif batch.num_rows:
+        yield batch
 
 
 class Scratch:
@@ -61,7 +72,7 @@ class Scratch:
 
 
 def arrow_rows(df: DataFrame, function, schema: str) -> DataFrame:
-    """``function`` takes an Arrow batch of ``ROWS_AT_A_TIME`` rows at most and returns a dict of columns, or None for no rows.
+    """``function`` takes an Arrow batch as ``small_slices`` cuts it and returns a dict of columns, or None for no rows.
 
     Partitions stay as they are; state lives no longer than a batch. Batches as Spark makes them may hold tens of MB of
     text, of which Python objects should be made a little at a time.
@@ -75,8 +86,7 @@ def arrow_rows(df: DataFrame, function, schema: str) -> DataFrame:
     arrow = to_arrow_schema(parsed)
 
     def batches(incoming):
-        parts = (batch.slice(at, ROWS_AT_A_TIME) for batch in incoming for at in range(0, batch.num_rows, ROWS_AT_A_TIME))
-        for batch in parts:
+        for batch in (part for whole in incoming for part in small_slices(whole)):
             columns = function(batch)
             if columns is not None:
                 arrays = [

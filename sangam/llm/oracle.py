@@ -32,9 +32,11 @@ _CRC_STEPS = "".join(
     f",\nc{i + 1} AS (SELECT n, {_SHIFT.format('v')} AS v FROM c{i})" for i in range(8)
 )
 
+_CRC = f"""c0 AS (SELECT i::BIGINT AS n, i::BIGINT AS v FROM range(256) t(i)){_CRC_STEPS},
+crc AS (SELECT list(v ORDER BY n) AS codes FROM c8)"""
+
 OP8 = f"""
-WITH c0 AS (SELECT i::BIGINT AS n, i::BIGINT AS v FROM range(256) t(i)){_CRC_STEPS},
-crc AS (SELECT list(v ORDER BY n) AS codes FROM c8),
+WITH {_CRC},
 docs AS (
   SELECT doc_id, source, coalesce(text, '') AS text, md5('17|' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
 ), summed AS (
@@ -113,4 +115,73 @@ FROM documents d LEFT JOIN per p ON p.doc_id = d.doc_id
 """
 
 
-SQL = {"op5_secrets": _op5(), "op7_minhash": OP7, "op8_sharding": OP8, "op9_warc": OP9}
+OP11 = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS x, length(coalesce(text, ''))::BIGINT AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS one, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS other,
+    ('0x' || substr(h, 17, 8))::BIGINT % 100 AS h3, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS h4
+  FROM texts
+), formed AS (
+  SELECT *, least(one, other) AS a, greatest(one, other) AS b,
+    CASE WHEN n = 0 OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 >= 90 THEN 'plain'
+      WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), cut AS (
+  SELECT *, substr(x, 1, a) AS p, substr(x, a + 1, b - a) AS m, substr(x, b + 1) AS s FROM formed
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(x) AS restored_sha256
+FROM cut
+"""
+
+#: The digest of a turn, and the number of turns lent, from the low bits of a CRC-32.
+OP12 = f"""
+WITH RECURSIVE {_CRC},
+turns AS (
+  SELECT conv_id AS c, turn, length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS t,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+  SELECT c, md5(t) AS t, words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, md5(t)) AS i FROM turns
+), ids AS (
+  SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(regexp_extract_all(hex(encode(c::VARCHAR)), '..'), lambda b: ('0x' || b)::BIGINT)),
+      lambda c, b: xor(c >> 8, codes[xor(c, b) % 256 + 1])), 4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT c FROM placed), crc
+), rebuilt AS (
+  SELECT ids.c, i, t, words FROM ids JOIN placed p ON p.c = ids.c - ids.c % 20 AND p.i <= h
+  UNION ALL SELECT ids.c, i + 4, t, words FROM ids JOIN placed p ON p.c = ids.c AND p.i > h
+), members AS (
+  SELECT c, string_agg(t, '' ORDER BY i) OVER w AS node, row_number() OVER w AS depth, words
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT c, '', 0, 0 FROM ids
+), nodes AS (
+  SELECT node, depth, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words FROM members GROUP BY node, depth
+), children AS (
+  SELECT left(node, 32 * (depth - 1)::INT) AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), own AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * words AS cost,
+    CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM nodes n LEFT JOIN children k ON k.node = n.node
+), below AS (
+  SELECT m.node, sum(leaf) AS n_leaves, sum(cost) AS saved_tokens
+  FROM own u JOIN members m ON m.c = u.conv_id AND m.depth <= u.depth GROUP BY m.node
+), ends AS (
+  SELECT node, string_agg(c::VARCHAR, ',' ORDER BY c) AS listed
+  FROM (SELECT c, arg_max(node, depth) AS node FROM members GROUP BY c) GROUP BY node
+)
+SELECT o.conv_id, o.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, o.n_convs::BIGINT AS n_convs,
+  o.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+  sha256(coalesce(listed, '')) AS ends_sha256
+FROM own o JOIN below b ON b.node = o.node
+LEFT JOIN ends e ON e.node = o.node
+LEFT JOIN nodes p ON o.depth > 0 AND p.node = left(o.node, 32 * (o.depth - 1)::INT)
+"""
+
+SQL = {"op5_secrets": _op5(), "op7_minhash": OP7, "op8_sharding": OP8, "op9_warc": OP9, "op11_fill_in_middle": OP11, "op12_prefix_trie": OP12}

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import bpe, chaining, decontamination, minhash, oracle, quality_rules, rule_ensemble, secrets, sharding, suffix_dedup, warc
+from . import (
+    bpe,
+    chaining,
+    decontamination,
+    fill_in_middle,
+    minhash,
+    oracle,
+    prefix_trie,
+    quality_rules,
+    rule_ensemble,
+    secrets,
+    sharding,
+    suffix_dedup,
+    warc,
+)
 
 QUERIES = {
     "op1_suffix_array": suffix_dedup.op1_suffix_array,
@@ -15,6 +29,8 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_warc": warc.op9_warc,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
 }
 
 
