@@ -58,28 +58,36 @@ FROM dealt
 """
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-OP7 = f"""
+
+
+def _components(size: int, percent: int, kept: str = "") -> str:
+    """Components of documents by the similarity of their sets of ``size``-word shingles."""
+    return f"""
 WITH RECURSIVE split AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents
 ), shingles AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
-    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(list_slice(words, i, i + 3), ' ')) END) AS shingle
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) < {size} THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - {size - 2}), lambda i: array_to_string(list_slice(words, i, i + {size - 1}), ' ')) END) AS shingle
   FROM split WHERE len(words) > 0
 ), sizes AS (
   SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), links AS (
   SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
   JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
-  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 180 * count(*) >= 80 * (x.n + y.n)
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING {100 + percent} * count(*) >= {percent} * (x.n + y.n)
 ), reach(a, b) AS (
   SELECT doc_id, doc_id FROM split UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
 )
-SELECT s.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+SELECT s.doc_id, coalesce(n, 0) AS n_shingles, c.component_id{kept}
 FROM split s JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = s.doc_id
 LEFT JOIN sizes z ON z.doc_id = s.doc_id
 """
 
 
+OP7 = _components(4, 80, ", s.doc_id = c.component_id AS kept")
+OP13 = _components(3, 90)
+
+
 def _op5() -> str:
     """What lies between the matches of a rule, and the matches, in turn, give the places."""
     parts = []
@@ -184,4 +192,4 @@ LEFT JOIN ends e ON e.node = o.node
 LEFT JOIN nodes p ON o.depth > 0 AND p.node = left(o.node, 32 * (o.depth - 1)::INT)
 """
 
-SQL = {"op5_secrets": _op5(), "op7_minhash": OP7, "op8_sharding": OP8, "op9_warc": OP9, "op11_fill_in_middle": OP11, "op12_prefix_trie": OP12}
+SQL = {"op5_secrets": _op5(), "op7_minhash": OP7, "op8_sharding": OP8, "op9_warc": OP9, "op11_fill_in_middle": OP11, "op12_prefix_trie": OP12, "op13_jaccard_join": OP13}

@@ -7,6 +7,7 @@ from . import (
     chaining,
     decontamination,
     fill_in_middle,
+    jaccard_join,
     minhash,
     oracle,
     prefix_trie,
@@ -31,6 +32,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
     "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_jaccard_join": jaccard_join.op13_jaccard_join,
 }
 
 
