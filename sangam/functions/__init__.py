@@ -1,8 +1,9 @@
 from .arrays import array_to_text, parse_array_repr, text_to_array
-from .numbers import one_decimal, percent, round1, text_bar, thousands
+from .numbers import one_decimal, percent, round1, round1_exact, text_bar, thousands
 from .script import script_counts, script_label, with_script
 from .text import (
     ascii_preview,
+    clean_pairs,
     clean_text,
     clean_token_count,
     clean_tokens,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .numbers import percent, round1
+from .numbers import percent, round1_exact
 
 # The Devanagari block and the ASCII letters.
 DEVANAGARI = r"\u0900-\u097f"
@@ -52,8 +52,8 @@ def with_script(df: DataFrame, percents: bool = False) -> DataFrame:
     if percents:
         out = (
             out.withColumn("_sc", script_counts(F.col("text")))
-            .withColumn("deva_pct", round1(F.col("_sc.deva_pct")))
-            .withColumn("latin_pct", round1(F.col("_sc.latin_pct")))
+            .withColumn("deva_pct", round1_exact(F.col("_sc.deva_pct")))
+            .withColumn("latin_pct", round1_exact(F.col("_sc.latin_pct")))
             .drop("_sc")
         )
     return out.withColumn("script_type", script_label(F.col("text")))

@@ -82,6 +82,21 @@ def clean_token_count(text: Column) -> Column:
     return F.when(text == "", 0).otherwise(blanks + 1)
 
 
+def clean_pairs(tokens: Column, tags: Column) -> Column:
+    """Tokens after cleaning, each with the tag of the token it came from, as an array of (token, tag).
+
+    No match of the text rules crosses white space, so cleaning joined tokens is cleaning each by itself: one may
+    vanish, or fall into several if it holds white space, and its tag goes or is repeated with it. Tokens beyond
+    the last tag have a null tag, tags beyond the last token go.
+    """
+
+    def kept(token: Column, place: Column) -> Column:
+        tag = F.get(tags, place)
+        return F.transform(clean_tokens(clean_text(token)), lambda t: F.struct(t.alias("token"), tag.alias("tag")))
+
+    return F.flatten(F.transform(tokens, kept))
+
+
 def text_of(tokens: Column) -> Column:
     return F.array_join(tokens, " ")
 

@@ -18,6 +18,7 @@ from .cleaning import (
     dropped_by_source,
     length_filter,
     retokenised,
+    tag_alignment,
 )
 from .ids import dense_ids, in_load_order, renumber, unify
 from .reports import (
@@ -26,12 +27,15 @@ from .reports import (
     distribution,
     first_per_group,
     id_null_checks,
+    ids_unique,
+    length_sketches,
     length_stats,
     load_counts,
     ordered_counts,
     script_by_split,
     script_pivot,
     source_by_split,
+    sketched_medians,
     summary,
     tag_vocab,
     wide_counts,
@@ -44,4 +48,4 @@ from .sinks import (
     write_outputs,
     write_parquet,
 )
-from .splits import assign_splits, has_split, stratum_sizes
+from .splits import assign_splits, has_split, split_totals, stratum_sizes

@@ -5,22 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numbers import percent
-from ..functions.text import clean_text, clean_token_count, clean_tokens
+from ..functions.text import clean_pairs, clean_text, clean_token_count, clean_tokens
 from ..session import computed, staged
 from .ids import renumber
 
 MIN_TOKENS, MAX_TOKENS = 3, 100
 
 
-def cleaned(df: DataFrame) -> DataFrame:
-    """Clean ``text``; the tokens follow from it and are rebuilt by ``retokenised``."""
-    return computed(df.drop("tokens"), "text", clean_text(F.col("text")))
+def cleaned(df: DataFrame, align_tags: bool = False) -> DataFrame:
+    """Clean ``text``; the tokens follow from it and are rebuilt by ``retokenised``.
+
+    ``lid_tags`` stay as read, and may then be more or fewer than the tokens. With ``align_tags`` they follow their
+    tokens through the cleaning; only rows whose tokens it changes are looked at token by token.
+    """
+    out = computed(df, "text", clean_text(F.col("text")))
+    if align_tags:
+        same = clean_tokens(F.col("text")) == F.col("tokens")
+        tags = F.slice("lid_tags", F.lit(1), F.size("tokens"))
+        few = F.greatest(F.size("tokens") - F.size(tags), F.lit(0))
+        padded = F.concat(tags, F.array_repeat(F.lit(None).cast("string"), few))
+        followed = clean_pairs(F.col("tokens"), F.col("lid_tags"))["tag"]
+        out = out.withColumn("lid_tags", F.when(same, padded).otherwise(followed))
+    return out.drop("tokens")
 
 
 def retokenised(df: DataFrame) -> DataFrame:
     return df.withColumn("tokens", clean_tokens(F.col("text")))
 
 
+def tag_alignment(df: DataFrame) -> DataFrame:
+    """Rows per source, and how many have another number of tags than of tokens."""
+    off = F.size("tokens") != F.size("lid_tags")
+    return df.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(off).alias("n_misaligned"))
+
+
 def dedup_first(df: DataFrame, key: str = "text", order=("sentence_id",)) -> DataFrame:
     """The first row of each ``key`` by ``order``.
 
@@ -41,22 +59,22 @@ def length_filter(df: DataFrame, min_tokens=MIN_TOKENS, max_tokens=MAX_TOKENS) -
 
 
 def clean_rows(
-    df: DataFrame, order=("sentence_id",), min_tokens=MIN_TOKENS, max_tokens=MAX_TOKENS
+    df: DataFrame, order=("sentence_id",), min_tokens=MIN_TOKENS, max_tokens=MAX_TOKENS, align_tags: bool = False
 ) -> DataFrame:
     """Rows that survive cleaning, before they get tokens and new ids."""
-    return length_filter(dedup_first(cleaned(df), order=order), min_tokens, max_tokens)
+    return length_filter(dedup_first(cleaned(df, align_tags), order=order), min_tokens, max_tokens)
 
 
 def apply_cleaning(
-    df: DataFrame, min_tokens=MIN_TOKENS, max_tokens=MAX_TOKENS, stage: bool = True
+    df: DataFrame, min_tokens=MIN_TOKENS, max_tokens=MAX_TOKENS, stage: bool = True, align_tags: bool = False
 ) -> DataFrame:
     """Clean, retokenise, drop duplicates, then length outliers, and renumber.
 
-    ``lid_tags`` stay as read, so they may be longer than the new tokens.
+    ``lid_tags`` stay as read, so they may be longer than the new tokens, unless ``align_tags`` lets them follow.
     Numbering reads the kept rows twice, so they are written to the shared folder
     in between; ``stage=False`` computes them twice instead and writes nothing.
     """
-    kept = clean_rows(df, min_tokens=min_tokens, max_tokens=max_tokens)
+    kept = clean_rows(df, min_tokens=min_tokens, max_tokens=max_tokens, align_tags=align_tags)
     if stage:
         kept = staged(kept, "kept")
     return retokenised(renumber(kept)).select(*df.columns)

@@ -4,29 +4,52 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..schema import LOADED
+from ..session import staged
 
 ID_BUCKET_ROWS = 1 << 18
 
 
+def bucket_starts(counts: DataFrame, bucket: list[str]) -> DataFrame:
+    """Rows before each bucket, ``_start``, for one row per bucket with its rows ``_n``.
+
+    A tree of running totals: buckets are dealt in order to tasks, each task sums along its own, and
+    only one total per task goes through the driver, however many buckets there are.
+    """
+    part = counts.repartitionByRange(*bucket).sortWithinPartitions(*bucket).withColumn("_part", F.spark_partition_id())
+
+    def summed(batches):
+        total = 0
+        for batch in batches:
+            n = batch.column("_n")
+            ends = pc.add(pc.cumulative_sum(n), total)
+            total = ends[-1].as_py() if len(n) else total
+            yield pa.RecordBatch.from_arrays([*batch.columns, pc.subtract(ends, n)], names=[*batch.schema.names, "_start"])
+
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in part.schema)
+    sums = staged(part.mapInArrow(summed, f"{types}, _start bigint"), "bucket-starts")
+    before, total = [], 0
+    for row in sums.groupBy("_part").agg(F.sum("_n").alias("n")).orderBy("_part").collect():
+        before.append((row["_part"], total))
+        total += row["n"]
+    parts = F.broadcast(counts.sparkSession.createDataFrame(before, "_part int, _before bigint"))
+    return sums.join(parts, "_part").select(*bucket, (F.col("_start") + F.col("_before")).alias("_start"))
+
+
 def dense_ids(
     df: DataFrame, bucket: list[str], within: list[str], name: str = "sentence_id"
 ) -> DataFrame:
-    """Number all rows 0, 1, 2 ... by (``bucket``, ``within``), without one global sort.
+    """Number all rows 0, 1, 2 ... by (``bucket``, ``within``), without a global sort.
 
-    Rows are counted per bucket; the running total of that table (one thin row
-    per bucket) gives each bucket its first id, and rows are ranked inside their
+    Rows are counted per bucket, ``bucket_starts`` gives each bucket its first id, and rows are ranked inside their
     bucket.  The join and the ranking share one shuffle by bucket.  The order
-    must be unique and its columns not null.
+    must be unique and its columns not null. Runs jobs when called.
     """
-    earlier = Window.orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        df.groupBy(*bucket)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*bucket, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    )
+    starts = bucket_starts(df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")), bucket)
     rank = F.row_number().over(Window.partitionBy(*bucket).orderBy(*within))
     ranked = df.withColumn("_rank", rank).join(starts, bucket)
     return ranked.withColumn(name, F.col("_start") + F.col("_rank") - 1).drop("_start", "_rank")

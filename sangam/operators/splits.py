@@ -29,20 +29,49 @@ def stratum_sizes(df: DataFrame, rare_below: int = RARE_BELOW) -> DataFrame:
     )
 
 
-def _parts(rows: DataFrame) -> DataFrame:
-    """Rows before each hash part of a stratum, and the sizes the stratum is cut into.
+def _apportioned(strata: DataFrame, name: str, total: Column, whole: Column, rest: Column) -> DataFrame:
+    """Shares ``whole`` of the strata, one more for those with the largest ``rest`` until they sum up to ``total``.
+
+    Strata that go to train as a whole take no part. Ties go by the stratum's name. Only the strata's counts meet.
+    """
+    part = Window.partitionBy("all_train")
+    seats = total - F.sum(whole).over(part)
+    place = F.row_number().over(part.orderBy(rest.desc(), "stratum"))
+    strata = strata.withColumns({"_whole": whole, "_seats": seats, "_place": place})
+    more = (F.col("_place") <= F.col("_seats")).cast("bigint")
+    return strata.withColumn(name, F.col("_whole") + more).drop("_whole", "_seats", "_place")
+
+
+def _sizes(strata: DataFrame, exact_totals: bool) -> DataFrame:
+    """``strata`` (stratum, n) with n_train, and n_held for train and validation together.
 
     n_train = (8n + 5) div 10 and half of the rest, rounded up, for validation;
-    a rare stratum, or everything if too few rows are left, goes to train.
+    a rare stratum, or everything if too few rows are left, goes to train. With ``exact_totals`` these
+    sizes hold for all other strata together, and are apportioned among them by largest remainders.
     """
-    counts = rows.groupBy("stratum", "part").agg(F.count(F.lit(1)).alias("n_part"))
-    strata = counts.groupBy("stratum").agg(F.sum("n_part").alias("n"))
     usable = F.sum(F.when(F.col("n") >= RARE_BELOW, F.col("n")).otherwise(0)).over(Window.partitionBy())
-    strata = strata.withColumn(
-        "all_train", (F.col("n") < RARE_BELOW) | (usable < TOO_FEW)
-    ).withColumn(
-        "n_train", F.when(F.col("all_train"), F.col("n")).otherwise(F.expr("(8 * n + 5) div 10"))
-    ).withColumn("n_held", F.expr("n_train + (n - n_train + 1) div 2"))
+    strata = strata.withColumn("_usable", usable)
+    strata = strata.withColumn("all_train", (F.col("n") < RARE_BELOW) | (F.col("_usable") < TOO_FEW))
+    if exact_totals:
+        n_train = F.expr("(8 * _usable + 5) div 10")
+        strata = _apportioned(strata, "n_train", n_train, F.expr("(8 * n) div 10"), F.expr("(8 * n) % 10"))
+        held = F.col("n") - F.col("n_train")
+        strata = strata.withColumn("_held", held)
+        n_validation = F.expr("(_usable - (8 * _usable + 5) div 10 + 1) div 2")
+        strata = _apportioned(strata, "n_validation", n_validation, F.expr("_held div 2"), F.expr("_held % 2"))
+        n_held = F.col("n_train") + F.col("n_validation")
+    else:
+        strata = strata.withColumn("n_train", F.expr("(8 * n + 5) div 10"))
+        n_held = F.expr("n_train + (n - n_train + 1) div 2")
+    strata = strata.withColumn("n_held", F.when(F.col("all_train"), F.col("n")).otherwise(n_held))
+    strata = strata.withColumn("n_train", F.when(F.col("all_train"), F.col("n")).otherwise(F.col("n_train")))
+    return strata.select("stratum", "n", "all_train", "n_train", "n_held")
+
+
+def _parts(rows: DataFrame, exact_totals: bool) -> DataFrame:
+    """Rows before each hash part of a stratum, and the sizes the stratum is cut into."""
+    counts = rows.groupBy("stratum", "part").agg(F.count(F.lit(1)).alias("n_part"))
+    strata = _sizes(counts.groupBy("stratum").agg(F.sum("n_part").alias("n")), exact_totals)
     earlier = (
         Window.partitionBy("stratum").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -59,9 +88,12 @@ def _label(train: Column, validation: Column) -> Column:
     return F.when(train, "train").when(validation, "validation").otherwise("test")
 
 
-def assign_splits(df: DataFrame, seed: int = 42) -> DataFrame:
+def assign_splits(df: DataFrame, seed: int = 42, exact_totals: bool = False) -> DataFrame:
     """Fill missing splits 80/10/10 per stratum (source and script type); keep the others.
 
+    With ``exact_totals`` the shares hold within one row over all strata that are neither rare nor too few,
+    and within one row per stratum in each.
+
     Rows of a stratum are ranked by ``md5(seed|sentence_id)``.  No stratum is ever
     sorted as a whole: rows are counted per leading hash digits, only the parts
     that hold one of the two cut ranks are sorted, and the row found there is the
@@ -78,7 +110,7 @@ def assign_splits(df: DataFrame, seed: int = 42) -> DataFrame:
     keyed = computed(df.withColumn("stratum", stratum_key()), "key", F.when(missing, key))
     open_rows = keyed.filter(missing).withColumn("part", F.substring("key.h", 1, HASH_DIGITS))
     cut_parts = (
-        _parts(open_rows.select("stratum", "part"))
+        _parts(open_rows.select("stratum", "part"), exact_totals)
         .filter(_in_part("n_train") | _in_part("n_held"))
         .select("stratum", "part", "before", "n_train", "n_held")
     )
@@ -97,3 +129,11 @@ def assign_splits(df: DataFrame, seed: int = 42) -> DataFrame:
     split = F.when(missing, label).otherwise(F.col("split"))
     labelled = keyed.join(staged(cuts, "cuts"), "stratum", "left")
     return labelled.withColumn("split", split).select(*columns)
+
+
+def split_totals(df: DataFrame) -> DataFrame:
+    """Rows per split, and how far the count is from 80, 10 or 10 percent of all, in rows."""
+    n = F.count(F.lit(1))
+    counts = df.groupBy("split").agg(n.alias("n"))
+    share = F.when(F.col("split") == "train", 0.8).otherwise(0.1)
+    return counts.withColumn("off", F.col("n") - share * F.sum("n").over(Window.partitionBy()))

@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .. import functions as X
 from ..operators import checks, cleaning, reports, sinks, splits
 from ..operators.ids import dense_ids, unify
-from ..schema import LOAD_ORDER
-from ..session import fresh_path, spread, staged
+from ..schema import LOAD_ORDER, SCRIPT_TYPES
+from ..session import fresh_path, staged
 from ..sources import (
     SourceFile,
     empty_source,
     file_kinds,
+    inspect_id_only,
     lines_to_sentences,
+    load_report,
     missing_from,
     read_array_csv,
     read_conll,
@@ -29,6 +31,8 @@ from ..sources import (
 from . import corpus as C
 from .dataset import prepare
 
+EXPECTED = ("en", "de", "es", "fr", "it", "pt")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -71,8 +75,7 @@ def strip_urls(spark, d):
 
 @query
 def strip_urls_html(spark, d):
-    pages = spread(C.table(spark, d, "pages"), "page_id")
-    return pages.select(
+    return C.table(spark, d, "pages").select(
         "page_id",
         X.strip_urls(F.col("url")).alias("url"),
         X.strip_urls(F.col("html")).alias("html"),
@@ -87,8 +90,7 @@ def strip_mentions(spark, d):
 
 @query
 def collapse_ws(spark, d):
-    documents = spread(C.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    return documents.select("doc_id", X.collapse_ws(F.col("text")).alias("text"))
+    return C.table(spark, d, "documents").select("doc_id", X.collapse_ws(F.col("text")).alias("text"))
 
 
 @query
@@ -99,14 +101,12 @@ def clean_text(spark, d):
 
 @query
 def clean_text_html(spark, d):
-    pages = spread(C.table(spark, d, "pages").select("page_id", "html"), "page_id")
-    return pages.select("page_id", X.clean_text(F.col("html")).alias("html"))
+    return C.table(spark, d, "pages").select("page_id", X.clean_text(F.col("html")).alias("html"))
 
 
 @query
 def retokenize(spark, d):
-    documents = spread(C.table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    tokens = documents.select("doc_id", X.tokens_of(F.col("text")).alias("tokens"))
+    tokens = C.table(spark, d, "documents").select("doc_id", X.tokens_of(F.col("text")).alias("tokens"))
     return tokens.select(
         "doc_id", joined("tokens", "|"), F.size("tokens").cast("bigint").alias("token_count")
     )
@@ -151,8 +151,8 @@ def script_counts(spark, d):
         "c.devanagari",
         "c.latin",
         "c.total_alpha",
-        X.round1(F.col("c.deva_pct")).alias("deva_pct"),
-        X.round1(F.col("c.latin_pct")).alias("latin_pct"),
+        X.round1_exact(F.col("c.deva_pct")).alias("deva_pct"),
+        X.round1_exact(F.col("c.latin_pct")).alias("latin_pct"),
     )
 
 
@@ -212,6 +212,24 @@ def cleaning_report(spark, d):
     return cleaning.cleaning_report(C.document_lines(spark, d))
 
 
+@query
+def aligned_tags(spark, d):
+    """The cleaned corpus with tags that follow their tokens."""
+    rows = cleaning.apply_cleaning(C.raw_corpus(spark, d), align_tags=True)
+    return rows.select("sentence_id", "text", joined("tokens", "|"), joined("lid_tags"))
+
+
+@query
+def misaligned_by_source(spark, d):
+    """Rows out of step with their tags after cleaning, with tags as read and with tags that follow."""
+    rows = C.loaded_lines(spark, d)
+    frames = []
+    for mode, align in (("as_read", False), ("aligned", True)):
+        clean = cleaning.retokenised(cleaning.cleaned(rows, align))
+        frames.append(cleaning.tag_alignment(clean).select(F.lit(mode).alias("mode"), "source", "n", "n_misaligned"))
+    return frames[0].unionByName(frames[1])
+
+
 @query
 def dropped_by_source(spark, d):
     return cleaning.dropped_by_source(C.document_lines(spark, d), kept_rows(spark, d))
@@ -231,6 +249,30 @@ def length_stats(spark, d):
     )
 
 
+@query
+def length_sketch(spark, d):
+    """Whether medians read from merged sketches are as near to the exact ones as stated, per source and split, per source, and overall."""
+    rows = kept_rows(spark, d).select("source", F.coalesce("split", F.lit("")).alias("split"), "tokens")
+    sketches = staged(reports.length_sketches(rows, "source", "split"), "sketches")
+    exact = staged(rows.groupBy("source", "split", F.size("tokens").alias("length")).agg(F.count(F.lit(1)).alias("c")), "lengths")
+    # a cell counts for itself, for its source and for the whole
+    total, one, cell = F.lit(reports.TOTAL), F.col("source"), F.col("split")
+    pairs = [F.struct(a.alias("source"), b.alias("split")) for a, b in ((one, cell), (one, total), (total, total))]
+    sketches, exact = (df.withColumn("of", F.explode(F.array(*pairs))).drop("source", "split") for df in (sketches, exact))
+    both = exact.join(reports.sketched_medians(sketches, "of"), "of")
+    below = F.sum(F.when(F.col("length") < F.col("median_length"), F.col("c")).otherwise(0))
+    upto = F.sum(F.when(F.col("length") <= F.col("median_length"), F.col("c")).otherwise(0))
+    found = both.groupBy("of", "n").agg(below.alias("below"), upto.alias("upto"))
+    slack = reports.SKETCH_ERROR * F.col("n") + 1
+    near = (F.col("below") <= F.col("n") / 2 + slack) & (F.col("upto") >= F.col("n") / 2 - slack)
+    return found.select("of.source", "of.split", "n", near.alias("near"))
+
+
+@query
+def ids_unique(spark, d):
+    return reports.ids_unique(C.raw_corpus(spark, d))
+
+
 @query
 def counts_by_source(spark, d):
     return reports.ordered_counts(C.document_lines(spark, d), "source")
@@ -324,7 +366,8 @@ def report_lines(spark, d):
 @query
 def conll_sentences(spark, d):
     """Token lines to sentences, numbered in file and line order."""
-    rows = dense_ids(lines_to_sentences(C.token_lines(spark, d)), ["rank", "file", "block"], ["pos"])
+    sentences = lines_to_sentences(C.token_lines(spark, d), in_order=True)
+    rows = dense_ids(sentences, ["rank", "file", "block"], ["pos"])
     return rows.select("sentence_id", "source", "text", joined("tokens", "|"), joined("lid_tags"))
 
 
@@ -381,6 +424,35 @@ def array_csv_split_files(spark, d):
     return _csv_round_trip(spark, d, records=500)
 
 
+@query
+def manifest_loads(spark, d):
+    """What each entry of a manifest gave: files, a folder, a pattern, a missing CSV, and missing CoNLL files."""
+    path = fresh_path(spark, "manifest")
+    C.write_conll(spark, d, f"{path}/conll")
+    C.write_array_csv(spark, d, f"{path}/csv")
+    manifest = [
+        SourceFile("tagged", "train", f"{path}/conll/part=train"),
+        SourceFile("tagged", "other", f"{path}/conll/part=[vn]*"),
+        SourceFile("tagged", "gone", f"{path}/conll/part=gone", required=False),
+        SourceFile("printed", "all", f"{path}/csv", "array_csv"),
+        SourceFile("printed", "test", f"{path}/csv/part=test", "array_csv"),
+        SourceFile("printed", "gone", f"{path}/csv/gone.csv", "array_csv"),
+    ]
+    loaded = read_conll(spark, manifest).unionByName(read_array_csv(spark, manifest))
+    needed = SourceFile("tagged", "needed", f"{path}/conll/needed.txt")
+    return load_report(spark, [*manifest, needed], loaded).select("rank", "source", "split", "kind", "required", "present", "n", "status")
+
+
+@query
+def task_folders(spark, d):
+    """Verdicts on real folders: one per language, an empty one and a missing one."""
+    root = fresh_path(spark, "tasks")
+    C.write_task_folders(spark, d, root)
+    tasks = [f"task={name}" for name in (*EXPECTED, "void", "gone")]
+    verdicts, _, _ = inspect_id_only(spark, root, tasks)
+    return verdicts.select("task", "n_files", "n_id_files", "n_text_files", "status")
+
+
 def _task_files(spark, d):
     lines = C.task_files(spark, d)
     files = lines.select("task", "file").distinct()
@@ -435,6 +507,21 @@ def assign_splits(spark, d):
     return split_corpus(spark, d).select("sentence_id", "source", "script_type", "split")
 
 
+@query
+def assign_splits_exact(spark, d):
+    """Splits whose sizes are 80/10/10 over all rows without one."""
+    rows = prepare(C.loaded_lines(spark, d), exact_totals=True)
+    return rows.select("sentence_id", "source", "script_type", "split")
+
+
+@query
+def split_totals(spark, d):
+    """Sizes of exact splits of the whole corpus, none of it split before."""
+    unsplit = C.loaded_lines(spark, d).withColumn("split", F.lit(None).cast("string"))
+    totals = splits.split_totals(prepare(unsplit, exact_totals=True))
+    return totals.select("split", "n", (F.abs("off") <= 1).alias("exact"))
+
+
 @query
 def split_gate(spark, d):
     return checks.split_balance(split_corpus(spark, d))
@@ -443,7 +530,6 @@ def split_gate(spark, d):
 # Gates
 
 
-EXPECTED = ("en", "de", "es", "fr", "it", "pt")
 
 
 @query
@@ -505,3 +591,23 @@ def outputs_check(spark, d):
     return sinks.outputs_check(spark, folder).select("name", "status")
 
 
+
+
+def _report_files(spark, d) -> str:
+    folder = fresh_path(spark, "outputs")
+    sinks.write_outputs(split_corpus(spark, d), folder)
+    return folder
+
+
+@query
+def summary_file(spark, d):
+    """The summary as its CSV file has it."""
+    schema = "source string, split string, sentence_count bigint, avg_length double"
+    return spark.read.schema(schema).option("header", True).csv(f"{_report_files(spark, d)}/summary.csv")
+
+
+@query
+def script_pivot_file(spark, d):
+    """The table of scripts by source as its CSV file has it."""
+    schema = ", ".join(["source string", *(f"{t} bigint" for t in SCRIPT_TYPES)])
+    return spark.read.schema(schema).option("header", True).csv(f"{_report_files(spark, d)}/script_pivot.csv")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import tokens_of
 from ..operators.ids import unify
 from ..schema import LOADED
-from ..session import spread
+from ..session import make_folder
 
 DOCS_PER_BLOCK = 4096
 
@@ -25,7 +25,7 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line of ``documents``, some changed so that every rule has work:
     letterless, Devanagari, mixed script, with a mention, with a URL."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    lines = spread(documents, "doc_id").select(
+    lines = documents.select(
         "doc_id",
         F.col("lang").alias("source"),
         F.expr(
@@ -91,8 +91,8 @@ def raw_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as token lines with an empty line after each sentence.
 
-    The first five lines of every 64th document form a block of their own, so that
-    sentences run across blocks.
+    A document is a block, or two: the first five lines of every 64th form one of their own, so that
+    sentences run across blocks. Lines of a block follow one another in one task.
     """
     rows = document_lines(spark, sf_dir)
     tokens = tokens_of(F.col("text"))
@@ -109,8 +109,8 @@ def token_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source",
         F.lit("train").alias("split"),
         F.col("source").alias("file"),
-        (F.floor(doc / 64) * 2 + F.when(first, 0).otherwise(1)).alias("block"),
-        (F.shiftleft(doc % 64, 48) + F.shiftleft(line, 24) + F.col("i")).alias("pos"),
+        (doc * 2 + F.when(first, 0).otherwise(1)).alias("block"),
+        (F.shiftleft(line, 32) + F.col("i")).alias("pos"),
         "value",
     )
 
@@ -210,3 +210,17 @@ def task_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("pos"),
         value.alias("value"),
     )
+
+
+def write_task_folders(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The files of ``task_files`` as folders ``root/task=<language>/source=<source>`` with a file each.
+
+    French has a hidden folder too, with a file of ids and the empty mark of a finished job; the task ``void`` is
+    an empty folder.
+    """
+    lines = task_files(spark, sf_dir).withColumn("source", F.substring_index("file", "/", -1))
+    rows = lines.select("task", "source", "value").repartition("task", "source")
+    rows.write.partitionBy("task", "source").text(root)
+    ids = table(spark, sf_dir, "documents").filter("lang = 'fr'").select(F.col("doc_id").cast("string").alias("value"))
+    ids.repartition(1).write.text(f"{root}/task=fr/_ids")
+    make_folder(spark, f"{root}/task=void")

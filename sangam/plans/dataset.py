@@ -20,21 +20,23 @@ def prepare(
     resplit: bool = True,
     min_tokens: int = MIN_TOKENS,
     max_tokens: int = MAX_TOKENS,
+    align_tags: bool = False,
+    exact_totals: bool = False,
 ) -> DataFrame:
     """Final dataset of loaded frames (``LOADED`` schema, earlier frames first).
 
     Duplicates are judged by load order directly, so rows are numbered only once,
     after cleaning.  The surviving rows are written to the shared folder before the
     numbering, which reads them twice; they are written numbered only if
-    some lack a split, because the split assignment reads them three times.  Calling this
-    runs jobs.
+    some lack a split, because the split assignment reads them three times.  ``align_tags`` lets
+    tags follow their tokens, ``exact_totals`` makes split sizes exact over all rows.  Calling this runs jobs.
     """
-    kept = clean_rows(in_load_order(*frames), LOAD_ORDER, min_tokens, max_tokens)
+    kept = clean_rows(in_load_order(*frames), LOAD_ORDER, min_tokens, max_tokens, align_tags)
     kept = staged(kept, "kept")
     numbered = dense_ids(kept, ["rank", "file", "block"], ["pos"])
     final = with_script(retokenised(numbered)).select(*FINAL.fieldNames())
     if resplit and not kept.filter(~has_split(F.col("split"))).isEmpty():
-        final = assign_splits(staged(final, "numbered"), seed)
+        final = assign_splits(staged(final, "numbered"), seed, exact_totals)
     return final
 
 

@@ -51,6 +51,11 @@ def pct(part: str, total: str) -> str:
     return f"CASE WHEN {total} > 0 THEN {part} / {total} * 100 ELSE 0.0::DOUBLE END"
 
 
+def round1_exact(value: str) -> str:
+    """Printing with one decimal rounds the exact value of a double."""
+    return f"printf('%.1f', {value})::DOUBLE"
+
+
 def round1(value: str) -> str:
     return f"round_even(({value}) * 10, 0) / 10"
 
@@ -102,6 +107,38 @@ final AS (
   FROM kept LEFT JOIN assigned USING (sentence_id))"""
 
 
+#: The same with sizes over all strata, apportioned by largest remainders; ``rows`` are those without a split.
+EXACT = """,
+stratum_rows AS (
+  SELECT sentence_id, source || '__' || script_type AS stratum,
+    row_number() OVER (PARTITION BY source || '__' || script_type ORDER BY md5('42|' || sentence_id), sentence_id) AS r
+  FROM {rows}),
+stratum AS (SELECT stratum, count(*) AS n FROM stratum_rows GROUP BY stratum),
+usable_stratum AS (SELECT *, sum(n) OVER () AS whole FROM stratum WHERE n >= 3),
+train_share AS (
+  SELECT *, 8 * n // 10 + (row_number() OVER (ORDER BY 8 * n % 10 DESC, stratum)
+    <= (8 * whole + 5) // 10 - sum(8 * n // 10) OVER ())::BIGINT AS n_train FROM usable_stratum),
+held_share AS (
+  SELECT *, (n - n_train) // 2 + (row_number() OVER (ORDER BY (n - n_train) % 2 DESC, stratum)
+    <= (whole - (8 * whole + 5) // 10 + 1) // 2 - sum((n - n_train) // 2) OVER ())::BIGINT AS n_validation FROM train_share),
+exact AS (
+  SELECT sentence_id, CASE WHEN n_train IS NULL OR whole < 10 OR r <= n_train THEN 'train'
+    WHEN r <= n_train + n_validation THEN 'validation' ELSE 'test' END AS exact_split
+  FROM stratum_rows LEFT JOIN held_share USING (stratum))"""
+
+#: Tokens after cleaning, with the tag of the token that each came from: cleaning one by one.
+ALIGNED = f"""{CLEAN},
+token AS (
+  SELECT sentence_id, unnest({tokens('before')}) AS word, unnest(range(len({tokens('before')}))) AS place FROM kept),
+piece AS (
+  SELECT sentence_id, place, word, unnest({tokens(cleaned('word'))}) AS item,
+    unnest(range(len({tokens(cleaned('word'))}))) AS part FROM token),
+aligned AS (
+  SELECT sentence_id, string_agg(item, '|' ORDER BY place, part) AS tokens,
+    string_agg(CASE WHEN length(word) % 2 = 0 THEN 'lang1' ELSE 'lang2' END, ' ' ORDER BY place, part) AS lid_tags
+  FROM piece GROUP BY sentence_id)"""
+
+
 def over(cte: str, body: str) -> str:
     return f"WITH {cte.strip()}\n{body}"
 
@@ -191,6 +228,27 @@ verdicts AS (
   FROM kinds GROUP BY task
   UNION ALL SELECT 'absent', 0, 0, 0, NULL, 'missing')"""
 
+TASK_FOLDERS = """SELECT 'task=' || name AS task, coalesce(n_files, 0) + hidden * 2 AS n_files,
+  coalesce(n_id_files, 0) + hidden AS n_id_files, coalesce(n_text_files, 0) + hidden AS n_text_files,
+  CASE WHEN name = 'void' THEN 'empty' WHEN n_files IS NULL AND hidden = 0 THEN 'missing'
+    WHEN n_text_files > 0 OR hidden = 1 THEN 'has_text' ELSE 'id_only' END AS status
+FROM (SELECT unnest(['en', 'de', 'es', 'fr', 'it', 'pt', 'void', 'gone']) AS name)
+LEFT JOIN verdicts ON task = name, LATERAL (SELECT (name = 'fr')::BIGINT AS hidden)"""
+
+MANIFEST = f"""
+SELECT rank, source, split, kind, required, present, n,
+  CASE WHEN present AND n > 0 THEN 'loaded' WHEN present THEN 'empty' WHEN required THEN 'failed' ELSE 'missing' END AS status
+FROM (
+  SELECT 0 AS rank, 'tagged' AS source, 'train' AS split, 'conll' AS kind, true AS required, true AS present,
+    (SELECT count(*) FROM sentences WHERE split = 'train') AS n
+  UNION ALL SELECT 1, 'tagged', 'other', 'conll', true, true,
+    (SELECT count(*) FROM sentences WHERE coalesce(split, '') IN ('', 'validation'))
+  UNION ALL SELECT 2, 'tagged', 'gone', 'conll', false, false, 0
+  UNION ALL SELECT 3, 'printed', 'all', 'array_csv', false, true, (SELECT count(*) FROM raw)
+  UNION ALL SELECT 4, 'printed', 'test', 'array_csv', false, true, (SELECT count(*) FROM raw WHERE split = 'test')
+  UNION ALL SELECT 5, 'printed', 'gone', 'array_csv', false, false, 0
+  UNION ALL SELECT 6, 'tagged', 'needed', 'conll', true, false, 0)"""
+
 SHARES = """shares AS (
   SELECT count(*) FILTER (split = 'train') / count(*) * 100 AS train,
     count(*) FILTER (split = 'validation') / count(*) * 100 AS validation,
@@ -239,8 +297,8 @@ FROM cells""",
             RAW,
             f"""SELECT doc_id, line_no, {count_of('text', DEVA)} AS devanagari,
   {count_of('text', LATIN)} AS latin, {total} AS total_alpha,
-  {round1(pct(count_of('text', DEVA), total))} AS deva_pct,
-  {round1(pct(count_of('text', LATIN), total))} AS latin_pct FROM raw""",
+  {round1_exact(pct(count_of('text', DEVA), total))} AS deva_pct,
+  {round1_exact(pct(count_of('text', LATIN), total))} AS latin_pct FROM raw""",
         ),
         "script_label": over(RAW, f"SELECT doc_id, line_no, {label('text')} AS script_type FROM raw"),
         "previews": over(
@@ -268,6 +326,13 @@ FROM (SELECT 0 AS frame, doc_id AS a, line_no AS b, source, split, text FROM raw
   {text_of(tags(tokens('before')))} AS lid_tags FROM kept""",
         ),
         "cleaning_report": over(CLEAN, REPORT),
+        "aligned_tags": over(ALIGNED, "SELECT sentence_id, text, tokens, lid_tags FROM kept JOIN aligned USING (sentence_id)"),
+        "misaligned_by_source": over(
+            CLEAN,
+            f"""SELECT mode, source, count(*) AS n,
+  count(*) FILTER (mode = 'as_read' AND len({tokens('before')}) <> len({tokens('text')})) AS n_misaligned
+FROM clean, (VALUES ('as_read'), ('aligned')) v(mode) GROUP BY mode, source""",
+        ),
         "dropped_by_source": over(
             CLEAN,
             """SELECT source, raw_count, coalesce(clean_count, 0) AS clean_count,
@@ -281,6 +346,13 @@ LEFT JOIN (SELECT source, count(*) AS clean_count FROM kept GROUP BY source) USI
   sum(n_tokens)::DOUBLE / count(*) AS mean_length,
   median(n_tokens)::DOUBLE AS median_length FROM kept""",
         ),
+        "length_sketch": over(
+            CLEAN,
+            """SELECT source, coalesce(split, '') AS split, count(*) AS n, true AS near FROM kept GROUP BY source, coalesce(split, '')
+UNION ALL SELECT source, 'TOTAL', count(*), true FROM kept GROUP BY source
+UNION ALL SELECT 'TOTAL', 'TOTAL', count(*), true FROM kept""",
+        ),
+        "ids_unique": over(RAW, "SELECT count(*) AS n_rows, true AS ids_unique FROM raw"),
         "counts_by_source": over(RAW, "SELECT source, count(*) AS n FROM raw GROUP BY source"),
         "counts_by_split": distribution(RAW, "raw", "split"),
         "script_distribution": distribution(CLEAN, "kept", "script_type"),
@@ -327,8 +399,8 @@ FROM raw GROUP BY ROLLUP (source, split)""",
             CLEAN,
             rf"""SELECT script_type, rn, sentence_id,
   substring(regexp_replace(text, '[^\x00-\x7f]', '?', 'g'), 1, 70) AS preview,
-  {round1(pct(count_of('text', DEVA), total))} AS deva_pct,
-  {round1(pct(count_of('text', LATIN), total))} AS latin_pct
+  {round1_exact(pct(count_of('text', DEVA), total))} AS deva_pct,
+  {round1_exact(pct(count_of('text', LATIN), total))} AS latin_pct
 FROM (SELECT *, row_number() OVER (PARTITION BY script_type ORDER BY sentence_id) AS rn FROM kept)
 WHERE rn <= 3""",
         ),
@@ -356,6 +428,8 @@ FROM (SELECT script_type, count(*) AS n, count(*) / sum(count(*)) OVER () * 100
         ),
         "array_csv_files": CSV_FILES,
         "array_csv_split_files": CSV_FILES,
+        "manifest_loads": over(RAW + "," + SENTENCES.replace("{order}", "doc_id, line_no"), MANIFEST),
+        "task_folders": over(TASKS, TASK_FOLDERS),
         "id_only_files": over(TASKS, "SELECT task, file, name, id_only FROM kinds"),
         "task_verdicts": over(TASKS, "SELECT * FROM verdicts"),
         "task_sample_ids": over(
@@ -380,6 +454,14 @@ EXCEPT SELECT source FROM documents""",
 FROM kept WHERE coalesce(split, '') = '' GROUP BY ALL""",
         ),
         "assign_splits": over(FINAL, "SELECT sentence_id, source, script_type, split FROM final"),
+        "assign_splits_exact": over(
+            CLEAN + EXACT.replace("{rows}", "(SELECT * FROM kept WHERE coalesce(split, '') = '')"),
+            "SELECT sentence_id, source, script_type, coalesce(exact_split, split) AS split FROM kept LEFT JOIN exact USING (sentence_id)",
+        ),
+        "split_totals": over(
+            CLEAN + EXACT.replace("{rows}", "kept"),
+            "SELECT exact_split AS split, count(*) AS n, true AS exact FROM exact GROUP BY exact_split",
+        ),
         "split_gate": over(
             f"{FINAL},\n{SHARES}",
             """SELECT "check", observed, threshold,
@@ -415,6 +497,14 @@ UNION ALL SELECT 'missing_script_types', n, 0, CASE WHEN n = 0 THEN 'passed' ELS
         "final_summary": summary(FINAL, "final"),
         "parquet_roundtrip": FINAL_VIEW,
         "csv_roundtrip": FINAL_VIEW,
+        "summary_file": summary(FINAL, "final"),
+        "script_pivot_file": over(
+            CLEAN,
+            """SELECT source, count(*) FILTER (script_type = 'roman_only') AS roman_only,
+  count(*) FILTER (script_type = 'mixed_script') AS mixed_script,
+  count(*) FILTER (script_type = 'devanagari_only') AS devanagari_only,
+  count(*) FILTER (script_type = 'unknown') AS unknown FROM kept GROUP BY source""",
+        ),
         "outputs_check": """SELECT name, CASE WHEN n > 0 THEN 'ok' ELSE 'missing_or_empty' END AS status
 FROM (VALUES ('dataset.parquet'), ('dataset.csv'), ('summary.csv'), ('script_pivot.csv')) v(name),
   (SELECT count(*) AS n FROM documents)""",

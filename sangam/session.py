@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
 import re
 import tempfile
 import uuid
@@ -122,29 +124,55 @@ def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*others, F.explode(F.array(value)).alias(name))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for an input that comes in fewer splits than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+def expanded(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
+    """Files and folders that a path or pattern stands for: URI as ``file_uri`` has it, path to read it by, is a folder.
+
+    The path to read has the characters escaped that would make a pattern of it.
+    """
+    fs, hadoop_path = _hadoop(spark, path)
+    found = []
+    for status in fs.globStatus(hadoop_path) or []:
+        plain = status.getPath()
+        literal = re.sub(r"([\[\]{}*?\\])", r"\\\1", plain.toString())
+        found.append((_one_slash(plain.toUri().toString()), literal, status.isDirectory()))
+    return found
+
+
+def _one_slash(uri: str) -> str:
+    return uri.replace(":///", ":/", 1)
+
+
+def file_uri() -> Column:
+    """URI of the file that a row was read from, in one form: no slashes for an empty authority."""
+    return F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+    return bool(expanded(spark, path))
 
 
-def file_count(spark: SparkSession, folder: str) -> int:
-    """Number of files at any depth, hidden and empty ones too; one call to the file system."""
-    fs, hadoop_path = _hadoop(spark, folder)
-    return fs.getContentSummary(hadoop_path).getFileCount()
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder and those above it; one that exists stays as it is."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it.
+
+    Executors elsewhere need it installed, or sent with ``addPyFile``.
+    """
+    root = str(pathlib.Path(__file__).resolve().parents[1])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
 
 
-def files_below(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of all files at any depth, hidden and empty ones too, a call or two for each."""
+def files_below(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """URIs and lengths of all files at any depth, hidden and empty ones too."""
     fs, hadoop_path = _hadoop(spark, folder)
     found, files = [], fs.listFiles(hadoop_path, True)
     while files.hasNext():
-        found.append(files.next().getPath().toString())
+        status = files.next()
+        found.append((_one_slash(status.getPath().toUri().toString()), status.getLen()))
     return found

@@ -4,9 +4,10 @@ from .id_files import file_kinds, inspect_id_only, sample_ids, task_verdicts
 from .manifest import (
     SourceFile,
     empty_source,
+    load_report,
+    locate,
     manifest_frame,
     missing_files,
     missing_from,
-    present_files,
     split_files,
 )

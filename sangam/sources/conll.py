@@ -2,52 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import is_blank, strip_ws, text_of
-from .lines import group_lines, read_lines
-from .manifest import SourceFile, empty_source, present_files
+from ..schema import LOADED
+from ..session import staged
+from .lines import read_lines, runs_of, whole_runs
+from .manifest import SourceFile, empty_source, entry_of, locate
 
+ITEMS = ["word", "tag"]
 
-def _pairs(lines: Column) -> Column:
-    """Word and tag of token lines, without those that have no word."""
 
-    def pair(line: Column) -> Column:
-        after_word = F.substr(line, F.instr(line, "\t") + 1)
-        return F.struct(
-            strip_ws(F.substring_index(line, "\t", 1)).alias("word"),
-            strip_ws(F.substring_index(after_word, "\t", 1)).alias("tag"),
-        )
+def _tokens(lines: DataFrame) -> DataFrame:
+    """Word and tag of every line, whether the line ends a sentence and whether it is one of a token."""
+    value = F.col("value")
+    after_word = F.substr(value, F.instr(value, "\t") + 1)
+    word = strip_ws(F.substring_index(value, "\t", 1))
+    return lines.withColumns(
+        {
+            "ends": is_blank(value),
+            "keep": value.contains("\t") & (word != ""),
+            "word": word,
+            "tag": strip_ws(F.substring_index(after_word, "\t", 1)),
+        }
+    )
+
 
-    return F.filter(F.transform(lines, pair), lambda p: p["word"] != "")
+def _sentences(runs: DataFrame) -> DataFrame:
+    tokens = runs.withColumns({"tokens": F.col("word"), "lid_tags": F.col("tag"), "text": text_of(F.col("word"))})
+    return tokens.select(*LOADED.fieldNames())
 
 
-def lines_to_sentences(lines: DataFrame, stage: bool = True) -> DataFrame:
+def lines_to_sentences(lines: DataFrame, stage: bool = True, in_order: bool = False) -> DataFrame:
     """Sentences of token lines given as rank, source, split, file, block, pos, value.
 
     A line without a tab is skipped and ends nothing; so is one with an empty
     word.  Fields after the second are ignored.
+
+    Lines of a block are brought together and sorted first, unless ``in_order`` says that they follow one
+    another in one task, as a reader of files gives them: then lines are not shuffled, only what crosses a block's ends.
+    The runs found are read more than once, here and by whoever numbers them, so they are written to the shared
+    folder first; ``stage=False`` leaves the plan lazy.
     """
-    value = F.col("value")
-    sentences = group_lines(
-        lines, ends=is_blank(value), keep=value.contains("\t"), parse=_pairs, stage=stage
-    )
-    return sentences.select(
-        "rank",
-        "file",
-        "block",
-        "pos",
-        "source",
-        "split",
-        text_of(F.col("items.word")).alias("text"),
-        F.col("items.word").alias("tokens"),
-        F.col("items.tag").alias("lid_tags"),
-    )
+    if not in_order:
+        lines = lines.repartition("rank", "file", "block").sortWithinPartitions("rank", "file", "block", "pos")
+    carry = ["rank", "file", "source", "split"]
+    runs = runs_of(_tokens(lines), ["rank", "file", "block"], [*carry, "block"], ITEMS)
+    if stage:
+        runs = staged(runs, "runs")
+    return _sentences(whole_runs(runs, ["rank", "file"], carry, ITEMS))
 
 
 def read_conll(spark: SparkSession, manifest: list[SourceFile]) -> DataFrame:
-    """Sentences of the CoNLL entries of a manifest, in the ``LOADED`` schema."""
-    entries = [(r, e) for r, e in present_files(spark, manifest) if e.kind == "conll"]
-    if not entries:
+    """Sentences of the CoNLL entries of a manifest, in the ``LOADED`` schema.
+
+    All entries are read in one scan. Lines stay in the task that reads them; sentences that cross a file split are chained from
+    two rows a split. Runs a job when called.
+    """
+    found = locate(spark, manifest, "conll")
+    if found is None:
         return empty_source(spark)
-    return lines_to_sentences(read_lines(spark, entries))
+    runs = staged(runs_of(_tokens(read_lines(spark, found)), ["file", "block"], ["file", "block"], ITEMS), "runs")
+    entries = entry_of(runs.select("file").distinct(), found.roots)
+    return _sentences(whole_runs(runs, ["file"], ["file"], ITEMS).join(entries, "file"))

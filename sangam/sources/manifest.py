@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schema import LOADED, SPLITS
-from ..session import path_exists
+from ..session import expanded, path_exists
+
+
+#: What follows a folder in the path of a file that belongs to it: its name, or partition folders and its name.
+BELOW = "(/[^/]*=[^/]*)*/[^/]+$"
 
 
 @dataclass(frozen=True)
@@ -29,20 +33,67 @@ class SourceFile:
         return self.kind == "conll" if self.required is None else self.required
 
 
+@dataclass(frozen=True)
+class Located:
+    """What a manifest stands for: ``paths`` to read, which of them are folders, and a table of its entries' files and folders.
+
+    ``inner`` are files named by an entry that lie somewhere below a folder of another.
+    """
+
+    paths: list[str]
+    folders: list[str]
+    inner: list[str]
+    roots: DataFrame
+
+    def lists(self, file: Column) -> Column:
+        """Whether an entry lists a file that reading all paths to any depth comes upon; judged before it is opened."""
+        if not self.folders:
+            return F.lit(True)
+        folders = F.array(*map(F.lit, self.folders))
+        below = F.exists(folders, lambda folder: file.startswith(F.concat(folder, F.lit("/"))))
+        return ~below | F.regexp_replace(file, BELOW, "").isin(self.folders) | file.isin(self.inner)
+
+
 def split_files(source: str, pattern: str, kind: str = "conll", splits=SPLITS) -> list[SourceFile]:
     """Entries of a source with one file per split, e.g. ``data/{split}.txt``."""
     return [SourceFile(source, s, pattern.format(split=s), kind) for s in splits]
 
 
-def present_files(spark: SparkSession, manifest: list[SourceFile]) -> list[tuple[int, SourceFile]]:
-    """Entries that exist, each with its place in the manifest."""
-    found = []
+def locate(spark: SparkSession, manifest: list[SourceFile], kind: str) -> Located | None:
+    """Expand the entries of a kind once; None if none of them exists.
+
+    A reader scans all ``paths`` at once, whatever the number of entries, and learns from
+    ``entry_of`` which entry a file belongs to.
+    """
+    rows, read, folders = [], {}, set()
     for rank, entry in enumerate(manifest):
-        if path_exists(spark, entry.path):
-            found.append((rank, entry))
-        elif entry.must_exist:
+        if entry.kind != kind:
+            continue
+        found = expanded(spark, entry.path)
+        if not found and entry.must_exist:
             raise FileNotFoundError(entry.path)
-    return found
+        for root, path, folder in found:
+            rows.append((root, rank, entry.source, entry.split))
+            read[root] = path
+            if folder:
+                folders.add(root)
+    if not rows:
+        return None
+    inner = [root for root in read if root not in folders and any(root.startswith(f"{folder}/") for folder in folders)]
+    roots = spark.createDataFrame(rows, "root string, rank bigint, source string, split string")
+    return Located(list(read.values()), sorted(folders), inner, roots)
+
+
+def entry_of(files: DataFrame, roots: DataFrame) -> DataFrame:
+    """file, rank, source and split of each of ``files`` (file), once per entry that lists it.
+
+    An entry lists its file, or the files that lie in its folder or in partition folders (``key=value``) below it.
+    """
+    parts = F.split("file", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    below = F.expr("substring(file, length(root) + 1)")
+    listed = files.select("file", F.explode(above).alias("root")).join(roots, "root")
+    return listed.filter((below == "") | below.rlike("^" + BELOW)).drop("root")
 
 
 def empty_source(spark: SparkSession) -> DataFrame:
@@ -70,3 +121,18 @@ def missing_from(expected: DataFrame, present: DataFrame, on: str | list[str]) -
 
 def missing_files(spark: SparkSession, manifest: list[SourceFile]) -> DataFrame:
     return manifest_frame(spark, manifest).filter(~F.col("present")).drop("present")
+
+
+def load_report(spark: SparkSession, manifest: list[SourceFile], loaded: DataFrame) -> DataFrame:
+    """Manifest entries with the sentences of ``loaded`` that came from each, and a status.
+
+    A missing file is ``missing``, or ``failed`` if it must exist; one that is there but gave nothing is ``empty``.
+    """
+    counts = loaded.groupBy("rank").agg(F.count(F.lit(1)).alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    status = (
+        F.when(~F.col("present"), F.when(F.col("required"), "failed").otherwise("missing"))
+        .when(n == 0, "empty")
+        .otherwise("loaded")
+    )
+    return manifest_frame(spark, manifest).join(counts, "rank", "left").withColumn("status", status).withColumn("n", n)

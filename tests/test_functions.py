@@ -179,3 +179,15 @@ def test_previews(spark):
 def test_is_digits(spark):
     got = values(spark, ["123", "12a", "", "\N{SUPERSCRIPT TWO}", "\N{DEVANAGARI DIGIT ONE}"], S.is_digits)
     assert [g[0] for g in got] == [True, False, False, True, True]
+
+
+def test_percents_round_as_python_does(spark):
+    """All shares of up to 1,999 as percents, and values half-way between two decimals."""
+    pairs = spark.range(1, 2000).selectExpr("id AS b").selectExpr("b", "explode(sequence(0L, b)) AS a")
+    value = F.col("a") / F.col("b") * 100
+    rows = pairs.select(value.alias("x"), S.round1_exact(value).alias("r")).distinct()
+    wrong = [(x, r) for batch in rows.toArrow().to_batches() for x, r in zip(*(c.to_pylist() for c in batch.columns)) if round(x, 1) != r]
+    assert wrong == []
+    ties = [0.15, 0.25, 0.35, 6.25, 6.35, 0.05, 99.95, 33.25, 2.675, 0.0, 100.0, 0.65]
+    got = spark.createDataFrame([(t,) for t in ties], "x double").select("x", S.round1_exact(F.col("x")).alias("r")).collect()
+    assert [(r.x, r.r) for r in got] == [(t, round(t, 1)) for t in ties]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import sangam as S
 from conftest import plan_of
+from sangam.operators import cleaning, reports
 from sangam.schema import FINAL, SENTENCE
 
 SENT = "sentence_id bigint, source string, split string, text string, tokens array<string>, lid_tags array<string>"
@@ -144,6 +145,69 @@ def test_split_does_not_depend_on_partitions(spark):
     assert a != {tuple(r) for r in S.assign_splits(df, seed=7).collect()}
 
 
+def test_exact_totals(spark):
+    """Sizes over all strata are exact, each stratum's are within one row, rare strata go to train."""
+    sizes = [1, 2, 3, 4, 6, 7, 11, 13, 13, 13, 19, 101, 2, 27]
+    rows = []
+    for g, n in enumerate(sizes):
+        rows += [(len(rows) + i, f"s{g:02}", "roman_only", None) for i in range(n)]
+    got = S.assign_splits(spark.createDataFrame(rows, SPLIT_ROWS), exact_totals=True).collect()
+    big = {f"s{g:02}": n for g, n in enumerate(sizes) if n >= 3}
+    whole = sum(big.values())
+    counts = Counter((r.source, r.split) for r in got)
+    totals = Counter(r.split for r in got if r.source in big)
+    train = (8 * whole + 5) // 10
+    assert totals == {"train": train, "validation": (whole - train + 1) // 2, "test": (whole - train) // 2}
+    for source, n in big.items():
+        assert abs(counts[source, "train"] - 0.8 * n) < 1
+        held = n - counts[source, "train"]
+        assert abs(counts[source, "validation"] - held / 2) < 1
+    assert all(r.split == "train" for r in got if r.source not in big)
+    off = {r.split: r.off for r in S.split_totals(spark.createDataFrame([r for r in got if r.source in big])).collect()}
+    assert max(map(abs, off.values())) <= 1
+
+
+def test_few_rows_go_to_train_with_exact_totals_too(spark):
+    df = spark.createDataFrame([(i, f"s{i % 2}", "roman_only", None) for i in range(9)], SPLIT_ROWS)
+    assert {r.split for r in S.assign_splits(df, exact_totals=True).collect()} == {"train"}
+
+
+def test_aligned_tags(spark):
+    cases = [
+        (["@u", "one", "two", "three"], ["O", "a", "b", "c"], ["one/a", "two/b", "three/c"]),
+        (["New York", "https://x.y", "is", "big"], ["ne", "u", "a", "b"], ["New/ne", "York/ne", "is/a", "big/b"]),
+        (["a@b.com", "x", "y"], ["m", "n", "o"], ["a.com/m", "x/n", "y/o"]),
+        (["one", "two", "three"], ["a"], ["one/a", "two/None", "three/None"]),
+        (["one", "two", "@x", "three"], ["a", "b", "c", "d", "e"], ["one/a", "two/b", "three/d"]),
+        (["one", "two", "three"], ["a", "b", "c", "d"], ["one/a", "two/b", "three/c"]),
+        (["@x", "@y"], ["a", "b"], []),
+        ([], [], []),
+    ]
+    data = [(i, "s", "train", " ".join(t), t, g) for i, (t, g, _) in enumerate(cases)]
+    df = spark.createDataFrame(data, SENT)
+    got = cleaning.retokenised(cleaning.cleaned(df, align_tags=True)).orderBy("sentence_id").collect()
+    assert [[f"{t}/{g}" for t, g in zip(r.tokens, r.lid_tags, strict=True)] for r in got] == [w for _, _, w in cases]
+    assert S.tag_alignment(cleaning.retokenised(cleaning.cleaned(df))).first().n_misaligned == 5
+    assert S.tag_alignment(cleaning.retokenised(cleaning.cleaned(df, True))).first().n_misaligned == 0
+    kept = S.apply_cleaning(df, align_tags=True).orderBy("sentence_id").collect()
+    assert [len(r.tokens) == len(r.lid_tags) for r in kept] == [True] * 3 and kept[0].lid_tags == ["a", "b", "c"]
+
+
+def test_sketched_medians_are_as_near_as_stated(spark):
+    rows = spark.range(60_000).selectExpr(
+        "concat('s', id % 3) AS source", "cast(pow(id % 5000, 1.3) % 977 AS int) AS length", "id % 2 AS split"
+    )
+    df = rows.withColumn("tokens", F.array_repeat(F.lit("w"), F.col("length")))
+    sketches = S.length_sketches(df, "source", "split")
+    assert sketches.count() == 6
+    for by in ([], ["source"], ["source", "split"]):
+        for r in S.sketched_medians(sketches, *by).collect():
+            lengths = sorted(x.length for x in rows.filter(" and ".join([f"{c} = '{r[c]}'" for c in by]) or "true").collect())
+            below, upto = sum(x < r.median_length for x in lengths), sum(x <= r.median_length for x in lengths)
+            slack = reports.SKETCH_ERROR * len(lengths)
+            assert r.n == len(lengths) and below <= len(lengths) / 2 + slack and upto >= len(lengths) / 2 - slack
+
+
 def test_no_open_rows(spark):
     df = spark.createDataFrame([(i, "s", "roman_only", "test") for i in range(5)], SPLIT_ROWS)
     assert {r.split for r in S.assign_splits(df).collect()} == {"test"}

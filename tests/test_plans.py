@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 import sangam as S
 from sangam import session
 from conftest import SF_DIR, plan_of
-from sangam.operators import cleaning
+from sangam.operators import cleaning, ids
 from sangam.plans import catalogue, corpus as C
 from sangam.schema import LOAD_ORDER
+from sangam.sources.array_csv import _records
+from sangam.sources.lines import read_lines
 
 
 def test_no_python_and_no_cross_joins(spark):
@@ -33,10 +35,35 @@ def test_dedup_filters_and_limits_ahead_of_the_shuffle(spark):
 def test_one_large_shuffle_for_sentences(spark):
     plan = plan_of(S.lines_to_sentences(C.token_lines(spark, SF_DIR), stage=False))
     whole = plan[: plan.index("FileScan")]  # the branch of runs inside one block
-    assert len(re.findall(r"Exchange hashpartitioning\(file#\d+, block", whole)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*file#\d+, block", whole)) == 1
     assert "lag(" not in whole
 
 
+def test_lines_of_files_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("a\tHI\n\nb\tEN\n")
+    lines = read_lines(spark, S.locate(spark, [S.SourceFile("s", "train", str(tmp_path / "a.txt"))], "conll"))
+    ready = lines.selectExpr("0L AS rank", "'s' AS source", "'train' AS split", "*")
+    whole = plan_of(S.lines_to_sentences(ready, stage=False, in_order=True))
+    runs = whole[whole.index("MapInArrow") :]
+    assert "Exchange" not in whole[: whole.index("MapInArrow")] and "Exchange" not in runs[: runs.index("FileScan")]
+    assert "Exchange" not in plan_of(_records(lines.selectExpr("*", "false AS quoted", "true AS started", "0 AS words_at", "1 AS tags_at")))
+
+
+def test_plan_does_not_grow_with_the_manifest(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    for i in range(40):
+        (tmp_path / "f" / f"{i}.txt").write_text(f"w{i}\tHI\n")
+        (tmp_path / "f" / f"{i}.csv").write_text(f"words,lid\n['w{i}'],['x']\n")
+    size = {}
+    for n in (2, 40):
+        manifest = [S.SourceFile(f"s{i}", None, str(tmp_path / "f" / f"{i}.txt")) for i in range(n)]
+        csvs = [S.SourceFile(f"s{i}", None, str(tmp_path / "f" / f"{i}.csv"), "array_csv") for i in range(n)]
+        read = S.read_conll(spark, manifest), S.read_array_csv(spark, csvs)
+        assert all(r.source == r.text.replace("w", "s") for df in read for r in df.collect())
+        size[n] = [len(df._jdf.queryExecution().logical().toString().splitlines()) for df in read]
+    assert size[2] == size[40]
+
+
 def test_shared_shuffle_is_reused(spark):
     df = S.lines_to_sentences(C.token_lines(spark, SF_DIR), stage=False)
     df.collect()
@@ -64,10 +91,31 @@ def test_numbering_shuffles_rows_once(spark):
     plan = plan_of(S.renumber(spark.range(1000).withColumnRenamed("id", "sentence_id")))
     exchanges = re.findall(r"Exchange hashpartitioning\(_bucket", plan)
     assert len(exchanges) <= 3
-    # the only unpartitioned window runs over the bucket counts
-    single = [i for i, line in enumerate(plan.splitlines()) if "Exchange SinglePartition" in line]
-    assert len(single) == 1
-    assert "HashAggregate" in plan.splitlines()[single[0] + 1]
+    assert "Exchange SinglePartition" not in plan
+
+
+def test_numbering_has_no_window_over_everything(spark):
+    rows = spark.range(3000).selectExpr("id % 700 AS bucket", "id AS pos")
+    got = ids.dense_ids(rows, ["bucket"], ["pos"])
+    plan = plan_of(got)
+    assert "Exchange SinglePartition" not in plan
+    want = sorted((i % 700, i) for i in range(3000))
+    assert [(r.bucket, r.pos) for r in got.orderBy("sentence_id").collect()] == want
+
+
+def test_ids_of_a_numbered_table_are_not_shuffled(spark):
+    numbered = spark.range(0, 200_000, 1, 8).selectExpr("id AS sentence_id", "'x' AS text")
+    for checked in (S.ids_unique(numbered), S.id_null_checks(numbered)):
+        exchanges = [line for line in plan_of(checked).splitlines() if "Exchange hashpartitioning" in line]
+        assert exchanges and not any("sentence_id#" in line or "(id#" in line for line in exchanges) and checked.first().ids_unique
+    scattered = numbered.selectExpr("xxhash64(sentence_id) AS sentence_id", "text")
+    assert S.ids_unique(scattered).first().ids_unique and S.id_null_checks(scattered).first().n_ids == 200_000
+    for twice in (numbered, scattered):
+        assert not S.ids_unique(twice.union(twice)).first().ids_unique
+        assert not S.ids_unique(twice.union(twice.limit(1))).first().ids_unique
+        assert S.id_null_checks(twice.union(twice)).first().n_ids == 200_000
+    nulls = numbered.union(spark.sql("SELECT cast(null AS bigint), cast(null AS string)"))
+    assert tuple(S.id_null_checks(nulls).first()) == (200_001, 200_000, 1, False) and not S.ids_unique(nulls).first().ids_unique
 
 
 def test_partitioned_write_makes_few_files(spark, tmp_path):
