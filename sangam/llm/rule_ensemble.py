@@ -127,7 +127,8 @@ def held_out(doc_id: Column) -> Column:
 def fit(labelled: DataFrame, settings: Fit = Fit()) -> RuleModel:
     """Rules and weights from rows with the statistics and ``label`` (0 or 1).
 
-    With one label only, or no rows, there are no rules and the score is constant: 1, 0, or 0.5 without rows.
+    Without rows the score is 0.5. With one label only it is 1 or 0, and if the statistics part nothing, as with
+    equal texts, the share of the label 1.
     """
     order = F.xxhash64(F.lit(settings.seed), "doc_id")
     rows = Scratch(labelled.sparkSession, "rules").keep(labelled.orderBy(order, "doc_id").limit(settings.rows), "sample")
@@ -138,6 +139,8 @@ def fit(labelled: DataFrame, settings: Fit = Fit()) -> RuleModel:
     forest = RandomForestClassifier(numTrees=settings.trees, maxDepth=settings.depth, seed=settings.seed, featureSubsetStrategy="0.6", minInstancesPerNode=5)
     trees = forest.fit(rows)._java_obj.trees()
     rules = sorted({path for tree in trees for path in _paths(tree.rootNode())})
+    if not rules:
+        return RuleModel(math.log(counts[1.0] / counts[0.0]), ())
     held = [RuleModel(0.0, ((1.0, conditions),)) for conditions in rules]
 
     def indicator(model: RuleModel) -> Column:
@@ -155,19 +158,28 @@ def fit(labelled: DataFrame, settings: Fit = Fit()) -> RuleModel:
     return RuleModel(float(found.intercept), kept)
 
 
+def learn(found: DataFrame, labels: DataFrame, label: str = "quality", settings: Fit = Fit()) -> RuleModel:
+    """A model from rows of ``with_statistics`` and ``labels`` (doc_id and ``label``), without held-out rows.
+
+    Of rows with equal doc_id the one whose statistics come first is learnt from, whatever the order of the rows.
+    """
+    known = labels.filter(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other"))
+    known = known.filter("label = other").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("double").alias("label"))
+    learnt = found.join(known.filter(~held_out(F.col("doc_id"))), "doc_id")
+    learnt = learnt.groupBy("doc_id", "label").agg(F.min(F.struct(*STATISTICS)).alias("first")).select("doc_id", "label", "first.*")
+    return fit(learnt, settings)
+
+
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Fit = Fit(), threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs``; ``labels`` has doc_id and ``label``.
 
     Rows with held_out aren't learnt from, nor rows without doc_id or label or with a doc_id whose
     labels disagree. Null and empty texts have the score of statistics that are all 0. Repeated rows
-    each get a score; other columns don't matter; an empty table gives an empty result.
+    each get a score, and texts with equal statistics the same one; other columns don't matter; an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "classify")
     found = scratch.keep(with_statistics(docs), "statistics")
-    known = labels.filter(F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("label"), F.max(label).alias("other"))
-    known = known.filter("label = other").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("double").alias("label"))
-    learnt = found.dropDuplicates(["doc_id"]).join(known.filter(~held_out(F.col("doc_id"))), "doc_id")
-    model = fit(learnt, settings)
+    model = learn(found, labels, label, settings)
     out = found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), model.score().alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
