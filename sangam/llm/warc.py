@@ -245,14 +245,21 @@ def parse_record(whole: bytes) -> tuple:
 
 
 def members_of(content: bytes):
-    """(offset, length, bytes) of each member of a normalised archive; empty members belong to the one before."""
-    at, held = 0, None
+    """(offset, length, bytes) of each member of a normalised archive; empty members belong to the one before.
+
+    A member is fed in growing pieces, so what is read beyond its end, and copied, is no more than the member itself.
+    """
+    view, at, held = memoryview(content), 0, None
     while at < len(content):
-        unpacker = zlib.decompressobj(31)
-        raw = unpacker.decompress(memoryview(content)[at:])
-        if not unpacker.eof:
-            raise ValueError(f"the member at byte {at} is cut short")
-        end = len(content) - len(unpacker.unused_data)
+        unpacker, parts, end, step = zlib.decompressobj(31), [], at, 512
+        while not unpacker.eof:
+            if end >= len(content):
+                raise ValueError(f"the member at byte {at} is cut short")
+            piece = view[end : end + step]
+            parts.append(unpacker.decompress(piece))
+            end, step = end + len(piece), min(2 * step, 1 << 20)
+        end -= len(unpacker.unused_data)
+        raw = b"".join(parts)
         if raw or held is None:
             if held is not None:
                 yield held

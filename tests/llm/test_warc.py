@@ -2,6 +2,7 @@ import base64
 import gzip
 import hashlib
 import pathlib
+import time
 
 from sangam.llm import warc
 from sangam.llm.common import Scratch
@@ -59,3 +60,21 @@ def test_empty_table(spark):
     assert warc.read_archives(spark, archives(spark, [ROWS[0]])).count() == 1
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.warc_records(warc.with_revisits(pages, Scratch(spark, "none"))).count() == 0
+
+
+def test_members_are_read_in_proportion_to_their_number():
+    took = {}
+    for n in (2000, 16000):
+        content = b"".join(warc.member(b"record %d " % i + b"x" * (i % 700)) for i in range(n))
+        start = time.process_time()
+        found = list(warc.members_of(content))
+        took[n] = time.process_time() - start
+        assert [raw[:8] for _, _, raw in found] == [(b"record %d " % k)[:8] for k in range(n)]
+        assert sum(length for _, length, _ in found) == len(content)
+    assert took[16000] < 24 * took[2000]
+
+
+def test_archives_without_records(spark):
+    out = archives(spark, [])
+    assert warc.read_archives(spark, out).collect() == [] if pathlib.Path(f"{out}/archives").exists() else True
+    assert spark.read.parquet(f"{out}/index").count() == 0
