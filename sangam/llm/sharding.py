@@ -4,20 +4,21 @@ Rows of a source are put in a seeded random order; the row of rank r among n has
 rank (2 r - 1) / (2 n). Sorted by it, all sources run through the order evenly, so any
 stretch of it has the mixture of the whole; the order is cut into stretches of equal row counts.
 
-Neither order is ever sorted in one task. Rows fall into buckets by the leading digits of
-their hash, or by their fractional rank; places are the counts of earlier buckets plus
-the rank within the bucket, and only the counts, a row per bucket, meet in one window.
+Neither order is ever sorted in one task. Rows are dealt into stretches by cut points sampled from the whole order,
+ties and all, so neither a large source nor many small ones, whose rows share a few fractional ranks, nor equal
+keys fill one stretch; places are the counts of earlier stretches plus the rank within.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from sangam.operators.ids import bucket_starts
+
 from .common import Scratch, table
 
-#: Rows that a bucket has on average; a task sorts one bucket at a time.
+#: Rows that a stretch of an order has on average; a task sorts one at a time.
 BUCKET_ROWS = 1 << 14
-_LEADING = 1 << 32
 
 
 def seeded_hash(seed: int, key: Column) -> Column:
@@ -25,19 +26,20 @@ def seeded_hash(seed: int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
-def _with_offsets(rows: DataFrame, group: list[str], bucket: str, offset: str) -> DataFrame:
-    """Adds the number of rows in earlier buckets of the group, and the group's rows as ``__of``."""
-    counts = rows.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("__in"))
-    before = Window.partitionBy(*group).orderBy(bucket)
-    counts = counts.select(
-        *(F.col(c).alias(f"__{c}") for c in [*group, bucket]),
-        (F.sum("__in").over(before) - F.col("__in")).alias(offset),
-        F.sum("__in").over(Window.partitionBy(*group)).alias("__of"),
-    )
-    same = F.lit(True)
-    for c in [*group, bucket]:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return rows.join(counts, same).drop(*(f"__{c}" for c in [*group, bucket]))
+def _in_order(rows: DataFrame, order: list[str], total: int, scratch: Scratch, name: str) -> DataFrame:
+    """``rows`` with ``__place``, their place from 0 in the order, which must have no ties.
+
+    Cut points from a sample of the rows deal them out in stretches, so many equal values of the first columns
+    are parted by the later ones. Each stretch is sorted by itself; the rows of earlier ones come from their counts.
+    """
+    parts = max(1, -(-total // BUCKET_ROWS))
+    dealt = rows.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id())
+    dealt = scratch.keep(dealt, name)
+    counts = dealt.groupBy("__part").agg(F.count(F.lit(1)).alias("_n"))
+    starts = scratch.keep(bucket_starts(counts, ["__part"]), f"{name}-starts")
+    rank = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    ranked = dealt.withColumn("__rank", rank).join(starts, "__part")
+    return ranked.withColumn("__place", F.col("_start") + F.col("__rank") - 1).drop("__part", "__rank", "_start")
 
 
 def stratified_shards(
@@ -46,42 +48,38 @@ def stratified_shards(
     """``rows`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard).
 
     Row counts of shards differ by one at most. A source's counts in two shards differ by its
-    share of the rows times the number of sources, plus one, at most, whatever its size. Null sources are a source of their own; null keys and repeated rows are
-    rows like others, in an order that is arbitrary among rows with equal keys; texts play no
-    part; an empty table gives an empty result. Columns ``shard`` and ``slot`` are replaced.
+    share of the rows times the number of sources, plus one, at most, whatever its size. Null sources are a source
+    of their own; null keys and repeated rows are rows like others, in an order by the digest of all their columns
+    among rows with equal keys; an empty table gives an empty result. Columns ``shard`` and ``slot`` are replaced.
     All columns travel with the row: drop what the shards don't need.
     """
     if shards < 1:
         raise ValueError("shards must be at least 1")
     scratch = Scratch(rows.sparkSession, "shards")
     kept = [c for c in rows.columns if c not in ("shard", "slot")]
-    rows = scratch.keep(
-        rows.select(F.struct(*kept).alias("__row"), F.col(source).cast("string").alias("__source"), seeded_hash(seed, F.col(key)).alias("__hash")),
-        "hashed",
+    hashed = rows.select(
+        F.struct(*kept).alias("__row"),
+        F.col(source).cast("string").alias("__source"),
+        seeded_hash(seed, F.col(key)).alias("__hash"),
+        F.md5(F.to_json(F.struct(*kept)).cast("binary")).alias("__tie"),
+        # tells apart rows that are equal in everything; once written it stays
+        F.monotonically_increasing_id().alias("__id"),
     )
-    # rank within the source
-    sizes = rows.groupBy("__source").agg(F.count(F.lit(1)).alias("__n"))
-    total = rows.count()
-    leading = F.conv(F.substring("__hash", 1, 8), 16, 10).cast("long")
-    # a source with n rows has n / BUCKET_ROWS buckets; the number of sources may be large
-    sized = rows.join(sizes.withColumnRenamed("__source", "__s"), F.col("__source").eqNullSafe(F.col("__s"))).drop("__s")
-    buckets = F.ceil(F.col("__n") / BUCKET_ROWS)
-    sized = sized.withColumn("__bucket", F.floor(leading * buckets / F.lit(_LEADING)).cast("long"))
-    offsets = _with_offsets(sized, ["__source"], "__bucket", "__before").drop("__of")
-    order = Window.partitionBy("__source", "__bucket").orderBy("__hash")
-    ranked = offsets.withColumn("__rank", F.row_number().over(order) + F.col("__before"))
-    ranked = ranked.withColumn("__fraction", (2 * F.col("__rank") - 1) / (2 * F.col("__n")))
-    ranked = scratch.keep(ranked.select("__row", "__source", "__hash", "__fraction"), "ranked")
-    scratch.drop("hashed")
+    hashed = scratch.keep(hashed, "hashed")
+    total = hashed.count()
+    ties = ["__hash", "__tie", "__id"]
+    # rank within the source: its rows follow one another
+    placed = scratch.keep(_in_order(hashed, ["__source", *ties], total, scratch, "by-source"), "placed")
+    scratch.drop("hashed", "by-source")
+    firsts = placed.groupBy("__source").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    firsts = scratch.keep(firsts.withColumnRenamed("__source", "__s"), "firsts")
+    ranked = placed.join(firsts, F.col("__source").eqNullSafe(F.col("__s"))).drop("__s")
+    ranked = ranked.withColumn("__fraction", (2 * (F.col("__place") - F.col("__first")) + 1) / (2 * F.col("__n")))
+    ranked = ranked.select("__row", "__source", "__fraction", *ties)
     # place in the order by fractional rank
-    parts = max(1, -(-total // BUCKET_ROWS))
-    placed = ranked.withColumn("__part", F.floor(F.col("__fraction") * parts).cast("long")).withColumn("__all", F.lit(0))
-    placed = _with_offsets(placed, ["__all"], "__part", "__before")
-    order = Window.partitionBy("__part").orderBy("__fraction", F.col("__source").asc_nulls_first(), "__hash")
-    place = F.row_number().over(order) + F.col("__before") - 1
-    placed = placed.withColumn("__place", place)
-    placed = placed.withColumn("shard", F.expr(f"cast((__place * {shards}) div __of as int)"))
-    first = F.expr(f"(cast(shard as bigint) * __of + {shards - 1}) div {shards}")
+    placed = _in_order(ranked, ["__fraction", "__source", *ties], total, scratch, "by-fraction")
+    placed = placed.withColumn("shard", F.expr(f"cast((__place * {shards}) div {max(total, 1)} as int)"))
+    first = F.expr(f"(cast(shard as bigint) * {total} + {shards - 1}) div {shards}")
     return placed.select("__row.*", "shard", (F.col("__place") - first).alias("slot"))
 
 

@@ -40,3 +40,31 @@ def test_few_and_no_rows(spark):
     assert sharding.stratified_shards(rows.limit(0)).collect() == []
     with pytest.raises(ValueError):
         sharding.stratified_shards(rows, 0)
+
+
+def test_many_small_sources_and_equal_keys_fill_no_stretch(spark, monkeypatch):
+    """Sources of one row all have the rank 1/2; rows without key have one hash."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 500)
+    rows = spark.range(8000).selectExpr("IF(id % 2 = 0, id, NULL) AS doc_id", "IF(id < 6000, concat('s', id), 'one') AS source", "id AS n")
+    sizes = []
+    keep = sharding.Scratch.keep
+
+    def kept(self, df, name):
+        out = keep(self, df, name)
+        if name in ("by-source", "by-fraction"):
+            sizes.extend(r["count"] for r in out.groupBy("__part").count().collect())
+        return out
+
+    monkeypatch.setattr(sharding.Scratch, "keep", kept)
+    got = sharding.stratified_shards(rows).collect()
+    assert max(sizes) < 1500 and len(sizes) >= 30
+    assert sorted(r.n for r in got) == list(range(8000)) and Counter(r.shard for r in got) == {s: 1000 for s in range(8)}
+
+
+def test_order_of_rows_with_equal_keys_is_defined(spark):
+    rows = [(1, "a", f"t{i}") for i in range(50)] + [(None, None, f"t{i}") for i in range(50)]
+    found = []
+    for order in (rows, rows[::-1]):
+        got = sharding.stratified_shards(spark.createDataFrame(order, "doc_id long, source string, t string").repartition(3))
+        found.append(sorted((str(r.doc_id), r.t, r.shard, r.slot) for r in got.collect()))
+    assert found[0] == found[1]
