@@ -3,10 +3,11 @@
 Two histograms of a document are compared with those of its language by the
 Jensen-Shannon distance (base 2, so from 0 to 1): the classes of its characters, and the
 share of each of the language's commonest words, of words made of letters only, and of
-the rest. The references are learnt from all rows of the input, a language at a time;
-a document that lacks a language, or has one without reference, is held against all of
-them and the nearest counts. Histograms of short texts are noisy, so each comparison has a
-minimum length, below which it says nothing.
+the rest. The references are learnt from all rows of the input, a language at a time. A language
+needs at least two different texts for a reference, as a text says nothing about itself. A document without a language, or
+with one that has no reference, is held against the references of the main languages, those of at
+least one row in a hundred, and the nearest counts. Histograms of short texts are noisy, so each
+comparison has a minimum length, below which it says nothing.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import WORDS, Scratch, arrow_rows, table
+from .common import WORDS, Scratch, arrow_rows, small_slices, table
 
 #: The symbols that are counted.
 SYMBOLS = "#*$%&|<>"
@@ -37,10 +41,18 @@ for _name, _chars in (
     _ASCII[[ord(c) for c in _chars]] = CLASSES.index(_name)
 _ASCII[128] = CLASSES.index("letter_not_ascii")
 
-#: Stands for a word that is not all letters.
-_NO_WORD = "\x00rest"
+#: Stands for a word that is not all letters; beginning of the keys of character classes; key of the number of rows.
+_NO_WORD, _CLASS, _ROWS = "\x00rest", "\x00class ", "\x00rows"
 #: A task hands on its word counts before they hold more than so many words.
 _FLUSH = 200_000
+#: Plain forms of words remembered per worker.
+_REMEMBERED = 50_000
+#: References of up to so many languages go with the tasks; of more they are joined to the rows.
+MOST_HELD = 2_000
+#: A language is a main one from this share of the rows on, so there are a hundred at most.
+MAIN_PERCENT = 1
+#: Shares of character classes are summed as integers, so sums don't depend on the order of tasks.
+_UNIT = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -69,7 +81,7 @@ def plain_word(word: str) -> str:
     """The word in lower case without ending marks if that is all letters, else ``_NO_WORD``."""
     found = _plain.get(word)
     if found is None:
-        if len(_plain) >= _FLUSH:
+        if len(_plain) >= _REMEMBERED:
             _plain.clear()
         bare = word.rstrip(".,;:")
         found = _plain[word] = bare.lower() if bare.isalpha() else _NO_WORD
@@ -119,77 +131,126 @@ def word_histogram(words: list[str], common: dict[str, int]) -> np.ndarray:
     return np.array(out, dtype=float)
 
 
-def language_references(docs: DataFrame, limits: Limits = Limits()) -> dict[str, dict]:
-    """Per language: its character classes and its commonest words with their shares.
-
-    Every row and every language counts. Words are counted per task, then summed by (language, word); only
-    ``common_words`` rows and those of the classes come to the driver for each language. Rows without language or
-    text teach nothing.
-    """
+def _language_sums(docs: DataFrame) -> DataFrame:
+    """(lang, key, n, low, high): counts of words and of character classes; rows, and the least and largest hash of a text."""
 
     def counted(incoming):
-        import pyarrow as pa
-
         counts: Counter = Counter()
         words: dict[str, Counter] = {}
+        texts: dict[str, tuple[int, int]] = {}
 
         def out():
             for lang, seen in words.items():
                 for word, n in seen.items():
                     counts[lang, plain_word(word)] += n
-            words.clear()
-            columns = [*zip(*counts)], [float(n) for n in counts.values()]
-            counts.clear()
-            return pa.RecordBatch.from_pydict({"lang": columns[0][0], "key": columns[0][1], "n": columns[1]})
-
-        for batch in incoming:
+            keys = [*counts, *((lang, _ROWS) for lang in texts)]
+            ends = [(None, None)] * len(counts) + list(texts.values())
+            columns = [*zip(*keys)], [*counts.values(), *([0] * len(texts))], [*zip(*ends)]
+            made = {"lang": columns[0][0], "key": columns[0][1], "n": columns[1]}
+            made |= {name: pa.array(end, pa.int64()) for name, end in zip(("low", "high"), columns[2])}
+            words.clear(), counts.clear(), texts.clear()
+            return pa.RecordBatch.from_pydict(made)
+
+        for batch in (part for whole in incoming for part in small_slices(whole)):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not text:
                     continue
                 shares = class_histogram(text)
-                for name, n in zip(CLASSES, (shares / shares.sum()).tolist()):
-                    counts[lang, "\x00class " + name] += n
+                for name, n in zip(CLASSES, np.rint(shares * (_UNIT / shares.sum())).astype(int).tolist()):
+                    counts[lang, _CLASS + name] += n
+                counts[lang, _ROWS] += 1
+                digest = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+                low, high = texts.get(lang, (digest, digest))
+                texts[lang] = min(low, digest), max(high, digest)
                 words.setdefault(lang, Counter()).update(WORDS.findall(text))
                 if sum(map(len, words.values())) > _FLUSH:
                     yield out()
         if counts:
             yield out()
+        _plain.clear()
 
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").alias("text")).filter("lang is not null")
-    sums = rows.mapInArrow(counted, "lang string, key string, n double").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(counted, "lang string, key string, n long, low long, high long").groupBy("lang", "key")
+    return sums.agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def reference_table(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One row per language with a reference: lang, n_rows, classes, words and shares of its commonest words, share of the rest.
+
+    Every row and every language counts; rows without language or text teach nothing. Words are counted
+    per task, then summed by (language, word).
+    """
     scratch = Scratch(docs.sparkSession, "languages")
-    sums = scratch.keep(sums, "sums")
+    sums = scratch.keep(_language_sums(docs), "sums")
     is_word = ~F.col("key").startswith("\x00")
+    # a reference needs two different texts
+    known = sums.filter((F.col("key") == _ROWS) & (F.col("low") < F.col("high"))).select("lang", F.col("n").alias("n_rows"))
+    known = scratch.keep(known, "known")
     totals = sums.filter(is_word | (F.col("key") == _NO_WORD)).groupBy("lang").agg(F.sum("n").alias("words"))
+    totals = scratch.keep(totals, "totals")
     # the rank limit runs in every task before rows of a language meet
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
     top = sums.filter(is_word).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limits.common_words)
-    found = top.drop("place").unionByName(sums.filter(~is_word)).join(totals, "lang")
-    references: dict[str, dict] = {}
-    for row in found.orderBy("lang", F.desc("n"), "key").collect():
-        one = references.setdefault(row.lang, {"classes": np.zeros(len(CLASSES)), "words": {}, "shares": [], "rest": 0.0})
-        if row.key.startswith("\x00class "):
-            one["classes"][CLASSES.index(row.key.removeprefix("\x00class "))] = row.n
-        elif row.key == _NO_WORD:
-            one["rest"] = row.n / row.words
-        elif not row.key.startswith("\x00"):
-            one["words"][row.key] = len(one["words"])
-            one["shares"].append(row.n / row.words)
-    scratch.drop("sums")
-    for one in references.values():
-        shares = one["shares"]
-        one["histogram"] = np.array([*shares, max(0.0, 1 - sum(shares) - one["rest"]), one["rest"]])
-    return references
-
-
-def judge(text: str | None, lang: str | None, references: dict[str, dict], limits: Limits) -> tuple:
-    """n_words, the four base measures, base_failed, kept, class and word distance (None below the guard)."""
+    others = sums.filter(F.col("key").startswith(_CLASS) | (F.col("key") == _NO_WORD)).withColumn("place", F.lit(0))
+    found = top.unionByName(others).join(known, "lang").join(totals, "lang", "left")
+    share = F.col("n") / F.col("words")
+
+    def of_class(name):
+        return F.coalesce(F.max(F.when(F.col("key") == _CLASS + name, F.col("n"))), F.lit(0)).cast("double")
+
+    common = F.array_sort(F.collect_list(F.when(F.col("place") > 0, F.struct("place", "key", share.alias("share")))))
+    rest = F.coalesce(F.max(F.when(F.col("key") == _NO_WORD, share)), F.lit(0.0))
+    table_ = found.groupBy("lang", "n_rows").agg(F.array(*map(of_class, CLASSES)).alias("classes"), common.alias("common"), rest.alias("rest"))
+    table_ = table_.select("lang", "n_rows", "classes", F.col("common.key").alias("words"), F.col("common.share").alias("shares"), "rest")
+    return scratch.keep(table_, "references")
+
+
+def _reference(classes, words, shares, rest) -> dict:
+    histogram = np.array([*shares, max(0.0, 1 - sum(shares) - rest), rest])
+    return {"classes": np.array(classes), "words": {w: i for i, w in enumerate(words)}, "histogram": histogram}
+
+
+def language_references(docs: DataFrame, limits: Limits = Limits()) -> dict[str, dict]:
+    """The references of all languages of ``reference_table``, for corpora with few languages."""
+    return {r.lang: _reference(*r[2:]) for r in reference_table(docs, limits).collect()}
+
+
+@dataclass
+class References:
+    """What rows are judged by: references at hand, the main ones, and a table of all if they are too many to be at hand."""
+
+    held: dict[str, dict]
+    main: list[dict]
+    table: DataFrame | None = None
+
+    @staticmethod
+    def of(docs: DataFrame, limits: Limits = Limits()) -> References:
+        found = reference_table(docs, limits)
+        rows = docs.select(F.count(F.lit(1)).alias("n")).first()["n"]
+        main = found.filter(F.col("n_rows") * 100 >= F.lit(rows) * MAIN_PERCENT).orderBy("lang").collect()
+        if found.count() > MOST_HELD:
+            return References({}, [_reference(*r[2:]) for r in main], found)
+        return References({r.lang: _reference(*r[2:]) for r in found.collect()}, [_reference(*r[2:]) for r in main])
+
+    def joined(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``__reference``, that of their language if it isn't at hand; large languages may be split by the join."""
+        if self.table is None:
+            return rows.withColumn("__reference", F.lit(None).cast("int"))
+        fields = F.struct("classes", "words", "shares", "rest").alias("__reference")
+        known = self.table.select(F.col("lang").alias("__lang"), fields)
+        return rows.join(known, F.col("lang") == F.col("__lang"), "left").drop("__lang")
+
+    def judging(self) -> tuple[dict[str, dict], list[dict]]:
+        return self.held, self.main
+
+
+def judge(text: str | None, own: list[dict], limits: Limits) -> tuple:
+    """n_words, the four base measures, base_failed, kept, class and word distance to the nearest (None below the guard)."""
     text = text or ""
     words = WORDS.findall(text)
     n = len(words)
     base = base_measures(text, words)
     failed = n < limits.min_words or 100 * base[3] > limits.repeat_percent * n
-    own = [references[lang]] if lang in references else list(references.values())
     by_class = by_word = None
     if own and len(text) >= limits.class_min_chars:
         classes = class_histogram(text)
@@ -200,6 +261,18 @@ def judge(text: str | None, lang: str | None, references: dict[str, dict], limit
     return (n, *base, failed, not (failed or far), by_class, by_word)
 
 
+def _judged(batch: pa.RecordBatch, held: dict[str, dict], main: list[dict], limits: Limits) -> list[tuple]:
+    """Verdicts on rows with text, lang and __reference."""
+    out = []
+    for text, lang, joined in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "__reference"))):
+        if joined is not None:
+            own = [_reference(*(joined[f] for f in ("classes", "words", "shares", "rest")))]
+        else:
+            own = [held[lang]] if lang in held else main
+        out.append(judge(text, own, limits))
+    return out
+
+
 VERDICT = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, kept boolean, class_distance double, word_distance double"
@@ -207,41 +280,39 @@ VERDICT = (
 _NAMES = [x.split()[0] for x in VERDICT.split(", ")]
 
 
-def quality_rules(docs: DataFrame, limits: Limits = Limits(), references: dict | None = None) -> DataFrame:
+def quality_rules(docs: DataFrame, limits: Limits = Limits(), references: References | None = None) -> DataFrame:
     """All rows of ``docs`` with a struct ``quality``: base measures, distances and the verdict.
 
-    Two scans, no shuffle of texts. Null and empty texts have no words and fail; null
-    languages are held against all references; repeated rows are judged each for itself; an
-    empty table gives an empty result; a column named ``quality`` is replaced, others stay.
+    Two scans, no shuffle of texts unless there are more than ``MOST_HELD`` languages. Null and empty texts have no
+    words and fail; null languages, and those with a single text, are held against the main ones; with neither only the
+    base rules decide. A distance on its limit passes. Repeated rows are judged each for itself, whole texts however long; an
+    empty table gives an empty result; columns named ``quality`` and ``__reference`` are replaced, others stay.
     """
-    references = language_references(docs, limits) if references is None else references
-    names = [c for c in docs.columns if c != "quality"]
-
-    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
-
-    schema = StructType([*(docs.schema[c] for c in names), StructField("quality", _parse_datatype_string(VERDICT))])
+    if "lang" not in docs.columns:
+        return quality_rules(docs.withColumn("lang", F.lit(None).cast("string")), limits, references).drop("lang")
+    references = References.of(docs, limits) if references is None else references
+    names = [c for c in docs.columns if c not in ("quality", "__reference")]
+    schema = StructType([*(docs.schema[c] for c in names), StructField("quality", StructType.fromDDL(VERDICT))])
+    kind = pa.struct([(f, pa.bool_() if f in ("base_failed", "kept") else pa.float64() if "distance" in f else pa.int64()) for f in _NAMES])
+    held, main = references.judging()
 
     def judged(incoming):
-        import pyarrow as pa
+        for batch in (part for whole in incoming for part in small_slices(whole)):
+            found = [dict(zip(_NAMES, row)) for row in _judged(batch, held, main, limits)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, kind)], names=[*names, "quality"])
+        _plain.clear()
 
-        for batch in incoming:
-            text = batch.column(names.index("text")).to_pylist()
-            lang = batch.column(names.index("lang")).to_pylist() if "lang" in names else [None] * len(text)
-            found = [dict(zip(_NAMES, judge(t, la, references, limits))) for t, la in zip(text, lang)]
-            kind = pa.struct([(f, pa.bool_() if f in ("base_failed", "kept") else pa.float64() if "distance" in f else pa.int64()) for f in _NAMES])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*names, "quality"])
-
-    return docs.select(*names).mapInArrow(judged, schema)
+    return references.joined(docs.select(*names)).mapInArrow(judged, schema)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    # the text is not handed back
-    references = language_references(docs)
-    limits = Limits()
+    references = References.of(docs)
+    (held, main), limits = references.judging(), Limits()
 
+    # the text is not handed back
     def measured(batch):
-        rows = [judge(t, la, references, limits) for la, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-        return {"doc_id": batch.column(0), **dict(zip(_NAMES, zip(*rows)))} if rows else None
+        rows = _judged(batch, held, main, limits)
+        return {"doc_id": batch.column("doc_id"), **dict(zip(_NAMES, zip(*rows)))} if rows else None
 
-    return arrow_rows(docs, measured, f"doc_id long, {VERDICT}")
+    return arrow_rows(references.joined(docs), measured, f"doc_id long, {VERDICT}")
