@@ -6,13 +6,13 @@ word shingles; a bag's fingerprint has, bit by bit, the sign of the sum of its s
 with a weighted similarity of 0.8 differ in about 10 of 64 bits, and in more than ``RADIUS``
 once in 10^4 times. Fingerprints are cut into ``BLOCKS`` blocks; within the radius at least one block
 differs in at most ``RADIUS div BLOCKS`` bits, so looking up each block with that many bits
-changed, among the items' blocks, finds every item within the radius. The weighted similarity of the
+changed, among the blocks of the items with as many words, finds every one of them within the radius. The weighted similarity of the
 bags themselves, sum of the smaller counts over sum of the larger ones, then decides.
 
 Most windows need no fingerprint: a window can only be similar enough if enough of its shingles occur
 in the benchmark at all, which running sums of one membership test per word show.
 
-The benchmark is read into tasks in blocks of at most ``ITEM_BLOCK`` items, one pass over the
+The benchmark is read into tasks in blocks of at most ``ITEM_BLOCK`` items and ``ITEM_BYTES``, one pass over the
 documents for each block, so what a task holds doesn't grow with the benchmark. Documents aren't shuffled.
 """
 
@@ -20,16 +20,17 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import arrow_rows, find_package, table
+from .common import arrow_rows, find_package, small_slices, table
 from .shingles import lower_words, shingle_hashes, word_hashes
 
 BITS, RADIUS, BLOCKS = 64, 20, 8
-#: Items that tasks hold at a time.
-ITEM_BLOCK = 20_000
+#: Items, and bytes of their texts, that tasks hold at a time.
+ITEM_BLOCK, ITEM_BYTES = 20_000, 16 << 20
 #: Windows that are fingerprinted at a time.
 _WINDOWS = 2048
 _WIDTH = BITS // BLOCKS
@@ -57,20 +58,32 @@ def similarity(left: Counter, right: Counter) -> float:
 
 @dataclass
 class Items:
-    """A block of the benchmark, indexed by the values of fingerprint blocks."""
+    """A block of the benchmark, indexed by the number of words and the values of fingerprint blocks."""
 
     ids: list[int]
     bags: list[Counter]
+    words: dict[bytes, int]  # hashes of all their words
     known: np.ndarray  # sorted shingle hashes of all items
+    maybe: np.ndarray  # whether a shingle may be among them, by its low bits
     by_words: dict[int, np.ndarray]  # places of the items with so many words
     prints: np.ndarray
-    index: list[dict[int, np.ndarray]]  # by block of the fingerprint: value to places
+    index: dict[int, list[dict[int, np.ndarray]]]  # by number of words, block of the fingerprint and value: places
+
+    def known_shingles(self, hashes: np.ndarray) -> np.ndarray:
+        """Which shingles occur in some item."""
+        hits = self.maybe[(hashes & np.uint64(len(self.maybe) - 1)).astype(np.int64)]
+        some = np.flatnonzero(hits)
+        at = np.minimum(np.searchsorted(self.known, hashes[some]), len(self.known) - 1)
+        hits[some] = self.known[at] == hashes[some]
+        return hits
 
     @staticmethod
     def of(rows: list[tuple[int, str]], size: int) -> Items:
-        ids, bags, prints, lengths = [], [], [], []
+        ids, bags, prints, lengths, spelled = [], [], [], [], {}
         for item, text in rows:
-            words = word_hashes(lower_words(text))
+            plain = lower_words(text)
+            words = word_hashes(plain)
+            spelled.update(zip(plain, words.tolist()))
             if len(words):
                 hashes = shingle_hashes(words, size)
                 ids.append(item)
@@ -78,21 +91,25 @@ class Items:
                 prints.append(fingerprints(hashes[None, :])[0])
                 lengths.append(len(words))
         near, blocks = _near_values(), np.array(prints, dtype=np.uint64).view(np.uint8).reshape(-1, BLOCKS)
-        index: list[dict[int, np.ndarray]] = []
-        for block in range(BLOCKS):
-            places: dict[int, list[int]] = {}
-            for place, value in enumerate(blocks[:, block].tolist()):
-                for other in near[value].tolist():
-                    places.setdefault(other, []).append(place)
-            index.append({v: np.array(p) for v, p in places.items()})
         by_words = {n: np.flatnonzero(np.array(lengths) == n) for n in sorted(set(lengths))}
+        index: dict[int, list[dict[int, np.ndarray]]] = {}
+        for n, some in by_words.items():
+            index[n] = []
+            for block in range(BLOCKS):
+                places: dict[int, list[int]] = {}
+                for place in some.tolist():
+                    for other in near[blocks[place, block]].tolist():
+                        places.setdefault(other, []).append(place)
+                index[n].append({v: np.array(p) for v, p in places.items()})
         known = np.unique(np.array([h for bag in bags for h in bag], dtype=np.uint64))
-        return Items(ids, bags, known, by_words, np.array(prints, dtype=np.uint64), index)
+        maybe = np.zeros(1 << max(16, (8 * len(known)).bit_length()), dtype=bool)
+        maybe[(known & np.uint64(len(maybe) - 1)).astype(np.int64)] = True
+        return Items(ids, bags, spelled, known, maybe, by_words, np.array(prints, dtype=np.uint64), index)
 
-    def within(self, print_: np.uint64) -> np.ndarray:
-        """Places of all items whose fingerprints differ in RADIUS bits at most."""
+    def within(self, n: int, print_: np.uint64) -> np.ndarray:
+        """Places of all items of n words whose fingerprints differ in RADIUS bits at most."""
         values = np.array([print_]).view(np.uint8).tolist()
-        met = [places[v] for places, v in zip(self.index, values) if v in places]
+        met = [places[v] for places, v in zip(self.index[n], values) if v in places]
         if not met:
             return np.empty(0, dtype=np.int64)
         places = np.unique(np.concatenate(met))
@@ -125,24 +142,31 @@ def matches(text: str | None, items: Items, size: int = 5, percent: int = 80) ->
     A text with fewer words than an item is compared with it as a whole.
     """
     found: dict[int, tuple[float, int, int]] = {}
-    words = word_hashes(lower_words(text))
-    if not len(words) or not items.ids:
+    plain = lower_words(text)
+    if not plain or not items.ids:
         return found
-    runs = {size: shingle_hashes(words, size)} if len(words) >= size else {}
-    runs |= {n: shingle_hashes(words, n) for n in items.by_words if n < size and n <= len(words)}
-    for run, hashes in runs.items():
-        at = np.minimum(np.searchsorted(items.known, hashes), len(items.known) - 1)
-        hits = items.known[at] == hashes
+    # words that no item has need no hash to tell which shingles occur in the benchmark
+    words = np.array(list(map(items.words.get, plain, repeat(0))), dtype=np.uint64)
+    if np.count_nonzero(words) * 100 < percent * min(min(items.by_words), len(words)):
+        return found  # not even the shortest item has words enough in common
+    whole = None
+    for run in sorted({min(n, size) for n in items.by_words if n < size or len(words) >= size}):
+        if run > len(words):
+            continue
+        hits = items.known_shingles(shingle_hashes(words, run))
         if not hits.any():
             continue
         for n, starts, shingles in _windows(items, hits, size, percent):
-            if min(n, size) != run:
+            if min(n, size) != run or not len(starts):
                 continue
+            if whole is None:
+                whole = word_hashes(plain)
+            hashes = shingle_hashes(whole, run)
             for cut in range(0, len(starts), _WINDOWS):
                 some = starts[cut : cut + _WINDOWS]
                 windows = hashes[some[:, None] + np.arange(shingles)]
                 for start, print_, window in zip(some.tolist(), fingerprints(windows), windows):
-                    places = [p for p in items.within(print_).tolist() if p in items.by_words[n]]
+                    places = items.within(n, print_).tolist()
                     if places:
                         bag = Counter(window.tolist())
                         for place in places:
@@ -155,7 +179,8 @@ def matches(text: str | None, items: Items, size: int = 5, percent: int = 80) ->
 def _item_blocks(benchmark: DataFrame, size: int):
     """Broadcast blocks of the benchmark; a hash deals items out, so blocks keep their bound but for chance."""
     item = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter("text is not null")
-    blocks = -(-item.count() // ITEM_BLOCK)
+    sizes = item.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    blocks = max(-(-sizes["n"] // ITEM_BLOCK), -(-(sizes["bytes"] or 0) // ITEM_BYTES))
     dealt = item.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks))))
     for block in range(blocks):
         rows = [(r.item_id, r.text) for r in dealt.filter(F.col("block") == block).orderBy("item_id", "text").collect()]
@@ -199,7 +224,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 8
         def kept(incoming, items=items):
             import pyarrow as pa
 
-            for batch in incoming:
+            for batch in (part for whole in incoming for part in small_slices(whole)):
                 good = [not matches(t, items.value, size, percent) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(good, pa.bool_()))
 

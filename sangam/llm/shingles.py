@@ -9,8 +9,8 @@ import xxhash
 
 #: As ``common.WORD``, over UTF-8 bytes: all the characters left out are ASCII.
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
-#: Word hashes remembered per worker; emptied when full.
-_REMEMBERED = 200_000
+#: Word hashes remembered per worker; emptied when full. A text's own words come on top.
+_REMEMBERED = 50_000
 _seen: dict[bytes, int] = {}
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -24,13 +24,11 @@ def lower_words(text: str | None) -> list[bytes]:
 def word_hashes(words: list[bytes]) -> np.ndarray:
     if len(_seen) > _REMEMBERED:
         _seen.clear()
-    get = _seen.get
-    out = []
-    for word in words:
-        found = get(word)
-        if found is None:
-            found = _seen[word] = xxhash.xxh64_intdigest(word)
-        out.append(found)
+    out = list(map(_seen.get, words))
+    if None in out:
+        for word in {word for word, found in zip(words, out) if found is None}:
+            _seen[word] = xxhash.xxh64_intdigest(word)
+        out = list(map(_seen.__getitem__, words))
     return np.array(out, dtype=np.uint64)
 
 

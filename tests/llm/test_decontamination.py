@@ -71,7 +71,8 @@ def test_index_finds_all_within_the_radius():
     near = decontamination._near_values()
     items.prints = prints
     blocks = prints.view(np.uint8).reshape(-1, 8)
-    items.index = [
+    assert list(items.by_words) == [9]
+    items.index[9] = [
         {v: np.flatnonzero([v in near[x] for x in blocks[:, b]]) for v in range(256)} for b in range(decontamination.BLOCKS)
     ]
     for _ in range(50):
@@ -79,7 +80,7 @@ def test_index_finds_all_within_the_radius():
         for bit in rng.choice(64, size=rng.integers(0, 21), replace=False):
             probe ^= np.uint64(1) << np.uint64(bit)
         want = np.flatnonzero(np.bitwise_count(prints ^ probe) <= decontamination.RADIUS)
-        assert items.within(probe).tolist() == want.tolist()
+        assert items.within(9, probe).tolist() == want.tolist()
 
 
 def test_texts_shorter_than_an_item(spark):
@@ -105,3 +106,14 @@ def test_texts_shorter_than_an_item(spark):
     of = dict(docs)
     assert all(r.first_word + r.n_words <= len(words_of(of[r.doc_id])) for r in rows)
     assert {r.doc_id for r in decontamination.clean(left, right).collect()} == set(of) - {d for d, _ in want}
+
+
+def test_blocks_by_bytes_null_ids_repeated_rows_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", 60)
+    one, two = " ".join(f"a{i}" for i in range(12)), " ".join(f"b{i}" for i in range(12))
+    items = spark.createDataFrame([(1, one), (1, one), (None, two), (2, "")], "item_id long, text string")
+    docs = spark.createDataFrame([(7, f"x {one} y {one}"), (7, f"x {one} y {one}"), (None, two.upper()), (8, "a0 a1 a2")], "doc_id long, text string")
+    got = decontamination.contaminated(docs, items).collect()
+    # each repeated item counts, and of equal windows the first
+    assert sorted((str(r.doc_id), str(r.item_id), r.first_word, r.n_words) for r in got) == [("7", "1", 1, 12)] * 4 + [("None", "None", 0, 12)]
+    assert [r.doc_id for r in decontamination.clean(docs, items).collect()] == [8]
