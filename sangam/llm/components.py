@@ -60,3 +60,16 @@ def joined_components(roots: DataFrame, links: DataFrame, scratch: Scratch, name
     fresh = above.join(roots.select(F.col("node").alias("under")), "under", "left_anti")
     moved = moved.unionByName(fresh.select(F.col("under").alias("node"), F.col("above").alias("root")))
     return scratch.keep(moved, f"{name}-joined")
+
+
+def links_of_documents(rows: DataFrame, nodes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between the nodes of one document: ``rows`` has doc_id and digest, ``nodes`` digest and node.
+
+    A document with several texts has a node for each, named by the smallest doc_id that has the text.
+    """
+    several = rows.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    several = several.filter("low <> high").select("doc_id")
+    named = rows.join(several, "doc_id", "left_semi").select("doc_id", "digest").distinct()
+    named = scratch.keep(named.join(nodes.select("digest", "node"), "digest").select("doc_id", "node"), "several")
+    smallest = named.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return named.join(smallest, "doc_id").select("a", F.col("node").alias("b")).filter("a < b")

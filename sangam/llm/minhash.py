@@ -3,12 +3,12 @@
 Texts with equal shingle sets are one node, named by the smallest doc_id, before anything else. Each
 node has ``HASHES`` minima of multiply-shift hashes; nodes that agree on a band of ``ROWS`` minima
 share a bucket. Two sets with a similarity of 0.8 share no bucket once in 2 * 10^7 times. In a
-bucket of up to ``ALL_PAIRS`` nodes all pairs are candidates. In a larger one every node
-meets its hub, the node that shares most buckets of that kind, counted with their sizes: of
-variants of one text, the one that was changed least. Nodes that this doesn't join with the
-bucket's hub then meet every member of the bucket that isn't in their own component, joined ones too, in
-blocks of at most ``BLOCK`` by ``BLOCK`` nodes that are compared in one task each. So two nodes of a bucket
-are compared or joined already, however large it is.
+bucket of up to ``ALL_PAIRS`` nodes all pairs are candidates. A node of larger ones meets the hub of the largest
+it is in: the node that shares most such buckets, counted with their sizes; of
+variants of one text, the one that was changed least. Nodes whose larger buckets have nodes in common are a crowd.
+Members of a crowd that this doesn't join with most of it then meet every member that isn't in their own component, joined ones
+too, once, in blocks of about ``TILE`` shingles that are compared in one task each, signatures first and then full sets. So
+two nodes of a bucket are compared or joined already, however large it is.
 
 Candidates pass if their signatures agree well enough, five standard deviations below the
 threshold, and then if their full sets, computed from whole texts, are similar enough. A node's
@@ -18,21 +18,19 @@ as the rest can't change a component.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import Scratch, arrow_rows, may_hold, membership, table
-from .components import components, joined_components
-from .shingles import lower_words, mix, shingle_hashes, word_hashes
+from .components import components, joined_components, links_of_documents
+from .shingles import common_count, digest_of, mix, shingle_set, with_texts
 
 HASHES, ROWS = 128, 4
 #: Buckets of up to so many nodes give all their pairs.
 ALL_PAIRS = 16
-#: Nodes on each side of a block of a larger bucket, but for chance.
-BLOCK = 1024
+#: Shingles on each side of a block of a crowd, but for chance.
+TILE = 1 << 20
 
 
 def _universal(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -45,11 +43,6 @@ def _universal(n: int) -> tuple[np.ndarray, np.ndarray]:
 _FACTORS, _SUMMANDS = _universal(HASHES)
 
 
-def shingle_set(text: str | None, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles; one of the whole for fewer words, none without words."""
-    return np.unique(shingle_hashes(word_hashes(lower_words(text)), size))
-
-
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The minimum of each hash over a set that isn't empty."""
     out = np.full(HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -75,7 +68,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
             found = shingle_set(text, size)
             minima = signature(found) if len(found) else None
             columns["n_shingles"].append(len(found))
-            columns["digest"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+            columns["digest"].append(digest_of(found))
             columns["bands"].append(None if minima is None else band_keys(minima))
             columns["minima"].append(None if minima is None else minima.astype(np.uint8).view(np.int8))
         return columns
@@ -83,14 +76,14 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return arrow_rows(docs, signed, "doc_id long, n_shingles long, digest binary, bands array<long>, minima array<tinyint>")
 
 
-def _meetings(keyed: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a < b) of rows (node, keys), and rows (key, node, hub) of the larger buckets.
+def _meetings(keyed: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a < b) of rows (node, keys), and the members (node, crowd) of crowds.
 
     Keys are counted where they are; only those that may occur twice are then sent to meet.
     """
     single = keyed.select("node", F.explode("keys").alias("key"))
     buckets = single.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    buckets = scratch.keep(buckets.filter("n > 1"), f"{name}-buckets")
+    buckets = scratch.keep(buckets.filter("n > 1"), "buckets")
     shared = membership(buckets.select("key"))
 
     def sent(batch):
@@ -100,18 +93,24 @@ def _meetings(keyed: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame,
         good = may_hold(shared.value, flat)
         return {"node": nodes[good], "key": flat[good]}
 
-    met = scratch.keep(arrow_rows(keyed.select("node", "keys"), sent, "node long, key long").join(buckets, "key"), f"{name}-met")
+    met = scratch.keep(arrow_rows(keyed.select("node", "keys"), sent, "node long, key long").join(buckets, "key"), "met")
     few = met.filter(F.col("n") <= ALL_PAIRS).select("key", "node")
     pairs = few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").filter("a < b")
-    many = met.filter(F.col("n") > ALL_PAIRS)
-    scores = scratch.keep(many.groupBy("node").agg(F.sum("n").alias("score")), f"{name}-scores")
-    # the rank limit runs in every task before rows of a bucket meet
-    best = Window.partitionBy("key").orderBy(F.desc("score"), "node")
-    hubs = many.join(scores, "node").select("key", F.col("node").alias("hub"), F.row_number().over(best).alias("place"))
-    hubs = scratch.keep(hubs.filter(F.col("place") <= 1).drop("place"), f"{name}-hubs")
-    met_hubs = many.select("key", "node").join(hubs, "key")
-    hub_pairs = met_hubs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).filter("a < b")
-    return pairs.select("a", "b").unionByName(hub_pairs).distinct(), met_hubs
+
+    # a node's larger buckets stay with it: a list of one key per band at most
+    largest = F.max(F.struct("n", "key"))["key"].alias("home")
+    crowded = met.filter(F.col("n") > ALL_PAIRS).groupBy("node")
+    crowded = scratch.keep(crowded.agg(largest, F.sum("n").alias("score"), F.collect_set("key").alias("keys")), "crowded")
+    hubs = crowded.groupBy("home").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("hub"))
+    homed = scratch.keep(crowded.join(hubs, "home").select("node", "keys", "hub"), "homed")
+    hub_pairs = homed.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).filter("a < b")
+
+    seen = scratch.keep(homed.select(F.explode("keys").alias("key"), "hub").distinct(), "seen")
+    several = seen.groupBy("key").agg(F.min("hub").alias("low"), F.max("hub").alias("high")).filter("low < high")
+    same = seen.join(several, "key").select(F.col("hub").alias("a"), F.col("low").alias("b")).distinct()
+    crowds = components(same, scratch, "crowds").select(F.col("node").alias("hub"), F.col("root").alias("crowd"))
+    members = homed.join(crowds, "hub", "left").select("node", F.coalesce("crowd", "hub").alias("crowd"))
+    return pairs.select("a", "b").unionByName(hub_pairs).distinct(), scratch.keep(members, "crowds")
 
 
 def _least_equal(percent: int) -> int:
@@ -129,7 +128,7 @@ def _signed_alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     left = nodes.select(F.col("node").alias("a"), F.col("minima").alias("left"))
     right = nodes.select(F.col("node").alias("b"), F.col("minima").alias("right"))
     equal = F.aggregate(F.zip_with("left", "right", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return pairs.join(left, "a").join(right, "b").filter(equal >= least).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(equal >= least).select("a", "b").distinct()
 
 
 def _sets(docs: DataFrame, pairs: DataFrame, size: int, scratch: Scratch, name: str) -> DataFrame:
@@ -149,11 +148,13 @@ def _sets(docs: DataFrame, pairs: DataFrame, size: int, scratch: Scratch, name:
             yield batch.filter(pa.array(good))
 
     def found(batch):
-        return {"node": batch.column(0), "shingles": [shingle_set(t, size).view(np.int64) for t in batch.column(1).to_pylist()]}
+        sets = [shingle_set(t, size) for t in batch.column(1).to_pylist()]
+        return {"node": batch.column(0), "digest": [digest_of(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
 
     docs = docs.select("doc_id", "text").mapInArrow(useful, "doc_id long, text string")
     chosen = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
-    return scratch.keep(arrow_rows(chosen, found, "node long, shingles array<long>").dropDuplicates(["node"]), name)
+    # a document with several texts has several sets
+    return scratch.keep(arrow_rows(chosen, found, "node long, digest binary, shingles array<long>").dropDuplicates(["node", "digest"]), name)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -162,7 +163,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     joined = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("left", "right"))
     # common / (left + right - common) >= percent / 100, in integers
-    return joined.filter((100 + percent) * common >= percent * (F.size("left") + F.size("right"))).select("a", "b")
+    return joined.filter((100 + percent) * common >= percent * (F.size("left") + F.size("right"))).select("a", "b").distinct()
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -173,52 +174,57 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
-def _crowded_alike(
-    many: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, scratch: Scratch, name: str, best: bool = False
-) -> DataFrame:
-    """Pairs (a < b) of larger buckets with minima as in ``_signed_alike`` that aren't joined, if one isn't joined with the hub.
-
-    Every node that isn't meets all members of its bucket; both sides are dealt into blocks by a hash. With
-    ``best`` only the pair with most equal minima is given for each such node and block.
-    """
-    of = {c: roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("node", "hub")}
-    members = many.join(of["node"], "node", "left").join(of["hub"], "hub", "left")
-    root = F.coalesce("node_root", "node")
-    members = members.select("key", "node", root.alias("root"), (root != F.coalesce("hub_root", "hub")).alias("open"))
-    members = scratch.keep(members, f"{name}-members")
-    blocks = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("n_open")).filter("n_open > 0")
-    blocks = blocks.select("key", F.ceil(F.col("n") / BLOCK).alias("down"), F.ceil(F.col("n_open") / BLOCK).alias("across"))
-    met = members.join(scratch.keep(blocks, f"{name}-blocks"), "key").join(nodes.select("node", "minima"), "node")
-
-    def dealt(rows, asks, own, other):
+def block_links(sets: list[np.ndarray], minima: np.ndarray, labels: np.ndarray, asks: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Places of similar sets that join those of different labels; of a pair one asks. ``labels`` become those joined."""
+    least, found = _least_equal(percent), []
+    for at in np.flatnonzero(asks):
+        others = np.flatnonzero(labels != labels[at])
+        equal = (minima[others] == minima[at]).sum(axis=1, dtype=np.uint8)
+        others, equal = others[equal >= least], equal[equal >= least]
+        for other in others[np.argsort(equal, kind="stable")[::-1]]:
+            if labels[other] != labels[at]:
+                both = len(sets[at]) + len(sets[other])
+                if (100 + percent) * common_count(sets[at], sets[other]) >= percent * both:
+                    found.append((int(at), int(other)))
+                    labels[labels == labels[other]] = labels[at]
+    return found
+
+
+def _crowd_links(crowds: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) of members of crowds that aren't in the crowd's largest component, with any member of another one."""
+    members = crowds.join(roots, "node", "left").select("node", "crowd", F.coalesce("root", "node").alias("label"))
+    members = scratch.keep(members.join(nodes.select("node", "digest", "n_shingles"), "node"), "crowd-members")
+    counts = members.groupBy("crowd", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n_shingles").alias("n"))
+    largest = counts.groupBy("crowd").agg(
+        F.max_by("label", F.struct("c", -F.col("label"))).alias("largest"),
+        F.max_by("n", F.struct("c", -F.col("label"))).alias("joined"),
+        F.sum("n").alias("n"),
+    )
+    open_ = F.col("n") - F.col("joined")
+    largest = largest.filter(open_ > 0).select("crowd", "largest", F.ceil(F.col("n") / TILE).alias("parts"), F.ceil(open_ / TILE).alias("sets"))
+    asking = members.join(scratch.keep(largest, "crowd-sizes"), "crowd").withColumn("asks", F.col("label") != F.col("largest"))
+    asking = scratch.keep(asking.drop("largest", "n_shingles"), "crowd-asking")
+    texts = scratch.keep(with_texts(asking, docs, size), "crowd-texts")
+
+    def dealt(rows, asks, own, tiles, other, others):
         """Rows in their own block of one side, once for each block of the other."""
-        place = F.pmod(F.xxhash64("node"), F.col(own)).alias(own)
-        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other)
-        rows = rows.select("key", place, every, "node", "root", "open", F.lit(asks).alias("asks"), "minima")
-        return rows.select("key", "down", "across", "node", "root", "open", "asks", "minima")
-
-    least = _least_equal(percent)
-
-    def compared(block: pa.Table) -> pa.Table:
-        block = block.combine_chunks()
-        node, root, is_open, asks = (block[c].to_numpy() for c in ("node", "root", "open", "asks"))
-        minima = np.asarray(block["minima"].chunk(0).flatten()).view(np.uint8).reshape(-1, HASHES)
-        of_all, root_of_all, open_of_all, minima_of_all = (v[~asks] for v in (node, root, is_open, minima))
-        found = [(node[:0], node[:0])]
-        for at in np.flatnonzero(asks):
-            # of two that ask, the larger one compares
-            good = np.flatnonzero((root_of_all != root[at]) & (best | ~open_of_all | (of_all < node[at])))
-            equal = (minima_of_all[good] == minima[at]).sum(axis=1, dtype=np.uint8)
-            if best and len(good):
-                good, equal = good[[equal.argmax()]], equal[[equal.argmax()]]
-            good = good[equal >= least]
-            others = of_all[good]
-            found.append((np.minimum(others, node[at]), np.maximum(others, node[at])))
-        a, b = (np.concatenate(side) for side in zip(*found))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)).alias(other)
+        place = F.pmod(F.xxhash64("digest"), tiles).alias(own)
+        return rows.select("crowd", place, every, "node", "label", F.lit(asks).alias("asks"), "text").select(
+            "crowd", "part", "set", "node", "label", "asks", "text"
+        )
+
+    def solve(block: pa.Table) -> pa.Table:
+        sets = [shingle_set(text.as_py(), size) for text in block["text"]]
+        minima = np.stack([signature(s).astype(np.uint8) for s in sets])
+        node, labels, asks = (block[c].to_numpy().copy() for c in ("node", "label", "asks"))
+        links = block_links(sets, minima, labels, asks, percent)
+        a, b = (node[[link[side] for link in links]] if links else node[:0] for side in (0, 1))
         return pa.table({"a": a, "b": b})
 
-    both = dealt(met.filter("open"), True, "across", "down").unionByName(dealt(met, False, "down", "across"))
-    return both.groupBy("key", "down", "across").applyInArrow(compared, "a long, b long").distinct()
+    both = dealt(texts.filter("asks"), True, "set", "sets", "part", "parts")
+    both = both.unionByName(dealt(texts, False, "part", "parts", "set", "sets"))
+    return both.groupBy("crowd", "part", "set").applyInArrow(solve, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFrame:
@@ -226,37 +232,30 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
 
     Documents with ``100 * intersection >= percent * union`` of their ``size``-word shingle sets
     are linked; component_id is the smallest doc_id reachable. Null and empty texts and texts without words have
-    an empty set and are linked with nothing. Rows with equal doc_id count as one document. Rows with
-    a null doc_id get the component of an equal set, but never name one; kept then means that
-    there is none. An empty table gives an empty result; other columns don't matter.
+    an empty set, are linked with nothing and keep their doc_id. Rows with equal doc_id are one document, linked by any
+    of their texts, in whatever order they come. Rows with a null doc_id get the component of an equal set, but never name one; kept
+    then means that there is none. Ties don't matter, as all links count; texts are compared whole, however long. An empty
+    table gives an empty result; other columns don't matter.
     """
     scratch = Scratch(docs.sparkSession, "minhash")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = scratch.keep(signatures(docs, size), "signed")
-    nodes = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("digest")
-    nodes = nodes.agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("bands", "minima")))
+    named = signed.filter("n_shingles > 0 and doc_id is not null")
+    nodes = named.groupBy("digest").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "minima")))
     nodes = scratch.keep(nodes, "nodes")
-    pairs, many = _meetings(nodes.select("node", F.col("bands").alias("keys")), scratch, "bands")
+    pairs, crowds = _meetings(nodes.select("node", F.col("bands").alias("keys")), scratch)
     alike = scratch.keep(_signed_alike(pairs, nodes, percent), "alike")
     # each node's smallest partner first
     closest = alike.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     sets = _sets(docs, alike, size, scratch, "sets")
-    roots = components(_confirmed(closest, sets, percent), scratch, "first")
+    first = _confirmed(closest, sets, percent).unionByName(links_of_documents(named, nodes, scratch))
+    roots = components(first, scratch, "first")
     more = scratch.keep(_confirmed(_apart(alike, roots), sets, percent), "more")
     roots = joined_components(roots, more, scratch, "second")
-    # nodes of large buckets that aren't in the component of the bucket's hub
-    # their best partners first, as these join most of them
-    for name, best in (("third", True), ("fourth", True), ("fifth", False)):
-        crowded = _crowded_alike(many, nodes, roots, percent, scratch, name, best)
-        crowded = scratch.keep(crowded, f"{name}-alike")
-        if crowded.isEmpty():
-            break
-        sets = _sets(docs, crowded, size, scratch, f"{name}-sets")
-        more = scratch.keep(_confirmed(crowded, sets, percent), f"{name}-links")
-        roots = joined_components(roots, more, scratch, name)
-        scratch.drop(*(f"{name}-{made}" for made in ("members", "blocks", "alike", "sets", "links")))
-    scratch.drop("sets", "bands-met", "bands-buckets", "bands-hubs", "bands-scores")
-    # a document with several rows may have several sets: its smallest root counts for each
+    scratch.drop("sets", "met", "buckets")
+    # members of crowds that aren't in the component of most of them
+    links = scratch.keep(_crowd_links(crowds, nodes, roots, docs, size, percent, scratch), "crowd-links")
+    roots = joined_components(roots, links, scratch, "third")
     classes = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     classes = scratch.keep(classes, "classes").withColumnRenamed("digest", "__digest")
     rows = signed.select("doc_id", "n_shingles", "digest").join(classes, F.col("digest") == F.col("__digest"), "left")

@@ -93,3 +93,32 @@ def test_copies_of_members_of_a_crowd(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows)
     assert grouped(minhash.near_duplicates(docs)) == want
+
+
+def test_rows_of_one_document_in_either_order(spark):
+    """Document 1 has the texts of 2 and of 3, so all three are one; document 7 has two texts of its own."""
+    rows = [(2, "a b c d e"), (3, "p q r s t"), (1, "a b c d e"), (1, "p q r s t"), (7, "k l m n o"), (7, "u v w x y"), (8, "u v w x y")]
+    for order in (rows, rows[::-1]):
+        got = minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(2)).collect()
+        assert {(r.doc_id, r.component_id, r.kept) for r in got} == {(1, 1, True), (2, 1, False), (3, 1, False), (7, 7, True), (8, 7, False)}
+        assert len(got) == len(rows)
+
+
+def test_crowds_in_many_blocks(spark, monkeypatch):
+    """Variants that are like some of a crowd only, and two crowds that touch, with blocks of a few texts."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(9000)]
+    base = [rng.choice(words) for _ in range(200)]
+
+    def edited(text, n):
+        text = list(text)
+        for at in rng.sample(range(len(text)), n):
+            text[at] = rng.choice(words)
+        return text
+
+    variants = [edited(base, rng.randrange(3, 9)) for _ in range(160)]
+    rows = variants + [edited(variants[i], 5) for i in range(40)] + [edited(base, 14) for _ in range(40)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(rows)]
+    monkeypatch.setattr(minhash, "TILE", 4000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert grouped(minhash.near_duplicates(docs)) == brute(rows)
