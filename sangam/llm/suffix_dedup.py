@@ -34,6 +34,8 @@ from .suffix_array import common_prefixes, suffix_array
 LENGTH, ANCHOR = 400, 32
 #: Bytes of different contexts that one suffix array takes; more of one anchor are split.
 SHARD_BYTES = 1 << 20
+#: Shards that a task sorts, one after another, but for chance.
+SHARDS_PER_TASK = 2
 #: Ranges of places that contexts are dealt into from the start: so many halvings.
 DEPTH = 2
 #: Windows of a text that are looked at together.
@@ -243,7 +245,10 @@ def _spans(members: DataFrame, docs: DataFrame, scratch: Scratch, length: int, a
         sizes = parts.groupBy("key").agg(F.sum(F.length("content")).alias("bytes"))
         crowded = scratch.keep(sizes.filter(F.col("bytes") > shard).select("key"), f"crowded-{level}")
         fitting = parts.join(crowded, "key", "left_anti").select("key", "high", "low", "content")
-        found = _found(fitting.repartition("key").sortWithinPartitions("key"), length, shard)
+        # sorting suffixes costs time by the byte, far more than reading them, so bytes set the number of tasks
+        total = sizes.agg(F.sum("bytes")).first()[0] or 0
+        tasks = max(1, -(-total // (SHARDS_PER_TASK * shard)))
+        found = _found(fitting.repartition(tasks, "key").sortWithinPartitions("key"), length, shard)
         by_level.append(scratch.keep(found, f"found-{level}"))
         if crowded.isEmpty():
             break
@@ -361,4 +366,5 @@ def remove_duplicates(
 
 
 def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_duplicates(table(spark, sf_dir, "documents"))
+    found = remove_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("repeats", F.col("n_removed") > 0)

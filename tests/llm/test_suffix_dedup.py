@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from conftest import SF_DIR
 from sangam.llm import suffix_dedup
 from sangam.llm.suffix_array import common_prefixes, suffix_array
 
@@ -85,3 +86,11 @@ def test_blocks_of_a_long_text_agree(monkeypatch):
     cut = list(suffix_dedup.contexts_of(data, 60, 8))
     windows = lambda found: {(s, key, first + place) for key, first, end, place, *_ in found for s in range(first, end - 60 + 1)}
     assert windows(whole) == windows(cut) and len({s for s, *_ in windows(cut)}) == 5000 - 60 + 1
+
+
+def test_query_equals_brute_force_on_documents(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    got = suffix_dedup.op1_suffix_array(spark, SF_DIR).collect()
+    want = brute(rows, suffix_dedup.LENGTH)
+    assert sorted((tuple(r)[:5] for r in got), key=str) == want and all(r.repeats == (r.n_removed > 0) for r in got)
+    assert sum(r[2] > 0 for r in want) > 10
