@@ -50,8 +50,14 @@ class Located:
         if not self.folders:
             return F.lit(True)
         folders = F.array(*map(F.lit, self.folders))
-        below = F.exists(folders, lambda folder: file.startswith(F.concat(folder, F.lit("/"))))
-        return ~below | F.regexp_replace(file, BELOW, "").isin(self.folders) | file.isin(self.inner)
+
+        def below(folder: Column) -> Column:
+            return file.startswith(F.concat(folder, F.lit("/")))
+
+        def directly(folder: Column) -> Column:
+            return below(folder) & F.substr(file, F.length(folder) + 1).rlike("^" + BELOW)
+
+        return ~F.exists(folders, below) | F.exists(folders, directly) | file.isin(self.inner)
 
 
 def split_files(source: str, pattern: str, kind: str = "conll", splits=SPLITS) -> list[SourceFile]:
