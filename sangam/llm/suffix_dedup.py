@@ -33,9 +33,9 @@ from .suffix_array import common_prefixes, suffix_array
 
 LENGTH, ANCHOR = 400, 32
 #: Bytes of different contexts that one suffix array takes; more of one anchor are split.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: Shards that a task sorts, one after another, but for chance.
-SHARDS_PER_TASK = 2
+SHARDS_PER_TASK = 4
 #: Ranges of places that contexts are dealt into from the start: so many halvings.
 DEPTH = 2
 #: Windows of a text that are looked at together.
