@@ -28,11 +28,22 @@ def find_package(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of texts that tasks hand to Python, unless the session sets a bound of its own.
+
+    Spark's default of 64 MB is held several times at once, on both sides of each of an executor's tasks.
+    """
+    if spark.conf.get(BATCH_BYTES) == "67108864b":
+        spark.conf.set(BATCH_BYTES, "4m")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     find_package(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows, and bytes unless one row has more, that are turned into Python objects at a time.
 ROWS_AT_A_TIME = 1000
 BYTES_AT_A_TIME = 1 << 22
@@ -58,6 +69,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         find_package(spark)
+        small_batches(spark)
         self.spark = spark
         self.root = fresh_path(spark, name)
 

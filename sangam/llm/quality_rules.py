@@ -44,7 +44,7 @@ _ASCII[128] = CLASSES.index("letter_not_ascii")
 #: Stands for a word that is not all letters; beginning of the keys of character classes; key of the number of rows.
 _NO_WORD, _CLASS, _ROWS = "\x00rest", "\x00class ", "\x00rows"
 #: A task hands on its word counts before they hold more than so many words.
-_FLUSH = 200_000
+_FLUSH = 50_000
 #: Plain forms of words remembered per worker.
 _REMEMBERED = 50_000
 #: References of up to so many languages go with the tasks; of more they are joined to the rows.
