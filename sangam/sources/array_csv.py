@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.arrays import parse_array_repr
 from ..functions.text import text_of
-from ..session import find_package, staged
+from ..session import find_package, one_form, staged
 from .lines import chains_of, read_lines, split_starts
 from .manifest import Located, SourceFile, empty_source, entry_of, locate
 
@@ -349,7 +349,9 @@ def csv_cells(spark: SparkSession, found: Located, words: str = "words", tags: s
         known = lines.join(thin, ["file", "block"]).sortWithinPartitions("file", "block", "pos")
     records = staged(_records(known), "csv-records")
     whole = records.filter("text is null").select("file", "block", "pos", "words", "lid")
-    return whole.unionByName(_joined(records.filter("text is not null"), headers)), headers.select("file")
+    cells = whole.unionByName(_joined(records.filter("text is not null"), headers))
+    uri = one_form(F.col("file"))
+    return cells.withColumn("file", uri), headers.select(uri.alias("file"))
 
 
 def read_array_csv(
@@ -368,4 +370,5 @@ def read_array_csv(
     if found is None:
         return empty_source(spark)
     cells, files = csv_cells(spark, found, words, tags)
-    return rows_to_sentences(cells.join(entry_of(files, found.roots), "file"), "words", "lid", strict)
+    entries = staged(entry_of(files, found.roots), "entries")
+    return rows_to_sentences(cells.join(entries, "file"), "words", "lid", strict)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import is_blank, strip_ws, text_of
 from ..schema import LOADED
-from ..session import staged
+from ..session import one_form, staged
 from .lines import read_lines, runs_of, whole_runs
 from .manifest import SourceFile, empty_source, entry_of, locate
 
@@ -62,6 +62,7 @@ def read_conll(spark: SparkSession, manifest: list[SourceFile]) -> DataFrame:
     found = locate(spark, manifest, "conll")
     if found is None:
         return empty_source(spark)
-    runs = staged(runs_of(_tokens(read_lines(spark, found)), ["file", "block"], ["file", "block"], ITEMS), "runs")
-    entries = entry_of(runs.select("file").distinct(), found.roots)
+    runs = runs_of(_tokens(read_lines(spark, found)), ["file", "block"], ["file", "block"], ITEMS)
+    runs = staged(runs.withColumn("file", one_form(F.col("file"))), "runs")
+    entries = staged(entry_of(runs.select("file").distinct(), found.roots), "entries")
     return _sentences(whole_runs(runs, ["file"], ["file"], ITEMS).join(entries, "file"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from ..session import file_uri, find_package
+from ..session import find_package
 from .manifest import Located
 
 
@@ -18,12 +18,15 @@ def read_lines(spark: SparkSession, found: Located, line_sep: str | None = None)
 
     A block is the part of a file that one task reads, named by its byte offset. Its lines follow one another in their task,
     and ``pos`` grows along them. Invalid UTF-8 becomes U+FFFD. CR, LF and CRLF end a
-    line unless ``line_sep`` names the one to use.
+    line unless ``line_sep`` names the one to use. ``file`` is the path as Spark has it: ``one_form`` of it is
+    for whoever folds the lines, as there are far fewer rows then. May run a job when called.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     reader = reader.option("lineSep", line_sep) if line_sep else reader
-    return reader.text(found.paths).filter(found.lists(file_uri())).select(
-        file_uri().alias("file"),
+    lines = reader.text(found.paths)
+    lines = lines.filter(found.wanted(spark))
+    return lines.select(
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
         F.make_valid_utf8("value").alias("value"),

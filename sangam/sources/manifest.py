@@ -7,11 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..schema import LOADED, SPLITS
-from ..session import expanded, path_exists
+from ..session import expanded, file_uri, path_exists
 
 
 #: What follows a folder in the path of a file that belongs to it: its name, or partition folders and its name.
 BELOW = "(/[^/]*=[^/]*)*/[^/]+$"
+#: So many files that no entry lists are left out by name; if there are more, each line is judged.
+MOST_NAMED = 10_000
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,21 @@ class Located:
 
         return ~F.exists(folders, below) | F.exists(folders, directly) | file.isin(self.inner)
 
+    def wanted(self, spark: SparkSession) -> Column:
+        """``lists`` for the rows of a reader of all paths. Runs a job when called if there are folders.
+
+        Reading all paths seldom comes upon files that no entry lists. They are looked for among the names of the files,
+        so that rows are tested against those found only: judging a path takes longer than reading a line.
+        """
+        if not self.folders:
+            return F.lit(True)
+        files = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(self.paths)
+        others = files.filter(~self.lists(file_uri())).select(F.col("_metadata.file_path").alias("file"))
+        names = [row["file"] for row in others.limit(MOST_NAMED + 1).collect()]
+        if len(names) > MOST_NAMED:
+            return self.lists(file_uri())
+        return ~F.col("_metadata.file_path").isin(names) if names else F.lit(True)
+
 
 def split_files(source: str, pattern: str, kind: str = "conll", splits=SPLITS) -> list[SourceFile]:
     """Entries of a source with one file per split, e.g. ``data/{split}.txt``."""

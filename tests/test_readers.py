@@ -4,10 +4,11 @@ import random
 
 import pyarrow as pa
 import pytest
+from conftest import plan_of
 
 import sangam as S
 from sangam.schema import LOAD_ORDER
-from sangam.sources import array_csv
+from sangam.sources import array_csv, lines, manifest
 
 
 def brute_sentences(data: bytes):
@@ -383,6 +384,27 @@ def test_manifest_of_files_folders_and_patterns(spark, tmp_path):
     assert report["gone"] == (0, "missing") and report["folder"] == (2, "loaded")
 
 
+def test_files_are_judged_once_not_line_by_line(spark, tmp_path, monkeypatch):
+    """Lines are tested against the names of files that no entry lists, if any; with too many of those, each is judged."""
+    for name in ("d/x.txt", "d/k=1/y.txt", "e/z.txt"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(f"{name[-5]}\tHI\n")
+    entries = [S.SourceFile(name, None, str(tmp_path / name)) for name in ("d", "e")]
+
+    def read():
+        return sorted(r.value for r in lines.read_lines(spark, S.locate(spark, entries, "conll")).collect())
+
+    plain = lines.read_lines(spark, S.locate(spark, entries, "conll"))
+    assert "+- Filter" not in plan_of(plain) and "lambda" not in plan_of(plain) and read() == ["x\tHI", "y\tHI", "z\tHI"]
+    for name in ("d/deeper", "d/deeper/more"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "w.txt").write_text("w\tHI\n")
+    some = lines.read_lines(spark, S.locate(spark, entries, "conll"))
+    assert "lambda" not in plan_of(some) and read() == ["x\tHI", "y\tHI", "z\tHI"]
+    monkeypatch.setattr(manifest, "MOST_NAMED", 1)
+    assert read() == ["x\tHI", "y\tHI", "z\tHI"]
+
+
 def test_ten_thousand_entries(spark, tmp_path):
     for i in range(0, 10_000, 40):
         (tmp_path / f"{i}.csv").write_text(f"words,lid\n['w{i}'],['x']\n")
