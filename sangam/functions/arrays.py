@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# A quoted run with backslash escapes, kept raw.
-SINGLE_QUOTED = r"'((?:[^'\\]|\\.)*)'"
-DOUBLE_QUOTED = r'"((?:[^"\\]|\\.)*)"'
+# A quoted run with backslash escapes, kept raw. Possessive, as no shorter run could be followed by the
+# quote: so a long item is matched in a loop, with nothing kept to go back to.
+SINGLE_QUOTED = r"'((?:[^'\\]++|\\.)*+)'"
+DOUBLE_QUOTED = r'"((?:[^"\\]++|\\.)*+)"'
 
 
 def parse_array_repr(cell: Column, strict: bool = False) -> Column:

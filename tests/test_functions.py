@@ -134,6 +134,14 @@ ARRAYS = [
 ]
 
 
+def test_parse_array_repr_of_a_long_item(spark):
+    """A long item is matched in a loop; a pattern that recurses overflows the stack."""
+    long = "a\\'b" * 40_000
+    cells = [f"['{long}' 'c']", f"['{'x' * 100_000}']"]
+    got = values(spark, cells, S.parse_array_repr, lambda c: S.parse_array_repr(c, strict=True))
+    assert got == [([long, "c"],) * 2, (["x" * 100_000],) * 2]
+
+
 def test_parse_array_repr(spark):
     got = values(
         spark,
