@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import tokens_of
 from ..operators.ids import unify
 from ..schema import LOADED
-from ..session import make_folder
+from ..session import computed, make_folder
 
 DOCS_PER_BLOCK = 4096
 
@@ -166,28 +166,27 @@ def hard_tokens(tokens, k):
     )
 
 
+def _with_cells(lines: DataFrame) -> DataFrame:
+    """``lines`` with their text as array cells, some with hard characters."""
+    tokens = hard_tokens(tokens_of(F.col("text")), F.col("doc_id") + F.col("line_no"))
+    rows = computed(lines, "tokens", tokens).drop("text")
+    cells = {"words": array_cell(F.col("tokens")), "lid": array_cell(tags_of(F.col("tokens")))}
+    return rows.withColumns(cells).drop("tokens")
+
+
 def array_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as CSV rows with array cells, some with hard characters."""
-    tokens = hard_tokens(tokens_of(F.col("text")), F.col("doc_id") + F.col("line_no"))
-    return document_lines(spark, sf_dir).select(
-        "doc_id",
-        "line_no",
-        "source",
-        "split",
-        array_cell(tokens).alias("words"),
-        array_cell(tags_of(tokens)).alias("lid"),
-    )
+    return _with_cells(document_lines(spark, sf_dir))
 
 
 def write_array_csv(spark: SparkSession, sf_dir: str, path: str, records: int = 0) -> None:
     """The array rows as multi-line CSV files, one folder per split, in corpus order.
 
-    With ``records``, a file has so many at most.
+    With ``records``, a file has so many at most. Cells are made after the shuffle, whose sampling reads all rows.
     """
+    lines = document_lines(spark, sf_dir).withColumn("part", part_of_split()).repartitionByRange("doc_id", "line_no")
     (
-        array_rows(spark, sf_dir)
-        .withColumn("part", part_of_split())
-        .repartitionByRange("doc_id", "line_no")
+        _with_cells(lines)
         .sortWithinPartitions("part", "doc_id", "line_no")
         .select("part", "source", "words", "lid")
         .write.partitionBy("part")
