@@ -16,11 +16,13 @@ ITEMS = ["word", "tag"]
 def _tokens(lines: DataFrame) -> DataFrame:
     """Word and tag of every line, whether the line ends a sentence and whether it is one of a token."""
     value = F.col("value")
+    # most lines begin with a visible ASCII character, which is seen at once
+    visible = value.between("!", "~")
     after_word = F.substr(value, F.instr(value, "\t") + 1)
     word = strip_ws(F.substring_index(value, "\t", 1))
     return lines.withColumns(
         {
-            "ends": is_blank(value),
+            "ends": F.when(visible, False).otherwise(is_blank(value)),
             "keep": value.contains("\t") & (word != ""),
             "word": word,
             "tag": strip_ws(F.substring_index(after_word, "\t", 1)),

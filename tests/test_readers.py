@@ -8,7 +8,7 @@ from conftest import plan_of
 
 import sangam as S
 from sangam.schema import LOAD_ORDER
-from sangam.sources import array_csv, lines, manifest
+from sangam.sources import array_csv, conll, lines, manifest
 
 
 def brute_sentences(data: bytes):
@@ -61,6 +61,16 @@ def test_leading_bom_is_dropped(spark, tmp_path):
     assert in_order(got) == [(["a"], ["HI"])]
 
 
+def test_lines_end_sentences_only_if_blank(spark):
+    """Lines that begin with a visible ASCII character are told by it alone, others by all they hold."""
+    cells = ["", " ", "\t", "!", "~", "~x", "}\t", "\x7f", "\x1f", "\N{EM SPACE}", "\N{EM SPACE}a", "\N{LATIN SMALL LETTER E WITH ACUTE}", None]
+    df = spark.createDataFrame([(c,) for c in cells], "value string")
+    tokens = conll._tokens(df)
+    got = {r.value: r.ends for r in tokens.collect()}
+    assert got == {c: None if c is None else not c.strip() for c in cells}
+    assert "CASE WHEN" in tokens._jdf.queryExecution().optimizedPlan().toString()
+
+
 def random_conll(seed, newline):
     rng = random.Random(seed)
     lines = []
