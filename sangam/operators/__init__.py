@@ -19,6 +19,7 @@ from .cleaning import (
     length_filter,
     retokenised,
     tag_alignment,
+    tag_alignments,
 )
 from .ids import dense_ids, in_load_order, renumber, unify
 from .reports import (

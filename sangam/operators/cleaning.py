@@ -12,13 +12,16 @@ from .ids import renumber
 MIN_TOKENS, MAX_TOKENS = 3, 100
 
 
-def cleaned(df: DataFrame, align_tags: bool = False) -> DataFrame:
+def cleaned(df: DataFrame, align_tags: bool = False, as_read: str | None = None) -> DataFrame:
     """Clean ``text``; the tokens follow from it and are rebuilt by ``retokenised``.
 
     ``lid_tags`` stay as read, and may then be more or fewer than the tokens. With ``align_tags`` they follow their
-    tokens through the cleaning; only rows whose tokens it changes are looked at token by token.
+    tokens through the cleaning; only rows whose tokens it changes are looked at token by token. ``as_read`` names a
+    column for the tags as read beside them.
     """
     out = computed(df, "text", clean_text(F.col("text")))
+    if as_read:
+        out = out.withColumn(as_read, F.col("lid_tags"))
     if align_tags:
         same = clean_tokens(F.col("text")) == F.col("tokens")
         tags = F.slice("lid_tags", F.lit(1), F.size("tokens"))
@@ -33,10 +36,20 @@ def retokenised(df: DataFrame) -> DataFrame:
     return df.withColumn("tokens", clean_tokens(F.col("text")))
 
 
+def _misaligned(tags: str) -> Column:
+    return F.count_if(F.size("tokens") != F.size(tags))
+
+
 def tag_alignment(df: DataFrame) -> DataFrame:
     """Rows per source, and how many have another number of tags than of tokens."""
-    off = F.size("tokens") != F.size("lid_tags")
-    return df.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(off).alias("n_misaligned"))
+    return df.groupBy("source").agg(F.count(F.lit(1)).alias("n"), _misaligned("lid_tags").alias("n_misaligned"))
+
+
+def tag_alignments(df: DataFrame, modes: dict[str, str]) -> DataFrame:
+    """``tag_alignment`` of several columns of tags, each under the name of its mode, in one pass over ``df``."""
+    counts = F.array(*(F.struct(F.lit(m).alias("mode"), _misaligned(c).alias("n_misaligned")) for m, c in modes.items()))
+    found = df.groupBy("source").agg(F.count(F.lit(1)).alias("n"), counts.alias("modes"))
+    return found.select("source", "n", F.inline("modes")).select("mode", "source", "n", "n_misaligned")
 
 
 def dedup_first(df: DataFrame, key: str = "text", order=("sentence_id",)) -> DataFrame:

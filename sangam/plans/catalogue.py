@@ -222,12 +222,8 @@ def aligned_tags(spark, d):
 @query
 def misaligned_by_source(spark, d):
     """Rows out of step with their tags after cleaning, with tags as read and with tags that follow."""
-    rows = C.loaded_lines(spark, d)
-    frames = []
-    for mode, align in (("as_read", False), ("aligned", True)):
-        clean = cleaning.retokenised(cleaning.cleaned(rows, align))
-        frames.append(cleaning.tag_alignment(clean).select(F.lit(mode).alias("mode"), "source", "n", "n_misaligned"))
-    return frames[0].unionByName(frames[1])
+    clean = cleaning.retokenised(cleaning.cleaned(C.loaded_lines(spark, d), align_tags=True, as_read="read_tags"))
+    return cleaning.tag_alignments(clean, {"as_read": "read_tags", "aligned": "lid_tags"})
 
 
 @query

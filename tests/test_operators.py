@@ -189,6 +189,9 @@ def test_aligned_tags(spark):
     assert [[f"{t}/{g}" for t, g in zip(r.tokens, r.lid_tags, strict=True)] for r in got] == [w for _, _, w in cases]
     assert S.tag_alignment(cleaning.retokenised(cleaning.cleaned(df))).first().n_misaligned == 5
     assert S.tag_alignment(cleaning.retokenised(cleaning.cleaned(df, True))).first().n_misaligned == 0
+    both = cleaning.retokenised(cleaning.cleaned(df, True, as_read="read_tags"))
+    found = S.tag_alignments(both, {"as_read": "read_tags", "aligned": "lid_tags"})
+    assert sorted(map(tuple, found.collect())) == [("aligned", "s", 8, 0), ("as_read", "s", 8, 5)]
     kept = S.apply_cleaning(df, align_tags=True).orderBy("sentence_id").collect()
     assert [len(r.tokens) == len(r.lid_tags) for r in kept] == [True] * 3 and kept[0].lid_tags == ["a", "b", "c"]
 
