@@ -25,7 +25,7 @@ from itertools import repeat
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import arrow_rows, find_package, small_slices, table
+from .common import arrow_rows, find_package, give_back, small_slices, table
 from .shingles import lower_words, shingle_hashes, word_hashes
 
 BITS, RADIUS, BLOCKS = 64, 20, 8
@@ -227,6 +227,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 8
             for batch in (part for whole in incoming for part in small_slices(whole)):
                 good = [not matches(t, items.value, size, percent) for t in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(good, pa.bool_()))
+            give_back()
 
         docs = docs.mapInArrow(kept, docs.schema)
     return docs

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import WORDS, Scratch, arrow_rows, small_slices, table
+from .common import WORDS, Scratch, arrow_rows, give_back, small_slices, table
 
 #: The symbols that are counted.
 SYMBOLS = "#*$%&|<>"
@@ -168,6 +168,7 @@ def _language_sums(docs: DataFrame) -> DataFrame:
         if counts:
             yield out()
         _plain.clear()
+        give_back()
 
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").alias("text")).filter("lang is not null")
     sums = rows.mapInArrow(counted, "lang string, key string, n long, low long, high long").groupBy("lang", "key")
@@ -301,6 +302,7 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), references: Refere
             found = [dict(zip(_NAMES, row)) for row in _judged(batch, held, main, limits)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(found, kind)], names=[*names, "quality"])
         _plain.clear()
+        give_back()
 
     return references.joined(docs.select(*names)).mapInArrow(judged, schema)
 
