@@ -134,27 +134,25 @@ def _signed_alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
 def _sets(docs: DataFrame, pairs: DataFrame, size: int, scratch: Scratch, name: str) -> DataFrame:
     """(node, shingles) of the documents of ``pairs``, from their whole texts.
 
-    Texts that a map of the wanted nodes shows to be of no use stay where they are.
+    Texts that a map of the wanted nodes shows to be of no use stay where they are. They are left out where the sets are made:
+    a step of its own would take a second Python worker in each task, and executors keep all workers they ever had at a time.
     """
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     wanted = scratch.keep(ends.distinct(), f"{name}-wanted")
     named = membership(wanted)
 
-    def useful(incoming):
-        for batch in incoming:
-            ids = batch.column(0)
-            known = ids.is_valid().to_numpy(zero_copy_only=False)
-            good = known & may_hold(named.value, ids.fill_null(0).to_numpy())
-            yield batch.filter(pa.array(good))
-
     def found(batch):
+        ids = batch.column(0)
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        batch = batch.filter(pa.array(known & may_hold(named.value, ids.fill_null(0).to_numpy())))
+        if not batch.num_rows:
+            return None
         sets = [shingle_set(t, size) for t in batch.column(1).to_pylist()]
         return {"node": batch.column(0), "digest": [digest_of(s) for s in sets], "shingles": [s.view(np.int64) for s in sets]}
 
-    docs = docs.select("doc_id", "text").mapInArrow(useful, "doc_id long, text string")
-    chosen = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
+    sets = arrow_rows(docs.select("doc_id", "text"), found, "node long, digest binary, shingles array<long>")
     # a document with several texts has several sets
-    return scratch.keep(arrow_rows(chosen, found, "node long, digest binary, shingles array<long>").dropDuplicates(["node", "digest"]), name)
+    return scratch.keep(sets.join(wanted, "node", "left_semi").dropDuplicates(["node", "digest"]), name)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -122,3 +122,20 @@ def test_crowds_in_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(minhash, "TILE", 4000)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert grouped(minhash.near_duplicates(docs)) == brute(rows)
+
+
+def test_sets_take_one_python_worker_a_task(spark, monkeypatch):
+    from sangam.llm.common import Scratch
+
+    plans, keep = {}, Scratch.keep
+
+    def kept(scratch, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(scratch, df, name)
+
+    monkeypatch.setattr(Scratch, "keep", kept)
+    text = " ".join(f"w{i}" for i in range(100))
+    docs = spark.createDataFrame([(1, text), (2, text + " x"), (2, text + " y"), (None, text), (3, None), (4, "a b c d e")], "doc_id long, text string")
+    found = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()}
+    assert found == {(1, 1), (2, 1), (None, 1), (3, 3), (4, 4)}
+    assert plans["sets"].count("MapInArrow") == 1
