@@ -94,3 +94,27 @@ def test_query_equals_brute_force_on_documents(spark):
     want = brute(rows, suffix_dedup.LENGTH)
     assert sorted((tuple(r)[:5] for r in got), key=str) == want and all(r.repeats == (r.n_removed > 0) for r in got)
     assert sum(r[2] > 0 for r in want) > 10
+
+
+def test_order_by_doubling_equals_sorting():
+    from sangam.llm import suffix_array as module
+
+    rng = random.Random(5)
+    for n in (1, 2, 5, 60, 400):
+        for symbols in (1, 2, 5, 300):
+            text = [rng.randrange(1, symbols + 1) for _ in range(n - 1)] + [0]
+            want = sorted(range(n), key=lambda i: text[i:])
+            assert module.doubled(np.array(text, dtype=np.int64)).tolist() == want
+
+
+def test_keys_of_contexts_are_of_the_bytes_round_the_anchor():
+    rng = random.Random(9)
+    passage = bytes(rng.randrange(256) for _ in range(1500))
+    seen, keys = {}, {}
+    for before in (0, 7, 450):
+        data = bytes(rng.randrange(256) for _ in range(before)) + passage
+        for key, first, end, place, least, most in suffix_dedup.contexts_of(data):
+            at = first + place
+            sure = least, most, data[at - least : at + suffix_dedup.LENGTH - most]
+            assert seen.setdefault(sure, key) == key and keys.setdefault(key, sure) == sure
+    assert len(seen) < 3 * len(suffix_dedup._contexts(passage)[0])
