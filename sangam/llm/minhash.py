@@ -5,10 +5,10 @@ node has ``HASHES`` minima of multiply-shift hashes; nodes that agree on a band
 share a bucket. Two sets with a similarity of 0.8 share no bucket once in 2 * 10^7 times. In a
 bucket of up to ``ALL_PAIRS`` nodes all pairs are candidates. A node of larger ones meets the hub of the largest
 it is in: the node that shares most such buckets, counted with their sizes; of
-variants of one text, the one that was changed least. Nodes whose larger buckets have nodes in common are a crowd.
-Members of a crowd that this doesn't join with most of it then meet every member that isn't in their own component, joined ones
-too, once, in blocks of about ``TILE`` shingles that are compared in one task each, signatures first and then full sets. So
-two nodes of a bucket are compared or joined already, however large it is.
+variants of one text, the one that was changed least. Larger buckets whose nodes aren't all joined by then belong to the crowd of the component
+that most of their nodes are in. Members of a crowd that aren't in its largest component then meet every member that isn't in their own component, joined ones
+too, in blocks of about ``TILE`` shingles that are compared in one task each, signatures first and then full sets. So
+two nodes of a bucket are compared or joined already, however large it is; twice only if they are in two crowds.
 
 Candidates pass if their signatures agree well enough, five standard deviations below the
 threshold, and then if their full sets, computed from whole texts, are similar enough. A node's
@@ -77,7 +77,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _meetings(keyed: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a < b) of rows (node, keys), and the members (node, crowd) of crowds.
+    """Candidate pairs (a < b) of rows (node, keys), and the nodes (node, keys, score) of larger buckets with the keys of these.
 
     Keys are counted where they are; only those that may occur twice are then sent to meet.
     """
@@ -101,16 +101,25 @@ def _meetings(keyed: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]
     largest = F.max(F.struct("n", "key"))["key"].alias("home")
     crowded = met.filter(F.col("n") > ALL_PAIRS).groupBy("node")
     crowded = scratch.keep(crowded.agg(largest, F.sum("n").alias("score"), F.collect_set("key").alias("keys")), "crowded")
-    hubs = crowded.groupBy("home").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("hub"))
-    homed = scratch.keep(crowded.join(hubs, "home").select("node", "keys", "hub"), "homed")
-    hub_pairs = homed.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).filter("a < b")
+    hub = F.max_by("node", F.struct("score", -F.col("node"))).alias("hub")
+    hubs = crowded.select("node", "score", F.explode("keys").alias("home")).groupBy("home").agg(hub)
+    hub_pairs = crowded.join(hubs, "home").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).filter("a < b")
+    return pairs.select("a", "b").unionByName(hub_pairs).distinct(), crowded.select("node", "keys", "score")
 
-    seen = scratch.keep(homed.select(F.explode("keys").alias("key"), "hub").distinct(), "seen")
-    several = seen.groupBy("key").agg(F.min("hub").alias("low"), F.max("hub").alias("high")).filter("low < high")
-    same = seen.join(several, "key").select(F.col("hub").alias("a"), F.col("low").alias("b")).distinct()
-    crowds = components(same, scratch, "crowds").select(F.col("node").alias("hub"), F.col("root").alias("crowd"))
-    members = homed.join(crowds, "hub", "left").select("node", F.coalesce("crowd", "hub").alias("crowd"))
-    return pairs.select("a", "b").unionByName(hub_pairs).distinct(), scratch.keep(members, "crowds")
+
+def _crowds(crowded: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, crowd, label) of the nodes (node, keys, score) with a bucket whose nodes aren't all in one component; label is the component.
+
+    A bucket belongs to the crowd of the component that most of its nodes are in, or the one with the best hub of these, which as a rule is
+    the same in all buckets round a text. Nodes may be in several crowds. Buckets whose nodes are joined take no part.
+    """
+    label = F.coalesce("root", "node").alias("label")
+    single = crowded.join(roots, "node", "left").select("node", "score", "keys", label)
+    single = scratch.keep(single, "labelled").select("node", "label", "score", F.explode("keys").alias("key"))
+    counts = single.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("score"))
+    crowd = F.max_by("label", F.struct("n", "score", -F.col("label"))).alias("crowd")
+    unsettled = counts.groupBy("key").agg(crowd, F.count(F.lit(1)).alias("labels")).filter("labels > 1").select("key", "crowd")
+    return single.join(scratch.keep(unsettled, "unsettled"), "key").select("node", "crowd", "label").distinct()
 
 
 def _least_equal(percent: int) -> int:
@@ -188,10 +197,9 @@ def block_links(sets: list[np.ndarray], minima: np.ndarray, labels: np.ndarray,
     return found
 
 
-def _crowd_links(crowds: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+def _crowd_links(crowded: DataFrame, nodes: DataFrame, roots: DataFrame, docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links (a, b) of members of crowds that aren't in the crowd's largest component, with any member of another one."""
-    members = crowds.join(roots, "node", "left").select("node", "crowd", F.coalesce("root", "node").alias("label"))
-    members = scratch.keep(members.join(nodes.select("node", "digest", "n_shingles"), "node"), "crowd-members")
+    members = scratch.keep(_crowds(crowded, roots, scratch).join(nodes.select("node", "digest", "n_shingles"), "node"), "crowd-members")
     counts = members.groupBy("crowd", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n_shingles").alias("n"))
     largest = counts.groupBy("crowd").agg(
         F.max_by("label", F.struct("c", -F.col("label"))).alias("largest"),
@@ -241,7 +249,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     named = signed.filter("n_shingles > 0 and doc_id is not null")
     nodes = named.groupBy("digest").agg(F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n_shingles", "bands", "minima")))
     nodes = scratch.keep(nodes, "nodes")
-    pairs, crowds = _meetings(nodes.select("node", F.col("bands").alias("keys")), scratch)
+    pairs, crowded = _meetings(nodes.select("node", F.col("bands").alias("keys")), scratch)
     alike = scratch.keep(_signed_alike(pairs, nodes, percent), "alike")
     # each node's smallest partner first
     closest = alike.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
@@ -252,7 +260,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, percent: int = 80) -> DataFr
     roots = joined_components(roots, more, scratch, "second")
     scratch.drop("sets", "met", "buckets")
     # members of crowds that aren't in the component of most of them
-    links = scratch.keep(_crowd_links(crowds, nodes, roots, docs, size, percent, scratch), "crowd-links")
+    links = scratch.keep(_crowd_links(crowded, nodes, roots, docs, size, percent, scratch), "crowd-links")
     roots = joined_components(roots, links, scratch, "third")
     classes = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
     classes = scratch.keep(classes, "classes").withColumnRenamed("digest", "__digest")

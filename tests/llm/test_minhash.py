@@ -139,3 +139,34 @@ def test_sets_take_one_python_worker_a_task(spark, monkeypatch):
     found = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs).collect()}
     assert found == {(1, 1), (2, 1), (None, 1), (3, 3), (4, 4)}
     assert plans["sets"].count("MapInArrow") == 1
+
+
+def test_joined_crowds_make_no_searches_of_their_own(spark, monkeypatch):
+    """Of larger buckets only those whose nodes aren't all in one component go on, and no search for components is spent on crowds."""
+    from sangam.llm.common import Scratch
+
+    tables, keep = {}, Scratch.keep
+
+    def kept(scratch, df, name):
+        tables[name] = keep(scratch, df, name)
+        return tables[name]
+
+    monkeypatch.setattr(Scratch, "keep", kept)
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(9000)]
+
+    def variants(n, changes):
+        base = [rng.choice(words) for _ in range(300)]
+        texts = [list(base) for _ in range(n)]
+        for text in texts:
+            for at in rng.sample(range(300), changes):
+                text[at] = rng.choice(words)
+        return [" ".join(text) for text in texts]
+
+    near, apart = variants(60, 1), variants(60, 12)
+    rows = list(enumerate(near + apart))
+    got = grouped(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == brute(rows)
+    assert not [name for name in tables if name.startswith("crowds")]
+    assert {r.node for r in tables["crowd-members"].collect()} <= set(range(60, 120))
+    assert not tables["crowd-members"].isEmpty()
