@@ -12,13 +12,26 @@ from ..schema import LOADED
 from ..session import staged
 
 ID_BUCKET_ROWS = 1 << 18
+#: Mark of an order column, in its metadata, whose values follow one another without a gap in each bucket, as readers number rows.
+GAPLESS = "gapless"
+#: Starts of so many buckets are broadcast, of more joined by a shuffle.
+MOST_BROADCAST = 1 << 18
+
+
+def gapless(df: DataFrame, name: str = "pos", marked: bool = True) -> DataFrame:
+    """``df`` with column ``name`` marked as gapless, or not."""
+    return df.withMetadata(name, {GAPLESS: marked})
+
+
+def is_gapless(df: DataFrame, name: str = "pos") -> bool:
+    return bool((df.schema[name].metadata or {}).get(GAPLESS))
 
 
 def bucket_starts(counts: DataFrame, bucket: list[str]) -> DataFrame:
     """Rows before each bucket, ``_start``, for one row per bucket with its rows ``_n``.
 
     A tree of running totals: buckets are dealt in order to tasks, each task sums along its own, and
-    only one total per task goes through the driver, however many buckets there are.
+    only one total per task goes through the driver, however many buckets there are. Other columns of ``counts`` stay.
     """
     part = counts.repartitionByRange(*bucket).sortWithinPartitions(*bucket).withColumn("_part", F.spark_partition_id())
 
@@ -37,7 +50,8 @@ def bucket_starts(counts: DataFrame, bucket: list[str]) -> DataFrame:
         before.append((row["_part"], total))
         total += row["n"]
     parts = F.broadcast(counts.sparkSession.createDataFrame(before, "_part int, _before bigint"))
-    return sums.join(parts, "_part").select(*bucket, (F.col("_start") + F.col("_before")).alias("_start"))
+    others = [c for c in counts.columns if c not in ("_n", *bucket)]
+    return sums.join(parts, "_part").select(*bucket, *others, (F.col("_start") + F.col("_before")).alias("_start"))
 
 
 def dense_ids(
@@ -48,8 +62,23 @@ def dense_ids(
     Rows are counted per bucket, ``bucket_starts`` gives each bucket its first id, and rows are ranked inside their
     bucket.  The join and the ranking share one shuffle by bucket.  The order
     must be unique and its columns not null. Runs jobs when called.
+
+    If ``within`` is one column marked as ``gapless``, and the counts bear it out, a row's place in its bucket is its value less the
+    bucket's smallest: then no row is shuffled.
     """
-    starts = bucket_starts(df.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_n")), bucket)
+    count = F.count(F.lit(1)).alias("_n")
+    if len(within) == 1 and is_gapless(df, within[0]):
+        place = F.col(within[0])
+        counts = df.groupBy(*bucket).agg(count, F.min(place).alias("_first"), F.max(place).alias("_last"), F.sum(place).alias("_sum"))
+        even = (F.col("_last") - F.col("_first") + 1 == F.col("_n")) & (2 * F.col("_sum") == F.col("_n") * (F.col("_first") + F.col("_last")))
+        starts = bucket_starts(counts.select(*bucket, "_n", "_first", even.alias("_even")), bucket)
+        if starts.filter("not coalesce(_even, false)").isEmpty():
+            few = starts.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+            placed = df.join(F.broadcast(starts) if few else starts, bucket)
+            return placed.withColumn(name, F.col("_start") + place - F.col("_first")).drop("_start", "_first", "_even")
+        starts = starts.select(*bucket, "_start")
+    else:
+        starts = bucket_starts(df.groupBy(*bucket).agg(count), bucket)
     rank = F.row_number().over(Window.partitionBy(*bucket).orderBy(*within))
     ranked = df.withColumn("_rank", rank).join(starts, bucket)
     return ranked.withColumn(name, F.col("_start") + F.col("_rank") - 1).drop("_start", "_rank")
@@ -63,14 +92,14 @@ def renumber(df: DataFrame, bucket_rows: int = ID_BUCKET_ROWS) -> DataFrame:
 
 
 def in_load_order(*frames: DataFrame) -> DataFrame:
-    """Union of reader results; rows of an earlier frame come first."""
+    """Union of reader results; rows of an earlier frame come first. ``pos`` is ``gapless`` if it is in all of them."""
     ranked = [
         f.select(*LOADED.fieldNames()).withColumn(
             "rank", F.lit(i << 32).cast("bigint") + F.col("rank")
         )
         for i, f in enumerate(frames)
     ]
-    return reduce(DataFrame.unionByName, ranked)
+    return gapless(reduce(DataFrame.unionByName, ranked), marked=all(map(is_gapless, frames)))
 
 
 def unify(*frames: DataFrame) -> DataFrame:

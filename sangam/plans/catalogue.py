@@ -13,7 +13,7 @@ from .. import functions as X
 from ..operators import checks, cleaning, reports, sinks, splits
 from ..operators.ids import dense_ids, unify
 from ..schema import LOAD_ORDER, SCRIPT_TYPES
-from ..session import fresh_path, staged
+from ..session import fresh_path, remove, staged
 from ..sources import (
     SourceFile,
     empty_source,
@@ -377,7 +377,9 @@ def conll_files(spark, d):
     """The corpus written as CoNLL files and read back."""
     path = fresh_path(spark, "conll")
     C.write_conll(spark, d, path)
-    rows = unify(read_conll(spark, split_manifest(path, "conll")))
+    sentences = read_conll(spark, split_manifest(path, "conll"))
+    remove(spark, path)
+    rows = unify(sentences)
     return rows.select("sentence_id", "split", "text", joined("tokens", "|"), joined("lid_tags"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import tokens_of
 from ..operators.ids import unify
 from ..schema import LOADED
-from ..session import computed, make_folder
+from ..session import computed, make_folder, shuffles_freed
 
 DOCS_PER_BLOCK = 4096
 
@@ -126,15 +126,15 @@ def write_conll(spark: SparkSession, sf_dir: str, path: str) -> None:
         tokens,
         lambda t: F.concat(t, F.lit("\t"), F.when(F.length(t) % 2 == 0, "lang1").otherwise("lang2")),
     )
-    (
+    rows = (
         document_lines(spark, sf_dir)
         .withColumn("part", part_of_split())
         .repartitionByRange("doc_id", "line_no")
         .sortWithinPartitions("part", "doc_id", "line_no")
         .select("part", F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("value"))
-        .write.partitionBy("part")
-        .text(path)
     )
+    with shuffles_freed(spark):
+        rows.write.partitionBy("part").text(path)
 
 
 def printed(item):
@@ -185,14 +185,9 @@ def write_array_csv(spark: SparkSession, sf_dir: str, path: str, records: int =
     With ``records``, a file has so many at most. Cells are made after the shuffle, whose sampling reads all rows.
     """
     lines = document_lines(spark, sf_dir).withColumn("part", part_of_split()).repartitionByRange("doc_id", "line_no")
-    (
-        _with_cells(lines)
-        .sortWithinPartitions("part", "doc_id", "line_no")
-        .select("part", "source", "words", "lid")
-        .write.partitionBy("part")
-        .options(header=True, quote='"', escape='"', maxRecordsPerFile=records)
-        .csv(path)
-    )
+    rows = _with_cells(lines).sortWithinPartitions("part", "doc_id", "line_no").select("part", "source", "words", "lid")
+    with shuffles_freed(spark):
+        rows.write.partitionBy("part").options(header=True, quote='"', escape='"', maxRecordsPerFile=records).csv(path)
 
 
 def task_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ def split_starts(batch: pa.RecordBatch, key: list[str]) -> np.ndarray:
     return np.flatnonzero(differs) + 1
 
 
-def _folded(batches, key: list[str], carry: list[str], items: list[str], schema: pa.Schema):
+def _folded(batches, key: list[str], carry: list[str], items: list[str], schema: pa.Schema, read):
     """Runs of the rows of a task as Arrow batches; see ``runs_of``."""
     held, identity, number = None, None, 0
 
@@ -65,8 +65,7 @@ def _folded(batches, key: list[str], carry: list[str], items: list[str], schema:
         n = batch.num_rows
         if not n:
             continue
-        ends, keep = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("ends", "keep"))
-        values = [batch.column(c).filter(batch.column("keep")) for c in items]
+        ends, keep, values = read(batch.column("value"))
         before = np.r_[0, np.cumsum(keep)]
         changes = split_starts(batch, key)
         first = tuple(batch.column(c)[0] for c in key)
@@ -82,8 +81,13 @@ def _folded(batches, key: list[str], carry: list[str], items: list[str], schema:
         k = len(stops)
         fresh = np.isin(starts[:k], changes)
         since = np.maximum.accumulate(np.where(fresh, np.arange(k), -1)) if k else np.empty(0, dtype=int)
-        numbers = np.where(since >= 0, np.arange(k) - since, np.arange(k) + number)
         offsets = before[starts]
+        # runs that ``made`` leaves out have no number
+        stay = fresh | (np.diff(offsets) > 0) | ~ends[stops]
+        if k:
+            stay[0] |= number == 0 or bool(held and sum(len(p[0]) for p in held["pieces"]))
+        ahead = np.r_[0, np.cumsum(stay)]
+        numbers = ahead[:k] - np.where(since >= 0, ahead[since], -number)
         done = 0
         if held and k:
             yield held_run([v.slice(0, offsets[1]) for v in values], bool(ends[stops[0]]))
@@ -93,7 +97,7 @@ def _folded(batches, key: list[str], carry: list[str], items: list[str], schema:
             carried = [batch.column(c).take(pa.array(starts[done:k])) for c in carry]
             yield made(lists, carried, numbers[done:], ends[stops[done:]])
         if k:
-            number = int(numbers[-1]) + 1 if starts[k] == n or starts[k] not in changes else 0
+            number = int(numbers[-1]) + int(stay[-1]) if starts[k] == n or starts[k] not in changes else 0
         if starts[k] < n:
             rest = [v.slice(offsets[k]) for v in values]
             if held:
@@ -105,21 +109,22 @@ def _folded(batches, key: list[str], carry: list[str], items: list[str], schema:
         yield held_run(None, False)
 
 
-def runs_of(rows: DataFrame, key: list[str], carry: list[str], items: list[str]) -> DataFrame:
+def runs_of(rows: DataFrame, key: list[str], carry: list[str], items: list[str], read) -> DataFrame:
     """Runs of rows up to and including one that ``ends``, within each split, with no shuffle.
 
-    ``rows`` has boolean columns ``ends`` and ``keep``; those of a split (equal ``key``) must follow one another in
+    ``read`` takes the ``value`` column of an Arrow batch and returns which rows end a run, which are kept (both as numpy arrays), and the
+    ``items``, strings, of those kept. Rows of a split (equal ``key``) must follow one another in
     one task, in order, as files are read. Returns ``carry``, ``pos`` (number of the run in its
-    split), ``closed`` (it ended there), ``inner`` (all of it lies in the split for sure) and the ``items`` of the
-    rows to keep as arrays. Runs go out as they end; a task holds an Arrow batch and one open run.
+    split, without gaps but for what a first run adds to another split), ``closed`` (it ended there), ``inner`` (all of it lies in
+    the split for sure) and the ``items`` of the rows to keep as arrays. Runs go out as they end; a task holds an Arrow batch and one open run.
     """
     find_package(rows.sparkSession)
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     ddl = [f"{c} {types[c]}" for c in carry] + ["pos bigint", "closed boolean", "inner boolean"]
-    schema = StructType.fromDDL(", ".join([*ddl, *(f"{c} array<{types[c]}>" for c in items)]))
+    schema = StructType.fromDDL(", ".join([*ddl, *(f"{c} array<string>" for c in items)]))
     arrow = to_arrow_schema(schema)
-    return rows.select(*carry, "ends", "keep", *items).mapInArrow(
-        lambda batches: _folded(batches, key, carry, items, arrow), schema
+    return rows.select(*carry, "value").mapInArrow(
+        lambda batches: _folded(batches, key, carry, items, arrow, read), schema
     )
 
 
