@@ -406,7 +406,9 @@ def array_csv_rows(spark, d):
 def _csv_round_trip(spark, d, records):
     path = fresh_path(spark, "array-csv")
     C.write_array_csv(spark, d, path, records)
-    rows = unify(read_array_csv(spark, split_manifest(path, "array_csv")))
+    sentences = read_array_csv(spark, split_manifest(path, "array_csv"))
+    remove(spark, path)
+    rows = unify(sentences)
     return rows.select("sentence_id", "split", "text", joined("tokens", "|"), joined("lid_tags"))
 
 

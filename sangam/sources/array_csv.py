@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.arrays import parse_array_repr
 from ..functions.text import text_of
+from ..operators.ids import gapless
 from ..session import find_package, one_form, staged
 from .lines import chains_of, read_lines, split_starts
 from .manifest import Located, SourceFile, empty_source, entry_of, locate
@@ -26,6 +27,12 @@ _CLOSING = re.compile(rf'(?:[^"]++|"")*+"[^,]*+(?:,{_FIELD})*+')
 HEADER_REACH = 1 << 20
 #: The state of a split takes some 200 bytes; of so many the table is broadcast, of more joined by a shuffle.
 MOST_BROADCAST = 1 << 18
+#: Of so many, the table goes to the Python workers as a whole, rather than along with every line.
+MOST_HELD = 1 << 16
+
+
+#: The state of a split, as it is needed to parse it.
+STATE = ("quoted", "started", "words_at", "tags_at")
 
 
 def rows_to_sentences(rows: DataFrame, words="words", tags="lid", strict=False) -> DataFrame:
@@ -98,17 +105,17 @@ def _cell(row: list[str], place: int | None) -> str | None:
     return row[place] if place is not None and place < len(row) else None
 
 
-def _segments(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    starts = [0, *split_starts(batch, ["file", "block"]).tolist(), batch.num_rows]
+def _segments(batch: pa.RecordBatch, names) -> Iterator[pa.RecordBatch]:
+    starts = [0, *split_starts(batch, names).tolist(), batch.num_rows]
     return (batch.slice(a, b - a) for a, b in zip(starts, starts[1:]) if b > a)
 
 
-def _by_split(batches, begin, go_on, end):
+def _by_split(batches, begin, go_on, end, names=("file", "block")):
     """Call ``begin`` for the first rows of a split, ``go_on`` for its values batch by batch, ``end`` after its last."""
     identity, state = None, None
     for batch in batches:
-        for part in _segments(batch):
-            key = part.column("file")[0].as_py(), part.column("block")[0].as_py()
+        for part in _segments(batch, names):
+            key = tuple(part.column(name)[0].as_py() for name in names)
             if key != identity:
                 if state is not None:
                     yield from end(state)
@@ -283,11 +290,29 @@ class _Records:
         return [self._row(None, None, "".join(self.open), self.own)]
 
 
-def _records(lines: DataFrame) -> DataFrame:
-    """Records of lines with the state of their split: cells of those within it, text of those that cross its ends."""
+def _split_key():
+    """The split of a line as one long, which is passed on in less time than the path of its file."""
+    return F.xxhash64("file", "block").alias("split")
+
+
+def _held(spark: SparkSession, thin: DataFrame):
+    """The states of few splits by ``_split_key``, for every Python worker; None if there are too many, or two of one key."""
+    rows = thin.select(_split_key(), "file", "block", *STATE).limit(MOST_HELD + 1).collect()
+    states = {row[0]: tuple(row[1:]) for row in rows}
+    return spark.sparkContext.broadcast(states) if len(states) == len(rows) <= MOST_HELD else None
+
+
+def _records(lines: DataFrame, held=None) -> DataFrame:
+    """Records of lines with the state of their split: cells of those within it, text of those that cross its ends.
+
+    The state comes with each line, or is ``held`` by split.
+    """
 
     def begin(key, part):
-        quoted, started, words_at, tags_at = (part.column(c)[0].as_py() for c in ("quoted", "started", "words_at", "tags_at"))
+        if held is not None:
+            file, block, quoted, started, words_at, tags_at = held.value[key[0]]
+            return _Records((file, block), quoted, started, (words_at, tags_at))
+        quoted, started, words_at, tags_at = (part.column(c)[0].as_py() for c in STATE)
         return _Records(key, quoted, started, (words_at, tags_at))
 
     def batch_of(state, rows):
@@ -304,9 +329,9 @@ def _records(lines: DataFrame) -> DataFrame:
         yield from batch_of(state, state.rest())
 
     schema = "file string, block bigint, pos bigint, begins boolean, words string, lid string, text string"
-    return lines.select("file", "block", "value", "quoted", "started", "words_at", "tags_at").mapInArrow(
-        lambda batches: _by_split(batches, begin, go_on, end), schema
-    )
+    if held is not None:
+        return lines.select(_split_key(), "value").mapInArrow(lambda batches: _by_split(batches, begin, go_on, end, ["split"]), schema)
+    return lines.select("file", "block", "value", *STATE).mapInArrow(lambda batches: _by_split(batches, begin, go_on, end), schema)
 
 
 def _joined(edges: DataFrame, headers: DataFrame) -> DataFrame:
@@ -343,11 +368,15 @@ def csv_cells(spark: SparkSession, found: Located, words: str = "words", tags: s
     states = staged(split_states(staged(_split_maps(lines), "csv-maps")), "csv-states")
     headers = staged(_headers(states, words, tags), "csv-headers")
     thin = staged(states.select("file", "block", "quoted", "started").join(headers, "file"), "csv-splits")
-    if thin.count() <= MOST_BROADCAST:
+    splits = thin.count()
+    held = _held(spark, thin) if splits <= MOST_HELD else None
+    if held is not None:
+        known = lines
+    elif splits <= MOST_BROADCAST:
         known = lines.join(F.broadcast(thin), ["file", "block"])
     else:
         known = lines.join(thin, ["file", "block"]).sortWithinPartitions("file", "block", "pos")
-    records = staged(_records(known), "csv-records")
+    records = staged(_records(known, held), "csv-records")
     whole = records.filter("text is null").select("file", "block", "pos", "words", "lid")
     cells = whole.unionByName(_joined(records.filter("text is not null"), headers))
     uri = one_form(F.col("file"))
@@ -364,11 +393,11 @@ def read_array_csv(
     """Sentences of the CSV entries of a manifest, in the ``LOADED`` schema.
 
     Columns are found by name in each file, however many it has. A file without one of them has empty arrays
-    there. All entries are read in one scan, and a large file by many tasks. Runs jobs when called.
+    there. All entries are read in one scan, and a large file by many tasks. Runs jobs when called; after them the files aren't read again.
     """
     found = locate(spark, manifest, "array_csv")
     if found is None:
         return empty_source(spark)
     cells, files = csv_cells(spark, found, words, tags)
     entries = staged(entry_of(files, found.roots), "entries")
-    return rows_to_sentences(cells.join(entries, "file"), "words", "lid", strict)
+    return gapless(rows_to_sentences(cells.join(entries, "file"), "words", "lid", strict))

@@ -11,7 +11,7 @@ from pyspark.sql import Window, functions as F
 from sangam.operators.ids import dense_ids, gapless, in_load_order, is_gapless
 from sangam.plans import catalogue
 from sangam.session import job_folder, staged
-from sangam.sources import conll
+from sangam.sources import array_csv, conll
 from test_readers import random_conll
 
 
@@ -32,7 +32,7 @@ def test_staged_tables_leave_no_shuffle_files(spark):
     assert table.count() == 10 and rows.count() == 10 and staged(rows, "again").count() == 10
 
 
-@pytest.mark.parametrize("name", ["conll_files"])
+@pytest.mark.parametrize("name", ["conll_files", "array_csv_files"])
 def test_files_go_when_they_are_read(spark, name):
     folder = pathlib.Path(job_folder(spark))
     before = set(folder.glob("*/**/part=*"))
@@ -84,3 +84,19 @@ def test_lines_as_arrays_are_read_as_columns_are(spark):
     assert ends.tolist() == [r.ends for r in want] and keep.tolist() == [r.keep for r in want]
     assert list(zip(words.to_pylist(), tags.to_pylist())) == [(r.word, r.tag) for r in want if r.keep]
     assert [x.tolist() for x in conll._read(pa.array([], pa.string()))[:2]] == [[], []]
+
+
+def test_states_held_by_workers_give_the_same_records(spark, tmp_path, split_bytes, monkeypatch):
+    (tmp_path / "f.csv").write_text("lid,words\n" + "".join(f"['x' \"{i}\"],\"['a{i}'\n \"\"q\"\" 'b']\"\n" for i in range(60)))
+    manifest = [S.SourceFile("s", "train", str(tmp_path / "f.csv"), "array_csv")]
+
+    def read():
+        with split_bytes(97):
+            return sorted((r.block, r.pos, r.text, *r.lid_tags) for r in S.read_array_csv(spark, manifest).collect())
+
+    held = read()
+    assert len(held) == 60
+    monkeypatch.setattr(array_csv, "MOST_HELD", 3)
+    assert read() == held
+    monkeypatch.setattr(array_csv, "MOST_BROADCAST", 3)
+    assert read() == held
