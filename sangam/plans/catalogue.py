@@ -21,6 +21,7 @@ from ..sources import (
     inspect_id_only,
     lines_to_sentences,
     load_report,
+    manifest_frame,
     missing_from,
     read_array_csv,
     read_conll,
@@ -428,8 +429,6 @@ def array_csv_split_files(spark, d):
 def manifest_loads(spark, d):
     """What each entry of a manifest gave: files, a folder, a pattern, a missing CSV, and missing CoNLL files."""
     path = fresh_path(spark, "manifest")
-    C.write_conll(spark, d, f"{path}/conll")
-    C.write_array_csv(spark, d, f"{path}/csv")
     manifest = [
         SourceFile("tagged", "train", f"{path}/conll/part=train"),
         SourceFile("tagged", "other", f"{path}/conll/part=[vn]*"),
@@ -438,9 +437,16 @@ def manifest_loads(spark, d):
         SourceFile("printed", "test", f"{path}/csv/part=test", "array_csv"),
         SourceFile("printed", "gone", f"{path}/csv/gone.csv", "array_csv"),
     ]
-    loaded = read_conll(spark, manifest).unionByName(read_array_csv(spark, manifest))
-    needed = SourceFile("tagged", "needed", f"{path}/conll/needed.txt")
-    return load_report(spark, [*manifest, needed], loaded).select("rank", "source", "split", "kind", "required", "present", "n", "status")
+    entries = [*manifest, SourceFile("tagged", "needed", f"{path}/conll/needed.txt")]
+    # one kind is written, read and listed after the other, so that their files are never there at once
+    C.write_conll(spark, d, f"{path}/conll")
+    tagged, listed = read_conll(spark, manifest), manifest_frame(spark, entries).filter("kind = 'conll'")
+    remove(spark, f"{path}/conll")
+    C.write_array_csv(spark, d, f"{path}/csv")
+    printed, others = read_array_csv(spark, manifest), manifest_frame(spark, entries).filter("kind <> 'conll'")
+    remove(spark, f"{path}/csv")
+    report = load_report(spark, entries, tagged.unionByName(printed), listed.unionByName(others))
+    return report.select("rank", "source", "split", "kind", "required", "present", "n", "status")
 
 
 @query

@@ -146,10 +146,11 @@ def missing_files(spark: SparkSession, manifest: list[SourceFile]) -> DataFrame:
     return manifest_frame(spark, manifest).filter(~F.col("present")).drop("present")
 
 
-def load_report(spark: SparkSession, manifest: list[SourceFile], loaded: DataFrame) -> DataFrame:
+def load_report(spark: SparkSession, manifest: list[SourceFile], loaded: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     """Manifest entries with the sentences of ``loaded`` that came from each, and a status.
 
     A missing file is ``missing``, or ``failed`` if it must exist; one that is there but gave nothing is ``empty``.
+    ``listed`` is the ``manifest_frame`` of the entries as they were read, for whoever has removed files since.
     """
     counts = loaded.groupBy("rank").agg(F.count(F.lit(1)).alias("n"))
     n = F.coalesce("n", F.lit(0))
@@ -158,4 +159,5 @@ def load_report(spark: SparkSession, manifest: list[SourceFile], loaded: DataFra
         .when(n == 0, "empty")
         .otherwise("loaded")
     )
-    return manifest_frame(spark, manifest).join(counts, "rank", "left").withColumn("status", status).withColumn("n", n)
+    listed = manifest_frame(spark, manifest) if listed is None else listed
+    return listed.join(counts, "rank", "left").withColumn("status", status).withColumn("n", n)

@@ -32,7 +32,7 @@ def test_staged_tables_leave_no_shuffle_files(spark):
     assert table.count() == 10 and rows.count() == 10 and staged(rows, "again").count() == 10
 
 
-@pytest.mark.parametrize("name", ["conll_files", "array_csv_files", "array_csv_split_files"])
+@pytest.mark.parametrize("name", ["conll_files", "array_csv_files", "array_csv_split_files", "manifest_loads"])
 def test_files_go_when_they_are_read(spark, name):
     folder = pathlib.Path(job_folder(spark))
     before = set(folder.glob("*/**/part=*"))
